@@ -6,9 +6,12 @@ Spark has no distribution functions, so a small Arrow UDF evaluates them on the
 from __future__ import annotations
 
 import math
+import sys
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 
 def normal_two_sided(z: float) -> float:
@@ -49,19 +52,24 @@ def incomplete_beta(a: float, b: float, x: float) -> float:
     return front * fraction / a
 
 
-@F.pandas_udf("double")
-def p_normal(z: pd.Series) -> pd.Series:
+# Executors receive these functions by value, so they need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+def _p_normal(z: pd.Series) -> pd.Series:
     return z.map(normal_two_sided, na_action="ignore")
 
 
-@F.pandas_udf("double")
-def p_chi_square(x: pd.Series) -> pd.Series:
+def _p_chi_square(x: pd.Series) -> pd.Series:
     return x.map(chi_square_one_df, na_action="ignore")
 
 
-@F.pandas_udf("double")
-def p_student_t(t: pd.Series, df: pd.Series) -> pd.Series:
-    return pd.Series(
-        [None if pd.isna(a) or pd.isna(b) else t_two_sided(a, b) for a, b in zip(t, df)],
-        dtype="float64",
-    )
+def _p_student_t(t: pd.Series, df: pd.Series) -> pd.Series:
+    known = t.notna() & df.notna()
+    values = [t_two_sided(a, b) if ok else None for a, b, ok in zip(t, df, known)]
+    return pd.Series(values, dtype="float64")
+
+
+p_normal = F.pandas_udf(_p_normal, DoubleType())
+p_chi_square = F.pandas_udf(_p_chi_square, DoubleType())
+p_student_t = F.pandas_udf(_p_student_t, DoubleType())

@@ -32,9 +32,15 @@ def sum_money(amount: str | Column) -> Column:
     return money(sum_cents(amount))
 
 
+def mean_fixed(value: str | Column, decimals: int) -> Column:
+    """Average of the non-NULL values of a column with that many decimals; order independent."""
+    scale = 10**decimals
+    whole = F.sum(F.rint(_col(value) * scale).cast("long"))
+    return ratio(whole / F.lit(float(scale)), F.count(_col(value)))
+
+
 def mean_money(amount: str | Column) -> Column:
-    """Average over the non-NULL amounts; order independent."""
-    return ratio(sum_money(amount), F.count(_col(amount)))
+    return mean_fixed(amount, 2)
 
 
 def whole_units(whole_cents: Column) -> Column:

@@ -86,15 +86,20 @@ def ntiles(
 
 
 def counts_ahead(
-    df: DataFrame, value: str, descending: bool = False, rows_per_range: int | None = None
+    df: DataFrame,
+    value: str,
+    descending: bool = False,
+    rows_per_range: int | None = None,
+    weight: str | None = None,
 ) -> DataFrame:
     """One row per distinct value: its `ties` and how many rows sort strictly ahead of it.
 
     Equal values are counted before any shuffle, so a tie group of any size is one row here.
-    NULLs sort last.
+    `weight` names a column saying how many rows each input row stands for. NULLs sort last.
     """
+    ties = F.sum(weight) if weight else F.count(F.lit(1))
     order = F.col(value).desc_nulls_last() if descending else F.col(value).asc_nulls_last()
-    levels = stash(df.groupBy(value).agg(F.count(F.lit(1)).alias("ties")), "levels")
+    levels = stash(df.groupBy(value).agg(ties.alias("ties")), "levels")
     seated = _seated(levels, [order], _ranges(levels.count(), rows_per_range or ROWS_PER_RANGE))
     before = _amount_before(seated, F.sum("ties"))
     within = W.partitionBy("_range").orderBy("_seat").rowsBetween(W.unboundedPreceding, -1)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -139,6 +139,10 @@ def delivery_columns() -> dict[str, Column]:
     }
 
 
+def delivery_metrics(orders: DataFrame) -> DataFrame:
+    return orders.select("order_id", *[c.alias(name) for name, c in delivery_columns().items()])
+
+
 def in_window(settings: Settings) -> Column:
     moment = F.col("purchased_at")
     return (moment >= X.ts_lit(settings.window_start)) & (moment < X.ts_lit(settings.window_end))
@@ -177,24 +181,33 @@ def fct_orders(
     )
 
 
-def valid_orders(orders: DataFrame, settings: Settings) -> DataFrame:
-    """Orders inside the window that were neither canceled nor unavailable.
+def _inside(df: DataFrame, settings: Settings) -> Column:
+    """Window bounds on the order date, in a form that lets the Parquet scan skip row groups, and on
+    the month a table may be partitioned by."""
+    day = F.col("order_date")
+    inside = (day >= X.date_lit(settings.window_start)) & (day < X.date_lit(settings.window_end))
+    if "order_month" in df.columns:
+        last_day = settings.window_end - timedelta(days=1)
+        inside &= F.col("order_month").between(
+            settings.window_start.isoformat()[:7], last_day.isoformat()[:7]
+        )
+    return inside
 
-    The date bounds repeat the window flag in a form the Parquet scan can use to skip row groups.
-    """
+
+def valid_orders(orders: DataFrame, settings: Settings) -> DataFrame:
+    """Orders inside the window that were neither canceled nor unavailable."""
     return orders.where(
         F.col("in_analysis_window")
-        & (F.col("order_date") >= X.date_lit(settings.window_start))
-        & (F.col("order_date") < X.date_lit(settings.window_end))
+        & _inside(orders, settings)
         & ~F.col("order_status").isin(*settings.excluded_statuses)
     )
 
 
 def delivered_orders(orders: DataFrame, settings: Settings) -> DataFrame:
+    """Orders inside the window that were delivered on a known date."""
     return orders.where(
         F.col("in_analysis_window")
-        & (F.col("order_date") >= X.date_lit(settings.window_start))
-        & (F.col("order_date") < X.date_lit(settings.window_end))
+        & _inside(orders, settings)
         & (F.col("order_status") == "delivered")
         & F.col("delivered_at").isNotNull()
     )
@@ -202,9 +215,7 @@ def delivered_orders(orders: DataFrame, settings: Settings) -> DataFrame:
 
 def valid_items(items: DataFrame, settings: Settings) -> DataFrame:
     return items.where(
-        (F.col("order_date") >= X.date_lit(settings.window_start))
-        & (F.col("order_date") < X.date_lit(settings.window_end))
-        & ~F.col("order_status").isin(*settings.excluded_statuses)
+        _inside(items, settings) & ~F.col("order_status").isin(*settings.excluded_statuses)
     )
 
 

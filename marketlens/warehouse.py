@@ -85,7 +85,7 @@ class Warehouse:
         self.settings = settings
         self._written = {} if written is None else written
 
-    def _stored(self, label: str, build: Callable[[], DataFrame]) -> DataFrame:
+    def stored(self, label: str, build: Callable[[], DataFrame]) -> DataFrame:
         if label not in self._written:
             df = build()
             path = scratch_path(self.spark, label)
@@ -95,7 +95,7 @@ class Warehouse:
         return self.spark.read.schema(schema).parquet(path)
 
     def raw(self, name: str) -> DataFrame:
-        return self._stored(f"raw.{name}", self.sources[name])
+        return self.stored(f"raw.{name}", self.sources[name])
 
     def stg(self, name: str) -> DataFrame:
         return staging_model(name, self.raw, self.settings)
@@ -105,15 +105,17 @@ class Warehouse:
         return mart_model(name, self.spark, self.stg, self.mart, self.settings)
 
     def mart(self, name: str) -> DataFrame:
-        return self._stored(f"marts.{name}", lambda: self.mart_model(name))
+        return self.stored(f"marts.{name}", lambda: self.mart_model(name))
 
     def build(self, names: Iterable[str] = MARTS) -> None:
         for name in names:
             self.mart(name)
 
-    def layers(self) -> dict[str, dict[str, DataFrame]]:
+    def layers(self, names: Iterable[str] = ("raw", "staging", "marts")) -> dict:
+        """Layer -> table name -> DataFrame."""
+        members = {"raw": (RAW, self.raw), "staging": (STAGING, self.stg), "marts": (MARTS, self.mart)}
         return {
-            "raw": {name: self.raw(name) for name in RAW},
-            "staging": {name: self.stg(name) for name in STAGING},
-            "marts": {name: self.mart(name) for name in MARTS},
+            layer: {table: get(table) for table in tables}
+            for layer, (tables, get) in members.items()
+            if layer in names
         }
