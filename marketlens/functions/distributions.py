@@ -10,6 +10,7 @@ import sys
 
 import pandas as pd
 from pyspark import cloudpickle
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
@@ -70,6 +71,13 @@ def _p_student_t(t: pd.Series, df: pd.Series) -> pd.Series:
     return pd.Series(values, dtype="float64")
 
 
-p_normal = F.pandas_udf(_p_normal, DoubleType())
-p_chi_square = F.pandas_udf(_p_chi_square, DoubleType())
-p_student_t = F.pandas_udf(_p_student_t, DoubleType())
+def p_normal(z: Column) -> Column:
+    return F.pandas_udf(_p_normal, DoubleType())(z)
+
+
+def p_chi_square(x: Column) -> Column:
+    return F.pandas_udf(_p_chi_square, DoubleType())(x)
+
+
+def p_student_t(t: Column, df: Column) -> Column:
+    return F.pandas_udf(_p_student_t, DoubleType())(t, df)

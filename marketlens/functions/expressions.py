@@ -16,6 +16,10 @@ def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def rows() -> Column:
+    return F.count(F.lit(1))
+
+
 def cents(amount: str | Column) -> Column:
     return F.rint(_col(amount) * 100).cast("long")
 

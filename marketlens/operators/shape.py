@@ -6,12 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-# Only for frames already aggregated to a bounded number of groups (months, states, segments ...).
-whole_frame = W.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-
 
 def total(column: str | Column) -> Column:
-    return F.sum(column).over(whole_frame)
+    """Sum over the whole frame, for frames already aggregated to a bounded number of groups
+    (months, states, segments ...)."""
+    return F.sum(column).over(W.rowsBetween(W.unboundedPreceding, W.unboundedFollowing))
 
 
 def bin_index(value: Column, width: int, last_edge: int) -> Column:

@@ -12,18 +12,17 @@ from ..config import Settings
 from ..functions import expressions as X
 from ..operators.shape import bin_index, spread, total
 
-rows = F.count(F.lit(1))
 PERSON = "customer_unique_id"
 
 
 def repeat_percent(orders_placed: Column, digits: int = 2) -> Column:
-    return X.percent(F.count_if(orders_placed > 1), rows, digits)
+    return X.percent(F.count_if(orders_placed > 1), X.rows(), digits)
 
 
 def orders_per_customer(orders: DataFrame) -> DataFrame:
-    per_person = orders.groupBy(PERSON).agg(rows.alias("n"))
+    per_person = orders.groupBy(PERSON).agg(X.rows().alias("n"))
     label = F.when(F.col("n") >= 4, "4+").otherwise(F.col("n").cast("string"))
-    groups = per_person.groupBy(label.alias("orders_placed")).agg(rows.alias("customers"))
+    groups = per_person.groupBy(label.alias("orders_placed")).agg(X.rows().alias("customers"))
     share = X.percent(F.col("customers"), total("customers"), 2)
     return groups.withColumn("pct_customers", share).orderBy("orders_placed")
 
@@ -47,7 +46,7 @@ def second_order_gap(orders: DataFrame) -> DataFrame:
 def repeat_summary(orders: DataFrame) -> DataFrame:
     days = F.col("days_to_second_order")
     gaps = second_order_gap(orders).agg(
-        rows.alias("second_orders"),
+        X.rows().alias("second_orders"),
         F.count_if(days == 0).alias("same_day"),
         F.count_if(days > 0).alias("true_repeats"),
         F.median(F.when(days > 0, days)).alias("median_days"),
@@ -72,7 +71,7 @@ def gap_histogram(gaps: DataFrame, settings: Settings) -> DataFrame:
     counted = (
         gaps.where(days > 0)
         .groupBy(bin_index(days, width, last_edge).alias("bin"))
-        .agg(rows.alias("n"))
+        .agg(X.rows().alias("n"))
         .where("bin IS NOT NULL")
     )
     bins = gaps.sparkSession.range(last_edge // width).withColumnRenamed("id", "bin")
@@ -98,7 +97,7 @@ def cohort_long(orders: DataFrame) -> DataFrame:
     return (
         active.select(F.array_min("months").alias("first"), F.explode("months").alias("month"))
         .groupBy("first", "month")
-        .agg(rows.alias("customers"))
+        .agg(X.rows().alias("customers"))
         .select(
             X.month_text("first").alias("cohort"),
             X.months_between_starts(F.col("first"), F.col("month")).alias("month_number"),
@@ -177,7 +176,7 @@ def returned_within(orders: DataFrame, days: int, cohorts_before: date) -> DataF
     )
     return (
         people.groupBy(X.month_start("first_at").alias("m"))
-        .agg(rows.alias("customers"), F.count_if("returned").alias("n"))
+        .agg(X.rows().alias("customers"), F.count_if("returned").alias("n"))
         .select(
             X.month_text("m").alias("cohort"),
             "customers",
@@ -205,7 +204,7 @@ def repeat_by_first_lateness(orders: DataFrame, people: DataFrame) -> DataFrame:
     return (
         _with_history(first, people)
         .groupBy("is_late")
-        .agg(rows.alias("customers"), repeat_percent(F.col("total_orders")).alias("repeat_rate_pct"))
+        .agg(X.rows().alias("customers"), repeat_percent(F.col("total_orders")).alias("repeat_rate_pct"))
     )
 
 
@@ -218,7 +217,7 @@ def repeat_by_first_category(
     per_product = (
         _with_history(buyers, people)
         .groupBy("product_id")
-        .agg(rows.alias("n"), F.count_if(F.col("total_orders") > 1).alias("r"))
+        .agg(X.rows().alias("n"), F.count_if(F.col("total_orders") > 1).alias("r"))
     )
     return (
         per_product.join(products.select("product_id", "category"), "product_id")
@@ -252,7 +251,7 @@ def rfm_score_check(rfm: DataFrame) -> DataFrame:
 
 def rfm_segments(rfm: DataFrame) -> DataFrame:
     segments = rfm.groupBy("segment").agg(
-        rows.alias("customers"),
+        X.rows().alias("customers"),
         X.sum_cents("monetary").alias("c"),
         X.rounded(X.mean_money("monetary"), 0).alias("avg_spend"),
         X.rounded(F.avg("recency_days"), 0).alias("avg_days_since_order"),

@@ -10,8 +10,6 @@ from ..functions import expressions as X
 from ..operators.ranking import number_rows
 from ..operators.shape import total
 
-rows = F.count(F.lit(1))
-
 # The action shown for each RFM segment.
 SEGMENT_ACTIONS = {
     "Champions": "Reward & referral program",
@@ -63,7 +61,7 @@ def _late(orders: DataFrame) -> DataFrame:
 def kpis(orders: DataFrame) -> DataFrame:
     return orders.agg(
         X.sum_money("order_revenue").alias("revenue"),
-        rows.alias("orders"),
+        X.rows().alias("orders"),
         F.count_distinct("customer_key").alias("customers"),
         X.rounded(X.mean_money("order_revenue"), 2).alias("aov"),
         X.rounded(X.share_true("is_late") * 100.0, 1).alias("late_pct"),
@@ -73,7 +71,7 @@ def kpis(orders: DataFrame) -> DataFrame:
 
 def monthly(orders: DataFrame) -> DataFrame:
     months = orders.groupBy(X.month_start("order_date").alias("m")).agg(
-        X.sum_money("order_revenue").alias("revenue"), rows.alias("orders")
+        X.sum_money("order_revenue").alias("revenue"), X.rows().alias("orders")
     )
     return months.select(
         X.month_text("m").alias("month"),
@@ -97,7 +95,7 @@ def payment_share(orders: DataFrame) -> DataFrame:
     types = (
         orders.dropna(subset=["main_payment_type"])
         .groupBy("main_payment_type")
-        .agg(rows.alias("orders"), X.rounded(X.mean_money("order_revenue"), 2).alias("aov"))
+        .agg(X.rows().alias("orders"), X.rounded(X.mean_money("order_revenue"), 2).alias("aov"))
     )
     share = X.percent(F.col("orders"), total("orders"), 1)
     return types.withColumn("share", share).orderBy(F.desc("orders"), "main_payment_type")
@@ -106,18 +104,18 @@ def payment_share(orders: DataFrame) -> DataFrame:
 def customer_kpis(orders: DataFrame, rfm: DataFrame) -> DataFrame:
     """Repeat share counts orders within the filter only."""
     per_person = orders.groupBy("customer_key").agg(
-        rows.alias("n"), X.sum_cents("order_revenue").alias("c")
+        X.rows().alias("n"), X.sum_cents("order_revenue").alias("c")
     )
     people = per_person.agg(
-        X.percent(F.count_if(F.col("n") > 1), rows, 1).alias("pct_ordered_twice"),
-        X.rounded(X.ratio(X.money(F.sum("c")), rows), 2).alias("revenue_per_customer"),
+        X.percent(F.count_if(F.col("n") > 1), X.rows(), 1).alias("pct_ordered_twice"),
+        X.rounded(X.ratio(X.money(F.sum("c")), X.rows()), 2).alias("revenue_per_customer"),
     )
-    return people.crossJoin(rfm.agg(rows.alias("rfm_customers")))
+    return people.crossJoin(rfm.agg(X.rows().alias("rfm_customers")))
 
 
 def rfm_segments(rfm: DataFrame) -> DataFrame:
     segments = rfm.groupBy("segment").agg(
-        rows.alias("customers"),
+        X.rows().alias("customers"),
         X.sum_cents("monetary").alias("c"),
         X.rounded(X.mean_money("monetary"), 0).alias("avg_spend"),
         X.rounded(F.avg("recency_days"), 0).alias("avg_recency"),
@@ -193,7 +191,7 @@ def review_by_arrival(orders: DataFrame) -> DataFrame:
         .groupBy(arrival.alias("arrival"))
         .agg(
             X.rounded(F.avg("review_score"), 2).alias("avg_review"),
-            rows.alias("orders"),
+            X.rows().alias("orders"),
             F.min(days).alias("earliest"),
         )
         .orderBy("earliest")
@@ -208,7 +206,7 @@ def worst_states(orders: DataFrame, settings: Settings) -> DataFrame:
         .groupBy("customer_state")
         .agg(
             X.rounded(X.share_true("is_late") * 100.0, 4).alias("late_pct"),
-            rows.alias("orders"),
+            X.rows().alias("orders"),
             X.rounded(F.avg("delivery_days"), 1).alias("avg_days"),
         )
         .where(F.col("orders") >= settings.dashboard_late_min_orders)
@@ -228,10 +226,10 @@ def seller_kpis(sellers: DataFrame) -> DataFrame:
     def flagged(flag: str):
         return F.count_if(F.col("performance_flag") == flag)
 
-    all_sellers = sellers.agg(F.floor(rows / F.lit(10.0)).alias("tenth"))
+    all_sellers = sellers.agg(F.floor(X.rows() / F.lit(10.0)).alias("tenth"))
     top = F.sum(F.when(F.col("place") <= F.col("tenth"), X.cents("revenue")))
     return ranked.crossJoin(all_sellers).agg(
-        rows.alias("sellers"),
+        X.rows().alias("sellers"),
         flagged("Good").alias("good"),
         flagged("Underperforming").alias("underperforming"),
         flagged("Low volume").alias("low_volume"),

@@ -10,8 +10,6 @@ from ..functions import expressions as X
 from ..operators.ranking import ntiles
 from ..operators.shape import total
 
-rows = F.count(F.lit(1))
-
 
 def late_percent(digits: int = 1):
     return X.rounded(X.share_true("is_late") * 100.0, digits)
@@ -20,7 +18,7 @@ def late_percent(digits: int = 1):
 def delivery_kpis(delivered: DataFrame) -> DataFrame:
     """The median is exact; its state is one counter per distinct day count."""
     return delivered.agg(
-        rows.alias("delivered_orders"),
+        X.rows().alias("delivered_orders"),
         X.rounded(F.avg("delivery_days"), 1).alias("avg_delivery_days"),
         F.median("delivery_days").cast("double").alias("median_delivery_days"),
         late_percent().alias("late_pct"),
@@ -43,7 +41,7 @@ def delivery_stages(delivered: DataFrame) -> DataFrame:
 
 def late_rate_monthly(delivered: DataFrame, settings: Settings) -> DataFrame:
     months = delivered.groupBy(X.month_start("order_date").alias("m")).agg(
-        rows.alias("orders"), late_percent().alias("late_pct")
+        X.rows().alias("orders"), late_percent().alias("late_pct")
     )
     alert = F.col("late_pct") > settings.late_alert_pct
     return months.select(
@@ -55,7 +53,7 @@ def late_rate_by_state(delivered: DataFrame, settings: Settings) -> DataFrame:
     return (
         delivered.groupBy(F.col("customer_state").alias("state"))
         .agg(
-            rows.alias("orders"),
+            X.rows().alias("orders"),
             X.rounded(F.avg("delivery_days"), 1).alias("avg_delivery_days"),
             late_percent().alias("late_pct"),
         )
@@ -80,9 +78,9 @@ def review_by_arrival(delivered: DataFrame) -> DataFrame:
         delivered.where("review_score IS NOT NULL")
         .groupBy(arrival.alias("arrival"))
         .agg(
-            rows.alias("orders"),
+            X.rows().alias("orders"),
             X.rounded(F.avg("review_score"), 2).alias("avg_review"),
-            X.percent(bad, rows, 1).alias("pct_bad_reviews"),
+            X.percent(bad, X.rows(), 1).alias("pct_bad_reviews"),
         )
         .orderBy("arrival")
     )
@@ -90,7 +88,7 @@ def review_by_arrival(delivered: DataFrame) -> DataFrame:
 
 def seller_flag_summary(scorecard: DataFrame) -> DataFrame:
     flags = scorecard.groupBy("performance_flag").agg(
-        rows.alias("sellers"),
+        X.rows().alias("sellers"),
         X.sum_cents("revenue").alias("c"),
         X.rounded(X.mean_fixed("avg_review", 2), 2).alias("avg_review"),
         X.rounded(X.mean_fixed("late_rate", 3) * 100.0, 1).alias("avg_late_pct"),
@@ -141,7 +139,7 @@ def established_sellers(scorecard: DataFrame, settings: Settings) -> DataFrame:
     """Sellers with enough orders, and how many of them carry the same flag."""
     sellers = established(scorecard, settings)
     # At most one row per flag label.
-    flags = sellers.groupBy("performance_flag").agg(rows.alias("sellers_with_flag"))
+    flags = sellers.groupBy("performance_flag").agg(X.rows().alias("sellers_with_flag"))
     return sellers.join(F.broadcast(flags), "performance_flag").select(
         "seller_id", "orders", "revenue", "avg_review",
         X.rounded(F.col("late_rate") * 100.0, 1).alias("late_pct"),

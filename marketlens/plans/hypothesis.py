@@ -186,7 +186,7 @@ def spearman(df: DataFrame, x: str, y: str, max_levels: int = MAX_WINDOW_LEVELS)
         F.sum(ry * ry * w).alias("yy"),
     )
     rho = F.try_divide(F.col("xy"), F.sqrt(F.col("xx")) * F.sqrt(F.col("yy")))
-    return sums.select("n", rho.alias("rho"))
+    return sums.select(F.coalesce("n", F.lit(0)).alias("n"), rho.alias("rho"))
 
 
 def spearman_delivery_review(delivered: DataFrame) -> DataFrame:

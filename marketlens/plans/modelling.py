@@ -11,8 +11,6 @@ from ..operators.joins import squash
 from ..operators.ranking import number_in_group
 from ..operators.shape import total
 
-rows = F.count(F.lit(1))
-
 
 def orders_of_customers(customers: DataFrame, orders: DataFrame, how: str) -> DataFrame:
     """Customers and orders by name; how="left" keeps customers without orders."""
@@ -32,12 +30,12 @@ def fanout_probe(orders: DataFrame, items: DataFrame, payments: DataFrame) -> Da
     counts per order, so the pairs themselves are never produced.
     """
     per_order_items = squash(
-        items, "order_id", rows.alias("i"), F.sum(X.cents("price") + X.cents("freight_value")).alias("c")
+        items, "order_id", X.rows().alias("i"), F.sum(X.cents("price") + X.cents("freight_value")).alias("c")
     )
     pairs = (
         orders.select("order_id")
         .join(per_order_items, "order_id")
-        .join(squash(payments, "order_id", rows.alias("p")), "order_id")
+        .join(squash(payments, "order_id", X.rows().alias("p")), "order_id")
     )
     inflated = X.money(F.sum(F.col("c") * F.col("p")))
     return pairs.agg(
@@ -57,7 +55,7 @@ def state_aov_top5(orders: DataFrame, settings: Settings) -> DataFrame:
         orders.where((F.col("order_status") == "delivered") & F.col("in_analysis_window"))
         .groupBy("customer_state")
         .agg(
-            rows.alias("orders"),
+            X.rows().alias("orders"),
             X.rounded(X.mean_money("order_revenue"), 2).alias("avg_order_value"),
         )
         .where(F.col("orders") >= settings.aov_min_orders)
@@ -68,7 +66,7 @@ def state_aov_top5(orders: DataFrame, settings: Settings) -> DataFrame:
 
 def review_dedup_trace(reviews: DataFrame) -> DataFrame:
     """Reviews of orders that have several, numbered newest first; number 1 is the one kept."""
-    sizes = reviews.groupBy("order_id").agg(rows.alias("rows")).where(F.col("rows") > 1)
+    sizes = reviews.groupBy("order_id").agg(X.rows().alias("rows")).where(F.col("rows") > 1)
     several = reviews.join(sizes.select("order_id"), "order_id", "left_semi")
     newest = [F.col("review_answer_timestamp").desc_nulls_last(), F.col("review_id").desc()]
     return number_in_group(several, ["order_id"], newest, "rn", sizes).select(
@@ -88,7 +86,7 @@ def delivery_speed_buckets(orders: DataFrame) -> DataFrame:
     return (
         orders.where(days.isNotNull())
         .groupBy(speed.alias("delivery_speed"))
-        .agg(rows.alias("orders"), X.rounded(F.avg("review_score"), 2).alias("avg_review"))
+        .agg(X.rows().alias("orders"), X.rounded(F.avg("review_score"), 2).alias("avg_review"))
         .orderBy("delivery_speed")
     )
 
@@ -98,7 +96,7 @@ def top_categories_delivered(items: DataFrame, products: DataFrame) -> DataFrame
     per_product = (
         items.where(F.col("order_status") == "delivered")
         .groupBy("product_id")
-        .agg(rows.alias("n"), X.sum_cents("item_revenue").alias("c"))
+        .agg(X.rows().alias("n"), X.sum_cents("item_revenue").alias("c"))
     )
     return (
         per_product.join(products.select("product_id", "category"), "product_id")
@@ -113,7 +111,7 @@ def late_vs_on_time(orders: DataFrame) -> DataFrame:
     by_lateness = (
         orders.where("is_late IS NOT NULL")
         .groupBy("is_late")
-        .agg(rows.alias("orders"), X.rounded(F.avg("review_score"), 2).alias("avg_review_score"))
+        .agg(X.rows().alias("orders"), X.rounded(F.avg("review_score"), 2).alias("avg_review_score"))
     )
     return by_lateness.select(
         F.when(F.col("is_late"), "Late").otherwise("On time").alias("delivery"),

@@ -8,8 +8,6 @@ from pyspark.sql import functions as F
 from ..functions import expressions as X
 from ..operators.shape import total
 
-rows = F.count(F.lit(1))
-
 
 def distinct_counts(df: DataFrame, **columns: str) -> DataFrame:
     """Row count and the exact distinct count of each named column.
@@ -17,7 +15,7 @@ def distinct_counts(df: DataFrame, **columns: str) -> DataFrame:
     Every column is counted in its own aggregate: one combined count-distinct would copy each row
     once per column before the shuffle.
     """
-    out = df.agg(rows.alias("total_rows"))
+    out = df.agg(X.rows().alias("total_rows"))
     for name, column in columns.items():
         out = out.crossJoin(df.agg(F.count_distinct(column).alias(name)))
     return out
@@ -28,7 +26,7 @@ def row_vs_distinct(orders: DataFrame) -> DataFrame:
 
 
 def status_share(orders: DataFrame) -> DataFrame:
-    by_status = orders.groupBy("order_status").agg(rows.alias("orders"))
+    by_status = orders.groupBy("order_status").agg(X.rows().alias("orders"))
     share = X.percent(F.col("orders"), total("orders"), 2)
     return by_status.withColumn("pct_of_total", share).orderBy(F.desc("orders"), "order_status")
 
@@ -42,7 +40,7 @@ def monthly_orders(orders: DataFrame) -> DataFrame:
     """Grouped by the month's first day; only the finished groups are formatted."""
     return (
         orders.groupBy(X.month_start("order_purchase_timestamp").alias("month_day"))
-        .agg(rows.alias("orders"))
+        .agg(X.rows().alias("orders"))
         .select(X.month_text("month_day").alias("month"), "orders")
         .orderBy("month")
     )
@@ -51,14 +49,14 @@ def monthly_orders(orders: DataFrame) -> DataFrame:
 def null_counts(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """NULLs per column, all columns in one pass."""
     missing: list[Column] = [
-        (rows - F.count(F.col(c))).alias(f"missing_{c}") for c in columns or df.columns
+        (X.rows() - F.count(F.col(c))).alias(f"missing_{c}") for c in columns or df.columns
     ]
     return df.agg(*missing)
 
 
 def delivered_without_date(orders: DataFrame) -> DataFrame:
     undated = (F.col("order_status") == "delivered") & F.col("order_delivered_customer_date").isNull()
-    return orders.where(undated).agg(rows.alias("delivered_but_no_date"))
+    return orders.where(undated).agg(X.rows().alias("delivered_but_no_date"))
 
 
 def customer_ids(customers: DataFrame) -> DataFrame:
@@ -71,7 +69,7 @@ def customer_ids(customers: DataFrame) -> DataFrame:
 
 def repeat_share(customers: DataFrame) -> DataFrame:
     """People with more than one order; their share of all people comes from the same groups."""
-    per_person = customers.groupBy("customer_unique_id").agg(rows.alias("n"))
+    per_person = customers.groupBy("customer_unique_id").agg(X.rows().alias("n"))
     repeat = F.count_if(F.col("n") > 1)
     people = F.count("customer_unique_id")
     return per_person.agg(
@@ -84,16 +82,16 @@ def review_duplicates(reviews: DataFrame) -> DataFrame:
 
 
 def multi_review_orders(reviews: DataFrame) -> DataFrame:
-    per_order = reviews.groupBy("order_id").agg(rows.alias("n"))
+    per_order = reviews.groupBy("order_id").agg(X.rows().alias("n"))
     return per_order.agg(F.count_if(F.col("n") > 1).alias("orders_with_multiple_reviews"))
 
 
 def geo_fanout(geolocation: DataFrame) -> DataFrame:
     zips = F.count_distinct("geolocation_zip_code_prefix")
     return geolocation.agg(
-        rows.alias("total_rows"),
+        X.rows().alias("total_rows"),
         zips.alias("unique_zip_prefixes"),
-        X.rounded(X.ratio(rows, zips), 1).alias("avg_rows_per_zip"),
+        X.rounded(X.ratio(X.rows(), zips), 1).alias("avg_rows_per_zip"),
     )
 
 
@@ -102,7 +100,7 @@ def geo_centroids(geolocation: DataFrame) -> DataFrame:
     return (
         geolocation.groupBy(F.col("geolocation_zip_code_prefix").alias("zip_code_prefix"))
         .agg(
-            rows.alias("points"),
+            X.rows().alias("points"),
             X.rounded(F.avg("geolocation_lat"), 6).alias("lat"),
             X.rounded(F.avg("geolocation_lng"), 6).alias("lng"),
         )
@@ -110,7 +108,7 @@ def geo_centroids(geolocation: DataFrame) -> DataFrame:
 
 
 def missing_category(products: DataFrame) -> DataFrame:
-    missing = rows - F.count("product_category_name")
+    missing = X.rows() - F.count("product_category_name")
     return products.agg(missing.alias("products_missing_category"))
 
 
@@ -129,11 +127,11 @@ def orders_without_items(orders: DataFrame, items: DataFrame) -> DataFrame:
         orders.select("order_id", "order_status")
         .join(items.select("order_id").distinct(), "order_id", "left_anti")
         .groupBy("order_status")
-        .agg(rows.alias("orders_without_items"))
+        .agg(X.rows().alias("orders_without_items"))
         .orderBy(F.desc("orders_without_items"), "order_status")
     )
 
 
 def payment_types(payments: DataFrame) -> DataFrame:
-    by_type = payments.groupBy("payment_type").agg(rows.alias("payments"))
+    by_type = payments.groupBy("payment_type").agg(X.rows().alias("payments"))
     return by_type.orderBy(F.desc("payments"), "payment_type")

@@ -10,12 +10,10 @@ from ..config import Settings
 from ..functions import expressions as X
 from ..operators.shape import spread, total
 
-rows = F.count(F.lit(1))
-
 
 def headline_kpis(orders: DataFrame) -> DataFrame:
     return orders.agg(
-        rows.alias("orders"),
+        X.rows().alias("orders"),
         X.whole_units(X.sum_cents("order_revenue")).alias("revenue"),
         F.count_distinct("customer_unique_id").alias("customers"),
         X.rounded(X.mean_money("order_revenue"), 2).alias("aov"),
@@ -26,7 +24,7 @@ def headline_kpis(orders: DataFrame) -> DataFrame:
 def monthly_trend(orders: DataFrame) -> DataFrame:
     """Windows run over one row per month, after the aggregation."""
     months = orders.groupBy(X.month_start("order_date").alias("m")).agg(
-        rows.alias("orders"), X.sum_cents("order_revenue").alias("c")
+        X.rows().alias("orders"), X.sum_cents("order_revenue").alias("c")
     )
     in_order = W.orderBy("m")
     three = in_order.rowsBetween(-2, 0)
@@ -50,7 +48,7 @@ def yoy_growth(orders: DataFrame, settings: Settings) -> DataFrame:
         orders.where(F.month("order_date") <= settings.compared_last_month)
         .groupBy(F.year("order_date").cast("long").alias("year"))
         .agg(
-            rows.alias("orders"),
+            X.rows().alias("orders"),
             X.whole_units(X.sum_cents("order_revenue")).alias("revenue"),
             X.rounded(X.mean_money("order_revenue"), 2).alias("aov"),
         )
@@ -66,7 +64,7 @@ def daily_orders(orders: DataFrame, settings: Settings) -> DataFrame:
     return (
         orders.where(days)
         .groupBy("order_date")
-        .agg(rows.alias("orders"), X.whole_units(X.sum_cents("order_revenue")).alias("revenue"))
+        .agg(X.rows().alias("orders"), X.whole_units(X.sum_cents("order_revenue")).alias("revenue"))
         .orderBy("order_date")
     )
 
@@ -93,7 +91,7 @@ def weekday_hour_grid(orders: DataFrame) -> DataFrame:
     """Seven rows by 24 hour columns; a cell without orders is NULL."""
     cells = orders.groupBy(
         X.iso_weekday("purchased_at").alias("weekday"), F.hour("purchased_at").alias("hour")
-    ).agg(rows.alias("n"))
+    ).agg(X.rows().alias("n"))
     hours = list(range(24))
     grid = spread(cells, "weekday", "hour", hours, F.sum("n"))
     return grid.select("weekday", *[F.col(str(h)).alias(f"h{h:02d}") for h in hours]).orderBy("weekday")
@@ -133,7 +131,7 @@ def category_pareto(items: DataFrame, products: DataFrame, settings: Settings) -
 def categories_to_80pct(pareto: DataFrame) -> DataFrame:
     return pareto.agg(
         (F.count_if(F.col("cumulative_share_pct") < 80) + 1).alias("top_categories"),
-        rows.alias("categories"),
+        X.rows().alias("categories"),
     )
 
 
@@ -157,7 +155,7 @@ def payment_mix(orders: DataFrame) -> DataFrame:
         orders.where("main_payment_type IS NOT NULL")
         .groupBy(F.col("main_payment_type").alias("payment_type"))
         .agg(
-            rows.alias("orders"),
+            X.rows().alias("orders"),
             X.rounded(X.mean_money("order_revenue"), 2).alias("aov"),
             X.rounded(F.avg("installments"), 1).alias("avg_installments"),
         )
@@ -182,7 +180,7 @@ def installment_buckets(orders: DataFrame) -> DataFrame:
         orders.where(F.col("main_payment_type") == "credit_card")
         .groupBy(bucket.alias("bucket"))
         .agg(
-            rows.alias("orders"),
+            X.rows().alias("orders"),
             X.rounded(X.mean_money("order_revenue"), 2).alias("aov"),
             F.min(n).alias("shortest"),
         )

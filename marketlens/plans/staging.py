@@ -66,19 +66,20 @@ def stg_products(raw_products: DataFrame, translation: DataFrame, settings: Sett
 
 
 def stg_reviews(raw_reviews: DataFrame) -> DataFrame:
-    """Latest answered review per order as an aggregate, so each map task keeps one row per order."""
-    review = F.struct(
-        "review_id",
-        "review_score",
-        "review_comment_message",
-        F.col("review_creation_date").alias("review_created_at"),
-        F.col("review_answer_timestamp").alias("review_answered_at"),
-    )
-    recency = F.struct("review_answer_timestamp", "review_id")
-    return (
-        raw_reviews.groupBy("order_id")
-        .agg(F.max_by(review, recency).alias("latest"))
-        .select("order_id", "latest.*")
+    """Latest answered review per order as an aggregate, so each map task keeps one row per order.
+
+    One aggregate per column, so that a reader of the score alone never moves the comments.
+    """
+    latest = F.struct("review_answer_timestamp", "review_id")
+    columns = {
+        "review_id": "review_id",
+        "review_score": "review_score",
+        "review_comment_message": "review_comment_message",
+        "review_creation_date": "review_created_at",
+        "review_answer_timestamp": "review_answered_at",
+    }
+    return raw_reviews.groupBy("order_id").agg(
+        *[F.max_by(source, latest).alias(name) for source, name in columns.items()]
     )
 
 

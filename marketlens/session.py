@@ -19,6 +19,11 @@ def configure(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     # Split a hot join key even when the split costs one more exchange downstream.
     spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+    # Judge broadcast candidates by their size in memory, not by the compressed files.
+    spark.conf.set("spark.sql.sources.fileCompressionFactor", "4.0")
+    # Once every partition of a join side is measured to be this small, hash it instead of sorting
+    # both sides.
+    spark.conf.set("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "32MB")
     return spark
 
 

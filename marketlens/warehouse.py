@@ -8,6 +8,7 @@ lazy. Paths, not DataFrames, are remembered: any session of the application may
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -29,6 +30,11 @@ MARTS = (
     "dim_date", "dim_customers", "dim_products", "dim_sellers", "fct_order_items", "fct_orders",
     "customer_rfm", "seller_scorecard",
 )
+MART_WAVES = (
+    ("dim_customers", "fct_order_items", "dim_products", "dim_sellers", "dim_date"),
+    ("fct_orders",),
+    ("customer_rfm", "seller_scorecard"),
+)
 
 
 def staging_model(name: str, raw: Callable[[str], DataFrame], settings: Settings) -> DataFrame:
@@ -107,9 +113,13 @@ class Warehouse:
     def mart(self, name: str) -> DataFrame:
         return self.stored(f"marts.{name}", lambda: self.mart_model(name))
 
-    def build(self, names: Iterable[str] = MARTS) -> None:
-        for name in names:
-            self.mart(name)
+    def build(self, at_once: int = 4) -> None:
+        """Store all raw tables and marts. Tables of one wave do not need each other, so their jobs
+        are submitted together and share the executors."""
+        waves = [(self.raw, RAW)] + [(self.mart, wave) for wave in MART_WAVES]
+        with ThreadPoolExecutor(at_once) as pool:
+            for get, names in waves:
+                list(pool.map(get, names))
 
     def layers(self, names: Iterable[str] = ("raw", "staging", "marts")) -> dict:
         """Layer -> table name -> DataFrame."""
