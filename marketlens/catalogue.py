@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .config import STANDIN
 from .plans import checks, customers, dashboard, delivery, extracts, hypothesis, marts
 from .plans import modelling, profiling, revenue
-from .session import configure
+from .session import configure, size_shuffles
 from .sources import catalog
 from .sources.standin import standin_sources
 from .warehouse import MARTS, STAGING, Warehouse
@@ -19,7 +19,7 @@ _written: dict[tuple[str, str], dict] = {}
 
 def warehouse(spark: SparkSession, folder: str) -> Warehouse:
     """The warehouse of a folder; its stored tables are shared by all queries of an application."""
-    configure(spark)
+    size_shuffles(configure(spark), folder)
     key = (spark.sparkContext.applicationId, folder)
     return Warehouse(spark, standin_sources(spark, folder), STANDIN, _written.setdefault(key, {}))
 

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from ..config import STANDIN, Settings
 from ..functions import expressions as X
 from ..plans import checks, extracts
-from ..session import configure
+from ..session import configure, size_shuffles
 from ..sources import catalog
 from ..sources.csv_files import load_raw
 from ..sources.standin import standin_sources
@@ -146,6 +146,7 @@ def main(arguments: list[str] | None = None) -> None:
     options = parser.parse_args(arguments)
 
     spark = SparkSession.builder.appName("marketlens-build").getOrCreate()
+    size_shuffles(spark, options.csv or options.standin)
     if options.csv:
         frames = load_raw(spark, options.csv)
         raw, settings = {name: (lambda df=df: df) for name, df in frames.items()}, Settings()

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 
 def squash(df: DataFrame, key: str, *aggregates: Column) -> DataFrame:
@@ -17,6 +20,7 @@ def squash_join(base: DataFrame, key: str, *parts: DataFrame) -> DataFrame:
     return base
 
 
-def with_totals(df: DataFrame, totals: DataFrame) -> DataFrame:
-    """Attach a one-row frame of totals to every row of an aggregated frame."""
-    return df.crossJoin(totals)
+def side_by_side(*one_row: DataFrame) -> DataFrame:
+    """One-row frames with different columns as a single row, without a cross join."""
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), one_row)
+    return stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .joins import side_by_side
+
 
 def duplicates(df: DataFrame, *keys: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
@@ -15,14 +17,13 @@ def violations(df: DataFrame, broken: Column, *shown: str) -> DataFrame:
 
 
 def count_mismatch(left: DataFrame, right: DataFrame, left_name: str, right_name: str) -> DataFrame:
-    """One-row aggregates side by side, kept only when they differ."""
-    counts = left.agg(F.count(F.lit(1)).alias(left_name)).crossJoin(
-        right.agg(F.count(F.lit(1)).alias(right_name))
+    """The two row counts, kept only when they differ."""
+    return value_mismatch(
+        left.agg(F.count(F.lit(1)).alias(left_name)), right.agg(F.count(F.lit(1)).alias(right_name))
     )
-    return counts.where(F.col(left_name) != F.col(right_name))
 
 
 def value_mismatch(left: DataFrame, right: DataFrame) -> DataFrame:
     """Two one-row, one-column frames, kept only when their values differ."""
     (a,), (b,) = left.columns, right.columns
-    return left.crossJoin(right).where(F.col(a) != F.col(b))
+    return side_by_side(left, right).where(F.col(a) != F.col(b))

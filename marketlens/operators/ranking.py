@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 
 from ..session import stash
 
-ROWS_PER_RANGE = 1_000_000
-MAX_GROUP_ROWS = 1_000_000
+ROWS_PER_RANGE = 2_000_000
+MAX_GROUP_ROWS = 2_000_000
 
 # monotonically_increasing_id() keeps the partition above bit 33 and the position below it.
 _SEAT_BITS = 33

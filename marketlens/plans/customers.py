@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..config import Settings
 from ..functions import expressions as X
+from ..operators.joins import side_by_side
 from ..operators.shape import bin_index, spread, total
 
 PERSON = "customer_unique_id"
@@ -52,7 +53,7 @@ def repeat_summary(orders: DataFrame) -> DataFrame:
         F.median(F.when(days > 0, days)).alias("median_days"),
     )
     people = orders.agg(F.count_distinct(PERSON).alias("customers"))
-    return gaps.crossJoin(people).select(
+    return side_by_side(gaps, people).select(
         "customers",
         "second_orders",
         "same_day",

@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from ..config import Settings
 from ..functions import expressions as X
+from ..operators.joins import side_by_side
 from ..operators.ranking import number_rows
 from ..operators.shape import total
+from ..session import stash
 
 # The action shown for each RFM segment.
 SEGMENT_ACTIONS = {
@@ -110,7 +112,7 @@ def customer_kpis(orders: DataFrame, rfm: DataFrame) -> DataFrame:
         X.percent(F.count_if(F.col("n") > 1), X.rows(), 1).alias("pct_ordered_twice"),
         X.rounded(X.ratio(X.money(F.sum("c")), X.rows()), 2).alias("revenue_per_customer"),
     )
-    return people.crossJoin(rfm.agg(X.rows().alias("rfm_customers")))
+    return side_by_side(people, rfm.agg(X.rows().alias("rfm_customers")))
 
 
 def rfm_segments(rfm: DataFrame) -> DataFrame:
@@ -217,18 +219,16 @@ def worst_states(orders: DataFrame, settings: Settings) -> DataFrame:
 
 def seller_kpis(sellers: DataFrame) -> DataFrame:
     """Sellers per flag, and the revenue share of the first tenth (rounded down) by revenue."""
-    ranked = number_rows(
-        sellers.select("seller", "revenue", "performance_flag"),
-        [F.col("revenue").desc_nulls_last(), F.col("seller").asc()],
-        "place",
-    )
+    sellers = stash(sellers.select("seller", "revenue", "performance_flag"))
+    count = sellers.count()
+    by_revenue = [F.col("revenue").desc_nulls_last(), F.col("seller").asc()]
+    ranked = number_rows(sellers, by_revenue, "place", count)
 
     def flagged(flag: str):
         return F.count_if(F.col("performance_flag") == flag)
 
-    all_sellers = sellers.agg(F.floor(X.rows() / F.lit(10.0)).alias("tenth"))
-    top = F.sum(F.when(F.col("place") <= F.col("tenth"), X.cents("revenue")))
-    return ranked.crossJoin(all_sellers).agg(
+    top = F.sum(F.when(F.col("place") <= count // 10, X.cents("revenue")))
+    return ranked.agg(
         X.rows().alias("sellers"),
         flagged("Good").alias("good"),
         flagged("Underperforming").alias("underperforming"),

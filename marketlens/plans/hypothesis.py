@@ -157,17 +157,15 @@ def chi2_late_repeat(crosstab: DataFrame) -> DataFrame:
     )
 
 
-def _centred_ranks(cells: DataFrame, value: str, name: str, max_levels: int) -> DataFrame:
-    """Average rank of each distinct value minus the mean rank, doubled to stay whole."""
+def _average_ranks(cells: DataFrame, value: str, name: str, max_levels: int) -> DataFrame:
+    """Average rank of each distinct value. A window orders the levels while they are few."""
     levels = cells.groupBy(value).agg(F.sum("n").alias("ties"))
     if levels.count() <= max_levels:
         ahead = F.sum("ties").over(W.orderBy(value)) - F.col("ties")
         levels = levels.select(value, "ties", ahead.alias("ahead"))
     else:
         levels = counts_ahead(cells, value, weight="n")
-    doubled = F.col("ahead") * 2 + F.col("ties") + 1
-    n = levels.agg(F.sum("ties").alias("all"))
-    return levels.crossJoin(n).select(value, (doubled - F.col("all") - 1).cast("double").alias(name))
+    return levels.select(value, (F.col("ahead") + (F.col("ties") + 1) / F.lit(2.0)).alias(name))
 
 
 def spearman(df: DataFrame, x: str, y: str, max_levels: int = MAX_WINDOW_LEVELS) -> DataFrame:
@@ -175,8 +173,8 @@ def spearman(df: DataFrame, x: str, y: str, max_levels: int = MAX_WINDOW_LEVELS)
     cells = stash(
         df.select(x, y).dropna().groupBy(x, y).agg(F.count(F.lit(1)).alias("n")), "cells"
     )
-    ranked = cells.join(_centred_ranks(cells, x, "rx", max_levels), x).join(
-        _centred_ranks(cells, y, "ry", max_levels), y
+    ranked = cells.join(_average_ranks(cells, x, "rx", max_levels), x).join(
+        _average_ranks(cells, y, "ry", max_levels), y
     )
     rx, ry, w = F.col("rx"), F.col("ry"), F.col("n")
     sums = ranked.agg(
@@ -185,7 +183,16 @@ def spearman(df: DataFrame, x: str, y: str, max_levels: int = MAX_WINDOW_LEVELS)
         F.sum(rx * rx * w).alias("xx"),
         F.sum(ry * ry * w).alias("yy"),
     )
-    rho = F.try_divide(F.col("xy"), F.sqrt(F.col("xx")) * F.sqrt(F.col("yy")))
+    n = F.col("n").cast("double")
+    # The ranks 1..n have mean (n + 1) / 2, ties or not.
+    centre = n * (n + 1) * (n + 1) / 4
+
+    def spread_of(squares: str) -> Column:
+        return F.greatest(F.col(squares) - centre, F.lit(0.0))
+
+    rho = F.try_divide(
+        F.col("xy") - centre, F.sqrt(spread_of("xx")) * F.sqrt(spread_of("yy"))
+    )
     return sums.select(F.coalesce("n", F.lit(0)).alias("n"), rho.alias("rho"))
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import expressions as X
+from ..operators.joins import side_by_side
 from ..operators.shape import total
 
 
@@ -15,10 +16,8 @@ def distinct_counts(df: DataFrame, **columns: str) -> DataFrame:
     Every column is counted in its own aggregate: one combined count-distinct would copy each row
     once per column before the shuffle.
     """
-    out = df.agg(X.rows().alias("total_rows"))
-    for name, column in columns.items():
-        out = out.crossJoin(df.agg(F.count_distinct(column).alias(name)))
-    return out
+    counts = [df.agg(F.count_distinct(column).alias(name)) for name, column in columns.items()]
+    return side_by_side(df.agg(X.rows().alias("total_rows")), *counts)
 
 
 def row_vs_distinct(orders: DataFrame) -> DataFrame:

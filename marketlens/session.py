@@ -27,6 +27,20 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+MAX_SHUFFLE_PARTITIONS = 40_000
+BYTES_PER_SHUFFLE_PARTITION = 256 * 1024 * 1024
+
+
+def size_shuffles(spark: SparkSession, folder: str) -> None:
+    """Raise the number of shuffle partitions to fit the input; AQE merges those that stay small."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    size = files.getContentSummary(path).getLength()
+    wanted = min(MAX_SHUFFLE_PARTITIONS, -(-size // BYTES_PER_SHUFFLE_PARTITION))
+    if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
+        spark.conf.set("spark.sql.shuffle.partitions", wanted)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by the cluster in spark.checkpoint.dir."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()

@@ -390,7 +390,7 @@ def _midrank(value: str) -> str:
 
 
 def _spearman(source: str, x: str, y: str, extra: str = "") -> str:
-    return f"""SELECT {extra} count(*) AS n, {rnd('corr(rx, ry)', 6)} AS rho
+    return f"""SELECT {extra} count(*) AS n, {rnd('CASE WHEN NOT isnan(corr(rx, ry)) THEN corr(rx, ry) END', 6)} AS rho
         FROM (SELECT {_midrank(x)} AS rx, {_midrank(y)} AS ry FROM {source}
               WHERE {x} IS NOT NULL AND {y} IS NOT NULL)"""
 
