@@ -51,7 +51,11 @@ def number_rows(
     rows: int | None = None,
     rows_per_range: int | None = None,
 ) -> DataFrame:
-    """ROW_NUMBER() OVER (ORDER BY order) with one range shuffle. `rows` skips a count if known."""
+    """ROW_NUMBER() OVER (ORDER BY order) with one range shuffle.
+
+    The rows are read more than once, so `df` is stored first; give `rows`, the exact number of
+    rows, for a frame that is cheap to read again.
+    """
     if rows is None:
         df = stash(df)
         rows = df.count()
@@ -74,11 +78,15 @@ def bucket_of(row: Column, rows: int, buckets: int) -> Column:
 
 
 def ntiles(
-    df: DataFrame, scores: list[tuple[str, list[Column], int]], rows_per_range: int | None = None
+    df: DataFrame,
+    scores: list[tuple[str, list[Column], int]],
+    rows: int | None = None,
+    rows_per_range: int | None = None,
 ) -> DataFrame:
-    """Add NTILE(k) OVER (ORDER BY order) for each (name, order, k)."""
-    df = stash(df)
-    rows = df.count()
+    """Add NTILE(k) OVER (ORDER BY order) for each (name, order, k). `rows` as in number_rows."""
+    if rows is None:
+        df = stash(df)
+        rows = df.count()
     for name, order, buckets in scores:
         numbered = number_rows(df, order, "_row", rows, rows_per_range)
         df = numbered.withColumn(name, bucket_of(F.col("_row"), rows, buckets)).drop("_row")
@@ -95,12 +103,14 @@ def counts_ahead(
     """One row per distinct value: its `ties` and how many rows sort strictly ahead of it.
 
     Equal values are counted before any shuffle, so a tie group of any size is one row here.
-    `weight` names a column saying how many rows each input row stands for. NULLs sort last.
+    `weight` names a column saying how many rows each input row stands for. NULLs sort last. Pass a
+    stored frame: it is read more than once.
     """
     ties = F.sum(weight) if weight else F.count(F.lit(1))
     order = F.col(value).desc_nulls_last() if descending else F.col(value).asc_nulls_last()
-    levels = stash(df.groupBy(value).agg(ties.alias("ties")), "levels")
-    seated = _seated(levels, [order], _ranges(levels.count(), rows_per_range or ROWS_PER_RANGE))
+    levels = df.groupBy(value).agg(ties.alias("ties"))
+    # There are at most as many levels as rows.
+    seated = _seated(levels, [order], _ranges(df.count(), rows_per_range or ROWS_PER_RANGE))
     before = _amount_before(seated, F.sum("ties"))
     within = W.partitionBy("_range").orderBy("_seat").rowsBetween(W.unboundedPreceding, -1)
     return (
@@ -114,6 +124,7 @@ def rank_by(
     df: DataFrame, value: str, name: str, descending: bool = False, rows_per_range: int | None = None
 ) -> DataFrame:
     """RANK() OVER (ORDER BY value)."""
+    df = stash(df)
     levels = counts_ahead(df, value, descending, rows_per_range).select(
         F.col(value).alias("_level"), (F.col("ahead") + 1).alias(name)
     )

@@ -10,7 +10,6 @@ from ..functions import expressions as X
 from ..operators.joins import side_by_side
 from ..operators.ranking import number_rows
 from ..operators.shape import total
-from ..session import stash
 
 # The action shown for each RFM segment.
 SEGMENT_ACTIONS = {
@@ -219,7 +218,7 @@ def worst_states(orders: DataFrame, settings: Settings) -> DataFrame:
 
 def seller_kpis(sellers: DataFrame) -> DataFrame:
     """Sellers per flag, and the revenue share of the first tenth (rounded down) by revenue."""
-    sellers = stash(sellers.select("seller", "revenue", "performance_flag"))
+    sellers = sellers.select("seller", "revenue", "performance_flag")
     count = sellers.count()
     by_revenue = [F.col("revenue").desc_nulls_last(), F.col("seller").asc()]
     ranked = number_rows(sellers, by_revenue, "place", count)

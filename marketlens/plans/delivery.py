@@ -106,7 +106,8 @@ def seller_flag_summary(scorecard: DataFrame) -> DataFrame:
 def seller_concentration(scorecard: DataFrame) -> DataFrame:
     """Revenue share of the first of ten equal groups of sellers by revenue."""
     order = [F.col("revenue").desc_nulls_last(), F.col("seller_id").asc()]
-    deciles = ntiles(scorecard.select("seller_id", "revenue"), [("decile", order, 10)])
+    sellers = scorecard.select("seller_id", "revenue")
+    deciles = ntiles(sellers, [("decile", order, 10)], sellers.count())
     top = F.sum(F.when(F.col("decile") == 1, X.cents("revenue")))
     return deciles.agg(
         F.count_if(F.col("decile") == 1).alias("top_sellers"),

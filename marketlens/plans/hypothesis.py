@@ -157,10 +157,10 @@ def chi2_late_repeat(crosstab: DataFrame) -> DataFrame:
     )
 
 
-def _average_ranks(cells: DataFrame, value: str, name: str, max_levels: int) -> DataFrame:
-    """Average rank of each distinct value. A window orders the levels while they are few."""
-    levels = cells.groupBy(value).agg(F.sum("n").alias("ties"))
-    if levels.count() <= max_levels:
+def _average_ranks(cells: DataFrame, value: str, name: str, few: bool) -> DataFrame:
+    """Average rank of each distinct value. A window orders the levels if they are few."""
+    if few:
+        levels = cells.groupBy(value).agg(F.sum("n").alias("ties"))
         ahead = F.sum("ties").over(W.orderBy(value)) - F.col("ties")
         levels = levels.select(value, "ties", ahead.alias("ahead"))
     else:
@@ -173,8 +173,9 @@ def spearman(df: DataFrame, x: str, y: str, max_levels: int = MAX_WINDOW_LEVELS)
     cells = stash(
         df.select(x, y).dropna().groupBy(x, y).agg(F.count(F.lit(1)).alias("n")), "cells"
     )
-    ranked = cells.join(_average_ranks(cells, x, "rx", max_levels), x).join(
-        _average_ranks(cells, y, "ry", max_levels), y
+    few = cells.count() <= max_levels
+    ranked = cells.join(_average_ranks(cells, x, "rx", few), x).join(
+        _average_ranks(cells, y, "ry", few), y
     )
     rx, ry, w = F.col("rx"), F.col("ry"), F.col("n")
     sums = ranked.agg(

@@ -246,6 +246,7 @@ def customer_rfm(orders: DataFrame, settings: Settings) -> DataFrame:
     repeat = F.col("frequency") >= 2
     recent, old = F.col("r_score") >= 4, F.col("r_score") <= 2
     big = F.col("m_score") >= 4
+    # The published segment names.
     segment = X.ladder(
         (repeat & recent, "Champions"),
         (repeat, "Loyal (lapsing)"),
@@ -301,6 +302,7 @@ def seller_scorecard(
         "revenue_rank",
         descending=True,
     )
+    # The published flag names.
     flag = X.ladder(
         (F.col("orders") < settings.seller_min_orders, "Low volume"),
         (

@@ -30,11 +30,19 @@ MARTS = (
     "dim_date", "dim_customers", "dim_products", "dim_sellers", "fct_order_items", "fct_orders",
     "customer_rfm", "seller_scorecard",
 )
+RAW_INPUTS = {
+    "dim_customers": ("orders", "customers"),
+    "dim_products": ("products", "category_translation"),
+    "dim_sellers": ("sellers",),
+    "fct_order_items": ("orders", "customers", "order_items"),
+    "fct_orders": ("orders", "customers", "order_items", "order_payments", "order_reviews"),
+}
 MART_WAVES = (
     ("dim_customers", "fct_order_items", "dim_products", "dim_sellers", "dim_date"),
     ("fct_orders",),
     ("customer_rfm", "seller_scorecard"),
 )
+JOBS_AT_ONCE = 4
 
 
 def staging_model(name: str, raw: Callable[[str], DataFrame], settings: Settings) -> DataFrame:
@@ -111,15 +119,24 @@ class Warehouse:
         return mart_model(name, self.spark, self.stg, self.mart, self.settings)
 
     def mart(self, name: str) -> DataFrame:
+        if f"marts.{name}" not in self._written:
+            self._together(self.raw, RAW_INPUTS.get(name, ()))
         return self.stored(f"marts.{name}", lambda: self.mart_model(name))
 
-    def build(self, at_once: int = 4) -> None:
-        """Store all raw tables and marts. Tables of one wave do not need each other, so their jobs
-        are submitted together and share the executors."""
-        waves = [(self.raw, RAW)] + [(self.mart, wave) for wave in MART_WAVES]
-        with ThreadPoolExecutor(at_once) as pool:
-            for get, names in waves:
-                list(pool.map(get, names))
+    def load(self) -> None:
+        self._together(self.raw, RAW)
+
+    def build(self) -> None:
+        """Store all raw tables and marts."""
+        self.load()
+        for wave in MART_WAVES:
+            self._together(self.mart, wave)
+
+    def _together(self, get: Callable[[str], DataFrame], names: Iterable[str]) -> None:
+        """Store tables that do not need each other: their jobs are submitted at the same time and
+        share the executors."""
+        with ThreadPoolExecutor(JOBS_AT_ONCE) as pool:
+            list(pool.map(get, names))
 
     def layers(self, names: Iterable[str] = ("raw", "staging", "marts")) -> dict:
         """Layer -> table name -> DataFrame."""

@@ -72,7 +72,8 @@ FROM orders WHERE o_orderkey % 181 = 0""",
 SELECT p_partkey AS product_id,
        CASE WHEN p_partkey % 53 = 0 THEN NULL
             ELSE concat(lower(p_type), '_', split_part(p_name, ' ', 2)) END AS product_category_name,
-       length(p_name) AS product_name_lenght, length(p_name) * 7 AS product_description_lenght,
+       CAST(length(p_name) AS INTEGER) AS product_name_lenght,
+       CAST(length(p_name) * 7 AS INTEGER) AS product_description_lenght,
        1 + p_partkey % 6 AS product_photos_qty,
        CASE WHEN p_partkey % 997 = 1 THEN NULL ELSE p_size * 100 END AS product_weight_g,
        p_size + 10 AS product_length_cm, p_size + 2 AS product_height_cm,
