@@ -53,6 +53,7 @@ def timed(action) -> float:
 
 def bench_spark() -> dict[str, float]:
     from marketlens import catalogue
+    from marketlens.session import release
     from marketlens.warehouse import Warehouse
 
     spark = session()
@@ -60,7 +61,7 @@ def bench_spark() -> dict[str, float]:
 
     def fresh() -> Warehouse:
         shared = catalogue.warehouse(spark, FOLDER)
-        return Warehouse(spark, shared.sources, shared.settings)
+        return Warehouse(spark, shared.sources, shared.settings, shared.stored_raw)
 
     catalogue.warehouse(spark, FOLDER).build()  # warm up; the queries below read these tables
     warehouse = fresh()
@@ -72,6 +73,7 @@ def bench_spark() -> dict[str, float]:
     for name in HEADLINE:
         run(name)  # warm up
         times[name] = statistics.median(timed(lambda: run(name)) for _ in range(RUNS))
+    release(spark)
     spark.stop()
     return times
 

@@ -11,7 +11,7 @@ from .plans import checks, customers, dashboard, delivery, extracts, hypothesis,
 from .plans import modelling, profiling, revenue
 from .session import configure, size_shuffles
 from .sources import catalog
-from .sources.standin import standin_sources
+from .sources.standin import DERIVED, standin_sources
 from .warehouse import MARTS, STAGING, Warehouse
 
 _written: dict[tuple[str, str], dict] = {}
@@ -21,7 +21,8 @@ def warehouse(spark: SparkSession, folder: str) -> Warehouse:
     """The warehouse of a folder; its stored tables are shared by all queries of an application."""
     size_shuffles(configure(spark), folder)
     key = (spark.sparkContext.applicationId, folder)
-    return Warehouse(spark, standin_sources(spark, folder), STANDIN, _written.setdefault(key, {}))
+    written = _written.setdefault(key, {})
+    return Warehouse(spark, standin_sources(spark, folder), STANDIN, DERIVED, written)
 
 
 class Frames:
@@ -96,6 +97,7 @@ PLANS: dict[str, Callable[[Frames], DataFrame]] = {
     # Catalog
     "load_summary": lambda f: catalog.table_sizes(f.w.layers(("raw",))["raw"]),
     "layer_inventory": lambda f: catalog.layer_inventory(f.w.layers()),
+    "describe_orders": lambda f: profiling.describe_columns(f.raw("orders")),
     # Layers
     **{name: (lambda f, name=name: f.stg(name)) for name in STAGING},
     "dim_date": lambda f: marts.dim_date_of(f.stg("stg_orders")),
@@ -139,6 +141,12 @@ PLANS: dict[str, Callable[[Frames], DataFrame]] = {
     "profile_payment_types": lambda f: profiling.payment_types(f.raw("order_payments")),
     "geo_centroids": lambda f: profiling.geo_centroids(f.raw("geolocation")),
     # Modelling
+    "toy_inner_join": lambda f: modelling.calendar_orders(
+        marts.dim_date_of(f.stg("stg_orders")), f.stg("stg_orders"), keep_unmatched=False
+    ),
+    "toy_left_join": lambda f: modelling.calendar_orders(
+        marts.dim_date_of(f.stg("stg_orders")), f.stg("stg_orders"), keep_unmatched=True
+    ),
     "orders_with_person": lambda f: modelling.orders_with_person(
         f.stg("stg_orders"), f.stg("stg_customers")
     ),

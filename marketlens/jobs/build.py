@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from ..config import STANDIN, Settings
 from ..functions import expressions as X
 from ..plans import checks, extracts
-from ..session import configure, size_shuffles
+from ..session import configure, release, size_shuffles
 from ..sources import catalog
 from ..sources.csv_files import load_raw
 from ..sources.standin import standin_sources
@@ -37,7 +37,7 @@ class CheckFailure(Exception):
 class Report:
     rows: dict[str, int]
     checks: list[tuple[str, int, str | None]]
-    extracts: dict[str, int]
+    extracts: dict[str, tuple[int, int]]
 
     @property
     def failed(self) -> list[str]:
@@ -47,7 +47,8 @@ class Report:
         out = [f"  {name:<34}{n:>14,} rows" for name, n in self.rows.items()]
         for name, bad, sample in self.checks:
             out.append(f"  pass  {name}" if not bad else f"  FAIL  {name}  ({bad} rows, e.g. {sample})")
-        out += [f"  extract {name:<26}{n:>14,} rows" for name, n in self.extracts.items()]
+        for name, (n, size) in self.extracts.items():
+            out.append(f"  extract {name:<26}{n:>14,} rows  {size / 1e6:.1f} MB")
         return out
 
 
@@ -108,7 +109,7 @@ class Build:
         found = checks.run_checks(checks.all_checks(self._raw, self._stg, self._mart))
         return [tuple(row) for row in found.orderBy("check_name").collect()]
 
-    def export(self) -> dict[str, int]:
+    def export(self) -> dict[str, tuple[int, int]]:
         orders, people = self._mart("fct_orders"), self._mart("dim_customers")
         frames = {
             "orders": extracts.export_orders(orders, self.settings),
@@ -157,6 +158,8 @@ def main(arguments: list[str] | None = None) -> None:
         print("\n".join(job.run().lines()))
     except CheckFailure as failure:
         sys.exit(str(failure))
+    finally:
+        release(spark)
 
 
 if __name__ == "__main__":

@@ -12,9 +12,24 @@ from ..operators.ranking import number_in_group
 from ..operators.shape import total
 
 
-def orders_of_customers(customers: DataFrame, orders: DataFrame, how: str) -> DataFrame:
-    """Customers and orders by name; how="left" keeps customers without orders."""
-    return customers.join(orders, "customer", how).select("order_id", "customer", "city")
+def facts_of(dimension: DataFrame, facts: DataFrame, key: str, keep_unmatched: bool) -> DataFrame:
+    """Dimension rows joined with their facts: an inner join, or with `keep_unmatched` a left join
+    that keeps dimension rows without any fact.
+
+    The left join is put together from the inner join and the unmatched rows. In a plain left outer
+    join the facts of one busy key could not be split over tasks.
+    """
+    matched = dimension.join(facts, key)
+    if not keep_unmatched:
+        return matched
+    unmatched = dimension.join(facts.select(key).distinct(), key, "left_anti")
+    return matched.unionByName(unmatched, allowMissingColumns=True)
+
+
+def calendar_orders(calendar: DataFrame, orders: DataFrame, keep_unmatched: bool) -> DataFrame:
+    """Days with their orders; with `keep_unmatched` also the days on which nobody ordered."""
+    bought = orders.select(F.col("purchased_at").cast("date").alias("date"), "order_id")
+    return facts_of(calendar.select("date", "day_name"), bought, "date", keep_unmatched)
 
 
 def orders_with_person(orders: DataFrame, customers: DataFrame) -> DataFrame:

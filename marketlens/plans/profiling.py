@@ -53,6 +53,16 @@ def null_counts(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     return df.agg(*missing)
 
 
+def describe_columns(df: DataFrame) -> DataFrame:
+    """Name and type of every column with its number of known values, in one pass."""
+    known = [F.count(F.col(c)).alias(c) for c in df.columns]
+    described = [
+        F.struct(F.lit(c).alias("column_name"), F.lit(t).alias("column_type"), F.col(c).alias("known"))
+        for c, t in df.dtypes
+    ]
+    return df.agg(*known).select(F.inline(F.array(*described)))
+
+
 def delivered_without_date(orders: DataFrame) -> DataFrame:
     undated = (F.col("order_status") == "delivered") & F.col("order_delivered_customer_date").isNull()
     return orders.where(undated).agg(X.rows().alias("delivered_but_no_date"))

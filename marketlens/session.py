@@ -31,11 +31,19 @@ MAX_SHUFFLE_PARTITIONS = 40_000
 BYTES_PER_SHUFFLE_PARTITION = 256 * 1024 * 1024
 
 
+def _hadoop_path(spark: SparkSession, folder: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def folder_bytes(spark: SparkSession, folder: str) -> int:
+    path, files = _hadoop_path(spark, folder)
+    return files.getContentSummary(path).getLength()
+
+
 def size_shuffles(spark: SparkSession, folder: str) -> None:
     """Raise the number of shuffle partitions to fit the input; AQE merges those that stay small."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    size = files.getContentSummary(path).getLength()
+    size = folder_bytes(spark, folder)
     wanted = min(MAX_SHUFFLE_PARTITIONS, -(-size // BYTES_PER_SHUFFLE_PARTITION))
     if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
         spark.conf.set("spark.sql.shuffle.partitions", wanted)
@@ -56,9 +64,18 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_dirs[context.applicationId]
 
 
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/marketlens/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    app = spark.sparkContext.applicationId
-    return f"{shared_dir(spark)}/marketlens/{app}/{label}-{uuid.uuid4().hex}"
+    return f"{_scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def release(spark: SparkSession) -> None:
+    """Delete everything this application wrote to the shared folder; for the end of a job."""
+    path, files = _hadoop_path(spark, _scratch_root(spark))
+    files.delete(path, True)
 
 
 def stash(df: DataFrame, label: str = "stash") -> DataFrame:

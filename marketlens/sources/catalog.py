@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import folder_bytes
+
 LAYERS = ("raw", "staging", "marts")
 
 
@@ -36,10 +38,6 @@ def list_tables(spark: SparkSession, prefix: str = "") -> DataFrame:
     )
 
 
-def describe(df: DataFrame) -> DataFrame:
-    return inline_rows(df.sparkSession, df.dtypes, "column_name STRING, column_type STRING")
-
-
 def inline_rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
     return spark.createDataFrame(rows, schema)
 
@@ -69,7 +67,8 @@ def layer_inventory(layers: dict[str, dict[str, DataFrame]]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts).orderBy(position, "table_name")
 
 
-def write_extract(df: DataFrame, path: str) -> int:
-    """Write a ZSTD Parquet extract and return its row count, read back from the files."""
+def write_extract(df: DataFrame, path: str) -> tuple[int, int]:
+    """Write a ZSTD Parquet extract; return its rows, read back from the files, and its bytes."""
+    spark = df.sparkSession
     df.write.mode("overwrite").option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.parquet(path).count()
+    return spark.read.parquet(path).count(), folder_bytes(spark, path)

@@ -14,6 +14,10 @@ from pyspark.sql import functions as F
 from ..operators.ranking import group_sizes, number_in_group
 
 
+# Derived with a join or a window; the others are projections of one table.
+DERIVED = ("customers", "orders", "order_items")
+
+
 def standin_sources(spark: SparkSession, folder: str) -> dict[str, Callable[[], DataFrame]]:
     def base(name: str) -> DataFrame:
         return spark.read.parquet(f"{folder}/{name}.parquet")

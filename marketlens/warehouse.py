@@ -92,9 +92,12 @@ class Warehouse:
         spark: SparkSession,
         sources: dict[str, Callable[[], DataFrame]],
         settings: Settings,
+        stored_raw: tuple[str, ...] = RAW,
         written: dict[str, tuple[str, StructType]] | None = None,
     ):
+        """`stored_raw` names the raw tables worth storing; the others are cheap to read again."""
         self.spark = spark
+        self.stored_raw = stored_raw
         self.sources = sources
         self.settings = settings
         self._written = {} if written is None else written
@@ -109,6 +112,8 @@ class Warehouse:
         return self.spark.read.schema(schema).parquet(path)
 
     def raw(self, name: str) -> DataFrame:
+        if name not in self.stored_raw:
+            return self.sources[name]()
         return self.stored(f"raw.{name}", self.sources[name])
 
     def stg(self, name: str) -> DataFrame:
@@ -120,14 +125,15 @@ class Warehouse:
 
     def mart(self, name: str) -> DataFrame:
         if f"marts.{name}" not in self._written:
-            self._together(self.raw, RAW_INPUTS.get(name, ()))
+            inputs = [t for t in RAW_INPUTS.get(name, ()) if t in self.stored_raw]
+            self._together(self.raw, inputs)
         return self.stored(f"marts.{name}", lambda: self.mart_model(name))
 
     def load(self) -> None:
-        self._together(self.raw, RAW)
+        self._together(self.raw, self.stored_raw)
 
     def build(self) -> None:
-        """Store all raw tables and marts."""
+        """Store the raw tables worth it and all marts."""
         self.load()
         for wave in MART_WAVES:
             self._together(self.mart, wave)

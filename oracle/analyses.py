@@ -95,7 +95,18 @@ CHECK_SUMMARY = {
     )
 }
 
+ORDER_COLUMNS = {
+    "order_id": "bigint", "customer_id": "bigint", "order_status": "string",
+    "order_purchase_timestamp": "timestamp_ntz", "order_approved_at": "timestamp_ntz",
+    "order_delivered_carrier_date": "timestamp_ntz",
+    "order_delivered_customer_date": "timestamp_ntz",
+    "order_estimated_delivery_date": "timestamp_ntz",
+}
 PROFILING = {
+    "describe_orders": _union(
+        f"SELECT '{c}' AS column_name, '{t}' AS column_type, count({c}) AS known FROM raw_orders"
+        for c, t in ORDER_COLUMNS.items()
+    ),
     "profile_row_vs_distinct": "SELECT count(*) AS total_rows, count(DISTINCT order_id) AS unique_orders FROM raw_orders",
     "profile_status_share": f"""SELECT order_status, count(*) AS orders,
         {pct('count(*)', ALL, 2)} AS pct_of_total FROM raw_orders GROUP BY ALL""",
@@ -105,11 +116,7 @@ PROFILING = {
         count(*) AS orders FROM raw_orders GROUP BY ALL""",
     "profile_nulls": "SELECT " + ", ".join(
         f"count(*) FILTER (WHERE {c} IS NULL) AS missing_{c}"
-        for c in (
-            "order_id", "customer_id", "order_status", "order_purchase_timestamp",
-            "order_approved_at", "order_delivered_carrier_date", "order_delivered_customer_date",
-            "order_estimated_delivery_date",
-        )
+        for c in ORDER_COLUMNS
     ) + " FROM raw_orders",
     "profile_delivered_no_date": """SELECT count(*) FILTER (WHERE order_status = 'delivered'
         AND order_delivered_customer_date IS NULL) AS delivered_but_no_date FROM raw_orders""",
@@ -142,6 +149,8 @@ PROFILING = {
 }
 
 MODELLING = {
+    "toy_inner_join": "SELECT date, day_name, order_id FROM d_date JOIN s_orders ON purchased_at::DATE = date",
+    "toy_left_join": "SELECT date, day_name, order_id FROM d_date LEFT JOIN s_orders ON purchased_at::DATE = date",
     "orders_with_person": """FROM s_orders JOIN s_customers USING (customer_id)
         SELECT order_id, customer_id, customer_unique_id, state""",
     "fanout_probe": f"""SELECT count(*) AS rows_after_join, count(DISTINCT order_id) AS actual_orders,

@@ -6,7 +6,7 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from marketlens.session import configure  # noqa: E402
+from marketlens.session import configure, release  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -20,4 +20,5 @@ def spark():
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
-    return configure(session)
+    yield configure(session)
+    release(session)

@@ -24,8 +24,8 @@ def test_toy_joins(spark):
     orders = spark.createDataFrame(
         [(1, "Asha"), (2, "Asha"), (3, "Ravi"), (4, "Unknown person")], "order_id int, customer string"
     )
-    inner = modelling.orders_of_customers(people, orders, "inner").collect()
-    left = modelling.orders_of_customers(people, orders, "left").collect()
+    inner = modelling.facts_of(people, orders, "customer", keep_unmatched=False).collect()
+    left = modelling.facts_of(people, orders, "customer", keep_unmatched=True).collect()
     assert sorted(r.order_id for r in inner) == [1, 2, 3]
     assert len(left) == 4
     assert [r.customer for r in left if r.order_id is None] == ["Meera"]

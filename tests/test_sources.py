@@ -6,6 +6,7 @@ import pytest
 from comparing import spark_result
 
 from marketlens.config import STANDIN
+from marketlens.plans import profiling
 from marketlens.jobs.build import Build, CheckFailure
 from marketlens.sources import catalog
 from marketlens.sources.csv_files import load_raw, read_csv_table
@@ -50,8 +51,10 @@ def test_missing_column_is_an_error(spark, tmp_path):
 def test_catalog_helpers(spark, tmp_path):
     df = catalog.inline_rows(spark, [(2, "b"), (1, "a")], "id int, name string")
     assert [tuple(r) for r in catalog.preview(df, 1, "id").collect()] == [(1, "a")]
-    assert [tuple(r) for r in catalog.describe(df).collect()] == [("id", "int"), ("name", "string")]
-    assert catalog.write_extract(df, str(tmp_path / "x")) == 2
+    described = [tuple(r) for r in profiling.describe_columns(df).collect()]
+    assert described == [("id", "int", 2), ("name", "string", 2)]
+    rows, size = catalog.write_extract(df, str(tmp_path / "x"))
+    assert rows == 2 and size > 0
     assert spark_result(spark.read.parquet(str(tmp_path / "x"))) == spark_result(df)
 
 
