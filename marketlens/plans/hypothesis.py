@@ -157,59 +157,79 @@ def chi2_late_repeat(crosstab: DataFrame) -> DataFrame:
     )
 
 
-def _average_ranks(cells: DataFrame, value: str, name: str, few: bool) -> DataFrame:
-    """Average rank of each distinct value. A window orders the levels if they are few."""
+def _average_ranks(cells: DataFrame, value: str, measures: list[str], few: bool) -> DataFrame:
+    """Average rank of each distinct value per measure. A window orders the levels if few."""
     if few:
-        levels = cells.groupBy(value).agg(F.sum("n").alias("ties"))
-        ahead = F.sum("ties").over(W.orderBy(value)) - F.col("ties")
-        levels = levels.select(value, "ties", ahead.alias("ahead"))
+        levels = cells.groupBy("measure", value).agg(F.sum("n").alias("ties"))
+        upto = F.sum("ties").over(W.partitionBy("measure").orderBy(value))
+        levels = levels.withColumn("ahead", upto - F.col("ties"))
     else:
-        levels = counts_ahead(cells, value, weight="n")
-    return levels.select(value, (F.col("ahead") + (F.col("ties") + 1) / F.lit(2.0)).alias(name))
+        levels = reduce(
+            DataFrame.unionByName,
+            [
+                counts_ahead(cells.where(F.col("measure") == m), value, weight="n").select(
+                    F.lit(m).alias("measure"), value, "ties", "ahead"
+                )
+                for m in measures
+            ],
+        )
+    rank = F.col("ahead") + (F.col("ties") + 1) / F.lit(2.0)
+    return levels.select("measure", value, rank.alias(f"rank_{value}"))
+
 
+def spearman(
+    df: DataFrame, measures: list[str], against: str, max_levels: int = MAX_WINDOW_LEVELS
+) -> DataFrame:
+    """(measure, n, rho) for each measure against one column, over the rows where both are known.
 
-def spearman(df: DataFrame, x: str, y: str, max_levels: int = MAX_WINDOW_LEVELS) -> DataFrame:
-    """One row (n, rho) over the rows where both values are known, from their joint histogram."""
+    One pass counts the distinct value pairs of all measures; ranks and sums work on those counts.
+    """
+    pairs = F.array(
+        *[F.struct(F.lit(m).alias("measure"), F.col(m).cast("double").alias("x")) for m in measures]
+    )
     cells = stash(
-        df.select(x, y).dropna().groupBy(x, y).agg(F.count(F.lit(1)).alias("n")), "cells"
+        df.select(F.col(against).cast("double").alias("y"), F.inline(pairs))
+        .dropna()
+        .groupBy("measure", "x", "y")
+        .agg(F.count(F.lit(1)).alias("n")),
+        "cells",
     )
     few = cells.count() <= max_levels
-    ranked = cells.join(_average_ranks(cells, x, "rx", few), x).join(
-        _average_ranks(cells, y, "ry", few), y
+    ranked = cells.join(_average_ranks(cells, "x", measures, few), ["measure", "x"]).join(
+        _average_ranks(cells, "y", measures, few), ["measure", "y"]
     )
-    rx, ry, w = F.col("rx"), F.col("ry"), F.col("n")
-    sums = ranked.agg(
-        F.sum("n").alias("n"),
-        F.sum(rx * ry * w).alias("xy"),
-        F.sum(rx * rx * w).alias("xx"),
-        F.sum(ry * ry * w).alias("yy"),
-    )
-    n = F.col("n").cast("double")
-    # The ranks 1..n have mean (n + 1) / 2, ties or not.
-    centre = n * (n + 1) * (n + 1) / 4
+    rx, ry, w = F.col("rank_x"), F.col("rank_y"), F.col("n")
 
-    def spread_of(squares: str) -> Column:
-        return F.greatest(F.col(squares) - centre, F.lit(0.0))
+    def sums(i: int, measure: str) -> list[Column]:
+        parts = {"n": w, "xy": rx * ry * w, "xx": rx * rx * w, "yy": ry * ry * w}
+        mine = F.col("measure") == measure
+        return [F.sum(F.when(mine, x)).alias(f"{name}{i}") for name, x in parts.items()]
 
-    rho = F.try_divide(
-        F.col("xy") - centre, F.sqrt(spread_of("xx")) * F.sqrt(spread_of("yy"))
-    )
-    return sums.select(F.coalesce("n", F.lit(0)).alias("n"), rho.alias("rho"))
+    def finished(i: int, measure: str) -> Column:
+        n = F.col(f"n{i}").cast("double")
+        # The ranks 1..n have mean (n + 1) / 2, ties or not.
+        centre = n * (n + 1) * (n + 1) / 4
+        xx, yy = (F.greatest(F.col(f"{c}{i}") - centre, F.lit(0.0)) for c in ("xx", "yy"))
+        rho = F.try_divide(F.col(f"xy{i}") - centre, F.sqrt(xx) * F.sqrt(yy))
+        known = F.coalesce(F.col(f"n{i}"), F.lit(0))
+        return F.struct(F.lit(measure).alias("measure"), known.alias("n"), rho.alias("rho"))
+
+    totals = ranked.agg(*[c for i, m in enumerate(measures) for c in sums(i, m)])
+    return totals.select(F.inline(F.array(*[finished(i, m) for i, m in enumerate(measures)])))
+
+
+DELIVERY_MEASURES = ["delivery_days", "days_vs_estimate"]
 
 
 def spearman_delivery_review(delivered: DataFrame) -> DataFrame:
     """Rank correlation of delivery time, and of lateness, with the review score."""
-    parts = [
-        spearman(delivered, x, "review_score").select(
-            F.lit(x).alias("measure"), "n", X.rounded(F.col("rho"), 6).alias("rho")
-        )
-        for x in ("delivery_days", "days_vs_estimate")
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    return spearman(delivered, DELIVERY_MEASURES, "review_score").withColumn(
+        "rho", X.rounded(F.col("rho"), 6)
+    )
 
 
 def spearman_handling_late(sellers: DataFrame) -> DataFrame:
-    return spearman(sellers, "avg_handling_days", "late_rate").select(
+    return spearman(sellers, ["avg_handling_days"], "late_rate").select(
         "n", X.rounded(F.col("rho"), 6).alias("rho")
     )
 
@@ -222,11 +242,15 @@ def p_values(delivered: DataFrame, people: DataFrame, sellers: DataFrame) -> Dat
             F.lit(name).alias("test"), statistic.alias("statistic"), p.alias("p_value")
         )
 
-    def spearman_row(name: str, frame: DataFrame, x: str, y: str) -> DataFrame:
+    def spearman_rows(frame: DataFrame, measures: list[str], against: str) -> DataFrame:
         freedom = (F.col("n") - 2).cast("double")
         rho = F.col("rho")
         t = rho * F.sqrt(F.try_divide(freedom, (1 - rho) * (1 + rho)))
-        return row(name, spearman(frame, x, y), rho, D.p_student_t(t, freedom))
+        return spearman(frame, measures, against).select(
+            F.concat(F.lit("spearman_"), "measure").alias("test"),
+            rho.alias("statistic"),
+            D.p_student_t(t, freedom).alias("p_value"),
+        )
 
     welch, mw = _welch(delivered), _mannwhitney(delivered)
     chi2 = _chi2(late_repeat_crosstab(delivered, people))
@@ -234,8 +258,7 @@ def p_values(delivered: DataFrame, people: DataFrame, sellers: DataFrame) -> Dat
         row("welch_review_late", welch, F.col("t"), D.p_student_t(F.col("t"), F.col("df"))),
         row("mannwhitney_review_late", mw, F.col("u"), F.least(D.p_normal(F.col("z")), F.lit(1.0))),
         row("chi2_late_repeat", chi2, F.col("chi2"), D.p_chi_square(F.col("chi2"))),
-        spearman_row("spearman_delivery_days", delivered, "delivery_days", "review_score"),
-        spearman_row("spearman_days_vs_estimate", delivered, "days_vs_estimate", "review_score"),
-        spearman_row("spearman_handling_late", sellers, "avg_handling_days", "late_rate"),
+        spearman_rows(delivered, DELIVERY_MEASURES, "review_score"),
+        spearman_rows(sellers, ["avg_handling_days"], "late_rate"),
     ]
     return reduce(DataFrame.unionByName, tests)

@@ -194,8 +194,8 @@ def test_spearman_average_ranks(spark):
     df = spark.createDataFrame([(1, 1), (1, 2), (2, 3), (None, 9)], "x int, y int")
     # Ranks 1.5, 1.5, 3 and 1, 2, 3.
     for levels in (100, 1):
-        n, rho = one(hypothesis.spearman(df, "x", "y", max_levels=levels))
-        assert n == 3 and rho == pytest.approx(1.5 / math.sqrt(1.5 * 2))
+        measure, n, rho = one(hypothesis.spearman(df, ["x"], "y", max_levels=levels))
+        assert (measure, n) == ("x", 3) and rho == pytest.approx(1.5 / math.sqrt(1.5 * 2))
 
 
 def test_chi_square_with_yates(spark):
@@ -227,3 +227,13 @@ def test_tail_probabilities():
     assert D.t_two_sided(0.0, 5) == 1.0
     assert D.t_two_sided(1.0, 1) == pytest.approx(0.5, abs=1e-12)
     assert D.t_two_sided(-3.0, 1e6) == pytest.approx(D.normal_two_sided(3.0), rel=1e-4)
+
+
+def test_spearman_of_several_measures_and_of_nothing(spark):
+    df = spark.createDataFrame([(1, 4, 1), (2, 3, 2), (3, 2, 3), (4, None, 4)], "a int, b int, y int")
+    for levels in (100, 1):
+        got = {r.measure: (r.n, r.rho) for r in hypothesis.spearman(df, ["a", "b"], "y", levels).collect()}
+        assert got["a"] == (4, pytest.approx(1.0)) and got["b"] == (3, pytest.approx(-1.0))
+        assert one(hypothesis.spearman(df.where("a > 9"), ["a"], "y", levels)) == ("a", 0, None)
+    constant = df.withColumn("a", F.lit(1))
+    assert one(hypothesis.spearman(constant, ["a"], "y")) == ("a", 4, None)
