@@ -86,7 +86,7 @@ class Frames:
 
 
 def _cohorts(f: Frames) -> DataFrame:
-    return customers.cohort_long(f.valid)
+    return customers.cohort_counts(f.valid)
 
 
 def _returned(f: Frames) -> DataFrame:
@@ -178,7 +178,7 @@ PLANS: dict[str, Callable[[Frames], DataFrame]] = {
     "second_order_gap": lambda f: customers.second_order_gap(f.valid),
     "repeat_summary": lambda f: customers.repeat_summary(f.valid),
     "gap_histogram": lambda f: customers.gap_histogram(customers.second_order_gap(f.valid), f.cfg),
-    "cohort_long": _cohorts,
+    "cohort_long": lambda f: customers.cohort_long(f.valid),
     "cohort_retention": lambda f: customers.cohort_retention(_cohorts(f), f.cfg),
     "cohort_retention_filled": lambda f: customers.cohort_retention_filled(_cohorts(f), f.cfg),
     "returned_within_180d": _returned,

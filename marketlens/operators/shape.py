@@ -13,6 +13,12 @@ def total(column: str | Column) -> Column:
     return F.sum(column).over(W.rowsBetween(W.unboundedPreceding, W.unboundedFollowing))
 
 
+def in_order(df: DataFrame, *order: str | Column) -> DataFrame:
+    """Sort a report of bounded size (months, states, labels ...) in one task, which saves the
+    sampling pass and the exchange of a distributed sort."""
+    return df.repartition(1).orderBy(*order)
+
+
 def bin_index(value: Column, width: int, last_edge: int) -> Column:
     """Equal-width bins over [0, last_edge]; the last bin is closed, values outside get NULL."""
     last_bin = last_edge // width - 1

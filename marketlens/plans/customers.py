@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..config import Settings
 from ..functions import expressions as X
 from ..operators.joins import side_by_side
-from ..operators.shape import bin_index, spread, total
+from ..operators.shape import bin_index, in_order, spread, total
 
 PERSON = "customer_unique_id"
 
@@ -83,12 +83,12 @@ def gap_histogram(gaps: DataFrame, settings: Settings) -> DataFrame:
             ((F.col("bin") + 1) * width).alias("to_day"),
             F.coalesce("n", F.lit(0)).alias("customers"),
         )
-        .orderBy("from_day")
+        .transform(in_order, "from_day")
     )
 
 
-def cohort_long(orders: DataFrame) -> DataFrame:
-    """Distinct buyers per first-purchase month and months since.
+def cohort_counts(orders: DataFrame) -> DataFrame:
+    """Distinct buyers per first-purchase month (its first day) and months since.
 
     A person's active months are a small set (bounded by the calendar), built with map-side combine,
     so a single exchange on the person serves both the cohort and the activity.
@@ -100,18 +100,25 @@ def cohort_long(orders: DataFrame) -> DataFrame:
         .groupBy("first", "month")
         .agg(X.rows().alias("customers"))
         .select(
-            X.month_text("first").alias("cohort"),
+            "first",
             X.months_between_starts(F.col("first"), F.col("month")).alias("month_number"),
             "customers",
         )
-        .orderBy("cohort", "month_number")
+    )
+
+
+def cohort_long(orders: DataFrame) -> DataFrame:
+    return (
+        cohort_counts(orders)
+        .select(X.month_text("first").alias("cohort"), "month_number", "customers")
+        .transform(in_order, "cohort", "month_number")
     )
 
 
 def _retained(cohorts: DataFrame) -> DataFrame:
-    size = F.max(F.when(F.col("month_number") == 0, F.col("customers"))).over(W.partitionBy("cohort"))
+    size = F.max(F.when(F.col("month_number") == 0, F.col("customers"))).over(W.partitionBy("first"))
     return cohorts.select(
-        "cohort",
+        "first",
         "month_number",
         size.alias("cohort_size"),
         X.percent(F.col("customers"), size, 4).alias("retention_pct"),
@@ -123,35 +130,38 @@ def cohort_retention(cohorts: DataFrame, settings: Settings) -> DataFrame:
     start, end = settings.window_start, settings.window_end
     last = (end.year - start.year) * 12 + end.month - start.month - 1
     numbers = list(range(last + 1))
-    grid = spread(_retained(cohorts), "cohort", "month_number", numbers, F.max("retention_pct"))
-    return grid.select("cohort", *[F.col(str(n)).alias(f"m{n:02d}") for n in numbers]).orderBy("cohort")
+    grid = spread(_retained(cohorts), "first", "month_number", numbers, F.max("retention_pct"))
+    named = [F.col(str(n)).alias(f"m{n:02d}") for n in numbers]
+    return grid.select(X.month_text("first").alias("cohort"), *named).transform(in_order, "cohort")
+
+
+def _month(text: str) -> Column:
+    return X.date_lit(date.fromisoformat(f"{text}-01"))
 
 
 def cohort_retention_filled(cohorts: DataFrame, settings: Settings) -> DataFrame:
     """Chosen cohorts by months 1..n: 0 for a month that has passed, NULL for one still to come."""
+    chosen = F.col("first").between(_month(settings.cohort_first), _month(settings.cohort_last))
+    by_number = F.collect_list(F.struct("month_number", "retention_pct"))
     grid = (
         _retained(cohorts)
-        .where(F.col("cohort").between(settings.cohort_first, settings.cohort_last))
-        .groupBy("cohort")
-        .agg(
-            F.max("cohort_size").alias("cohort_size"),
-            F.map_from_entries(F.collect_list(F.struct("month_number", "retention_pct"))).alias("seen"),
-        )
+        .where(chosen)
+        .groupBy("first")
+        .agg(F.max("cohort_size").alias("cohort_size"), F.map_from_entries(by_number).alias("seen"))
     )
-    horizon = F.to_date(F.lit(settings.cohort_horizon), "yyyy-MM")
-    available = X.months_between_starts(F.to_date("cohort", "yyyy-MM"), horizon)
-    number = F.explode(F.sequence(F.lit(1).cast("long"), F.lit(settings.cohort_months).cast("long")))
+    available = X.months_between_starts(F.col("first"), _month(settings.cohort_horizon))
+    numbers = F.sequence(F.lit(1).cast("long"), F.lit(settings.cohort_months).cast("long"))
     seen = F.try_element_at("seen", F.col("month_number"))
-    passed = F.col("month_number") <= F.col("available")
+    passed = F.col("month_number") <= available
     return (
-        grid.select("cohort", "cohort_size", "seen", available.alias("available"), number.alias("month_number"))
+        grid.select("*", F.explode(numbers).alias("month_number"))
         .select(
-            "cohort",
+            X.month_text("first").alias("cohort"),
             "cohort_size",
             "month_number",
             F.coalesce(seen, F.when(passed, F.lit(0.0))).alias("retention_pct"),
         )
-        .orderBy("cohort", "month_number")
+        .transform(in_order, "cohort", "month_number")
     )
 
 
@@ -183,7 +193,7 @@ def returned_within(orders: DataFrame, days: int, cohorts_before: date) -> DataF
             "customers",
             X.percent(F.col("n"), F.col("customers"), 2).alias("pct_returned"),
         )
-        .orderBy("cohort")
+        .transform(in_order, "cohort")
     )
 
 
@@ -228,7 +238,7 @@ def repeat_by_first_category(
             X.percent(F.sum("r"), F.sum("n"), 2).alias("repeat_rate_pct"),
         )
         .where(F.col("customers") >= settings.category_min_customers)
-        .orderBy(F.desc("repeat_rate_pct"), "category")
+        .transform(in_order, F.desc("repeat_rate_pct"), "category")
     )
 
 
@@ -246,7 +256,7 @@ def rfm_score_check(rfm: DataFrame) -> DataFrame:
             X.rounded(F.max("monetary"), 1).alias("max_monetary"),
             X.rounded(X.mean_money("monetary"), 1).alias("mean_monetary"),
         )
-        .orderBy("m_score")
+        .transform(in_order, "m_score")
     )
 
 

@@ -9,7 +9,7 @@ from ..config import Settings
 from ..functions import expressions as X
 from ..operators.joins import side_by_side
 from ..operators.ranking import number_rows
-from ..operators.shape import total
+from ..operators.shape import in_order, total
 
 # The action shown for each RFM segment.
 SEGMENT_ACTIONS = {
@@ -79,7 +79,7 @@ def monthly(orders: DataFrame) -> DataFrame:
         "revenue",
         "orders",
         X.rounded(X.ratio(F.col("revenue"), F.col("orders")), 2).alias("aov"),
-    ).orderBy("month")
+    ).transform(in_order, "month")
 
 
 def top_categories(items: DataFrame) -> DataFrame:
@@ -170,7 +170,7 @@ def late_monthly(orders: DataFrame, settings: Settings) -> DataFrame:
         X.month_text("m").alias("month"),
         X.rounded(F.col("pct"), 1).alias("late_pct"),
         (F.col("pct") > settings.late_alert_pct).alias("above_alert"),
-    ).orderBy("month")
+    ).transform(in_order, "month")
 
 
 def review_by_arrival(orders: DataFrame) -> DataFrame:
@@ -195,7 +195,7 @@ def review_by_arrival(orders: DataFrame) -> DataFrame:
             X.rows().alias("orders"),
             F.min(days).alias("earliest"),
         )
-        .orderBy("earliest")
+        .transform(in_order, "earliest")
         .drop("earliest")
     )
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..config import Settings
 from ..functions import expressions as X
 from ..operators.ranking import ntiles
-from ..operators.shape import total
+from ..operators.shape import in_order, total
 
 
 def late_percent(digits: int = 1):
@@ -46,7 +46,7 @@ def late_rate_monthly(delivered: DataFrame, settings: Settings) -> DataFrame:
     alert = F.col("late_pct") > settings.late_alert_pct
     return months.select(
         X.month_text("m").alias("month"), "orders", "late_pct", alert.alias("above_alert")
-    ).orderBy("month")
+    ).transform(in_order, "month")
 
 
 def late_rate_by_state(delivered: DataFrame, settings: Settings) -> DataFrame:
@@ -58,7 +58,7 @@ def late_rate_by_state(delivered: DataFrame, settings: Settings) -> DataFrame:
             late_percent().alias("late_pct"),
         )
         .where(F.col("orders") >= settings.late_min_orders)
-        .orderBy(F.desc("late_pct"), "state")
+        .transform(in_order, F.desc("late_pct"), "state")
     )
 
 
@@ -82,7 +82,7 @@ def review_by_arrival(delivered: DataFrame) -> DataFrame:
             X.rounded(F.avg("review_score"), 2).alias("avg_review"),
             X.percent(bad, X.rows(), 1).alias("pct_bad_reviews"),
         )
-        .orderBy("arrival")
+        .transform(in_order, "arrival")
     )
 
 

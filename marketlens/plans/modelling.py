@@ -9,7 +9,7 @@ from ..config import Settings
 from ..functions import expressions as X
 from ..operators.joins import squash
 from ..operators.ranking import number_in_group
-from ..operators.shape import total
+from ..operators.shape import in_order, total
 
 
 def facts_of(dimension: DataFrame, facts: DataFrame, key: str, keep_unmatched: bool) -> DataFrame:
@@ -102,7 +102,7 @@ def delivery_speed_buckets(orders: DataFrame) -> DataFrame:
         orders.where(days.isNotNull())
         .groupBy(speed.alias("delivery_speed"))
         .agg(X.rows().alias("orders"), X.rounded(F.avg("review_score"), 2).alias("avg_review"))
-        .orderBy("delivery_speed")
+        .transform(in_order, "delivery_speed")
     )
 
 

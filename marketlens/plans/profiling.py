@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import expressions as X
 from ..operators.joins import side_by_side
-from ..operators.shape import total
+from ..operators.shape import in_order, total
 
 
 def distinct_counts(df: DataFrame, **columns: str) -> DataFrame:
@@ -41,7 +41,7 @@ def monthly_orders(orders: DataFrame) -> DataFrame:
         orders.groupBy(X.month_start("order_purchase_timestamp").alias("month_day"))
         .agg(X.rows().alias("orders"))
         .select(X.month_text("month_day").alias("month"), "orders")
-        .orderBy("month")
+        .transform(in_order, "month")
     )
 
 
@@ -137,10 +137,10 @@ def orders_without_items(orders: DataFrame, items: DataFrame) -> DataFrame:
         .join(items.select("order_id").distinct(), "order_id", "left_anti")
         .groupBy("order_status")
         .agg(X.rows().alias("orders_without_items"))
-        .orderBy(F.desc("orders_without_items"), "order_status")
+        .transform(in_order, F.desc("orders_without_items"), "order_status")
     )
 
 
 def payment_types(payments: DataFrame) -> DataFrame:
     by_type = payments.groupBy("payment_type").agg(X.rows().alias("payments"))
-    return by_type.orderBy(F.desc("payments"), "payment_type")
+    return by_type.transform(in_order, F.desc("payments"), "payment_type")

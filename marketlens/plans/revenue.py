@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..config import Settings
 from ..functions import expressions as X
-from ..operators.shape import spread, total
+from ..operators.shape import in_order, spread, total
 
 
 def headline_kpis(orders: DataFrame) -> DataFrame:
@@ -26,18 +26,18 @@ def monthly_trend(orders: DataFrame) -> DataFrame:
     months = orders.groupBy(X.month_start("order_date").alias("m")).agg(
         X.rows().alias("orders"), X.sum_cents("order_revenue").alias("c")
     )
-    in_order = W.orderBy("m")
-    three = in_order.rowsBetween(-2, 0)
-    revenue, before = X.money(F.col("c")), X.money(F.lag("c").over(in_order))
+    chrono = W.orderBy("m")
+    three = chrono.rowsBetween(-2, 0)
+    revenue, before = X.money(F.col("c")), X.money(F.lag("c").over(chrono))
     trailing = X.ratio(X.money(F.sum("c").over(three)), F.count("c").over(three))
     return months.select(
         X.month_text("m").alias("month"),
         "orders",
         X.whole_units(F.col("c")).alias("revenue"),
         X.rounded(X.ratio(revenue, F.col("orders")), 2).alias("aov"),
-        X.whole_units(F.lag("c").over(in_order)).alias("prev_month_revenue"),
+        X.whole_units(F.lag("c").over(chrono)).alias("prev_month_revenue"),
         X.rounded((X.ratio(revenue, before) - 1.0) * 100.0, 1).alias("mom_growth_pct"),
-        X.whole_units(F.sum("c").over(in_order)).alias("cumulative_revenue"),
+        X.whole_units(F.sum("c").over(chrono)).alias("cumulative_revenue"),
         X.rounded(trailing, 0).alias("revenue_3m_avg"),
     ).orderBy("month")
 
@@ -57,7 +57,7 @@ def yoy_growth(orders: DataFrame, settings: Settings) -> DataFrame:
     return years.withColumn("revenue_growth_pct", X.rounded(growth * 100.0, 1)).orderBy("year")
 
 
-def daily_orders(orders: DataFrame, settings: Settings) -> DataFrame:
+def _days(orders: DataFrame, settings: Settings) -> DataFrame:
     days = F.col("order_date").between(
         X.date_lit(settings.spike_start), X.date_lit(settings.spike_end)
     )
@@ -65,16 +65,19 @@ def daily_orders(orders: DataFrame, settings: Settings) -> DataFrame:
         orders.where(days)
         .groupBy("order_date")
         .agg(X.rows().alias("orders"), X.whole_units(X.sum_cents("order_revenue")).alias("revenue"))
-        .orderBy("order_date")
     )
 
 
+def daily_orders(orders: DataFrame, settings: Settings) -> DataFrame:
+    return _days(orders, settings).transform(in_order, "order_date")
+
+
 def demand_spike(orders: DataFrame, settings: Settings) -> DataFrame:
     """Mean day before the event, the busiest day (the first one if tied), and their ratio."""
     day = F.col("order_date")
     earliness = -F.unix_date(day)
     quiet = F.when(day < X.date_lit(settings.spike_baseline_end), F.col("orders"))
-    found = daily_orders(orders, settings).agg(
+    found = _days(orders, settings).agg(
         F.avg(quiet).alias("baseline"),
         F.max_by(day, F.struct("orders", earliness)).alias("peak_date"),
         F.max("orders").alias("peak_orders"),
@@ -94,7 +97,7 @@ def weekday_hour_grid(orders: DataFrame) -> DataFrame:
     ).agg(X.rows().alias("n"))
     hours = list(range(24))
     grid = spread(cells, "weekday", "hour", hours, F.sum("n"))
-    return grid.select("weekday", *[F.col(str(h)).alias(f"h{h:02d}") for h in hours]).orderBy("weekday")
+    return grid.select("weekday", *[F.col(str(h)).alias(f"h{h:02d}") for h in hours]).transform(in_order, "weekday")
 
 
 def category_pareto(items: DataFrame, products: DataFrame, settings: Settings) -> DataFrame:
@@ -184,6 +187,6 @@ def installment_buckets(orders: DataFrame) -> DataFrame:
             X.rounded(X.mean_money("order_revenue"), 2).alias("aov"),
             F.min(n).alias("shortest"),
         )
-        .orderBy(F.asc_nulls_last("shortest"))
+        .transform(in_order, F.asc_nulls_last("shortest"))
         .select(F.col("bucket").alias("installments"), "orders", "aov")
     )
