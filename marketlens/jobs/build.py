@@ -1,7 +1,7 @@
 """The batch job: load raw tables, build staging and marts, run the checks, write the extracts.
 
-    python -m marketlens.jobs.build --csv /data/raw --out /shared/warehouse
-    python -m marketlens.jobs.build --standin /root/testdata/sf0.01 --out /tmp/out
+    spark-submit run_build.py --csv /data/raw --out /shared/warehouse
+    python run_build.py --standin /root/testdata/sf0.01 --out /tmp/out
 
 Each layer is a catalog database of Parquet tables under --out, replaced whole on every run. The job
 fails (exit status 1) if a check finds offending rows.
