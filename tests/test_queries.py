@@ -6,9 +6,11 @@ import pytest
 from comparing import difference, open_oracle
 
 import __spark_entry__ as contract
+import oracle
+from marketlens import catalogue
 
-SQL = contract.oracle_sql()
-QUERIES = contract.queries()
+SQL = oracle.statements()
+QUERIES = catalogue.queries()
 FOLDER = "/root/testdata/sf0.01"
 
 
@@ -18,7 +20,7 @@ def con():
 
 
 def test_every_statement_has_a_query():
-    assert set(SQL) <= set(QUERIES)
+    assert set(contract.oracle_sql()) <= set(contract.queries())
     assert set(QUERIES) - set(SQL) == {"test_p_values"}
 
 
