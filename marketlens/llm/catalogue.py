@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import configure
-from . import packing, prefix_counts, tree_bpe
+from . import packing, prefix_counts, sanitise, sharding, tree_bpe
 from .support import table, workers_find_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,7 +24,9 @@ def _over(name: str, operator: Callable[[DataFrame], DataFrame]) -> Query:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_sanitise": _over("documents", sanitise.op1),
         "op2_prefix_counts": _over("documents", prefix_counts.op2),
+        "op3_sharding": _over("documents", sharding.op3),
         "op9_packing": _over("documents", packing.op9),
         "op10_tree_bpe": _over("documents", tree_bpe.op10),
     }
