@@ -17,6 +17,8 @@ are read.
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -92,11 +94,14 @@ def propagated(cells: DataFrame, room: DataFrame, rounds: int) -> DataFrame:
     """Cells (group, shard, members) after the rounds; `room` has one row per shard with its quota."""
     spark = cells.sparkSession
     quotas = {r.shard: r.quota for r in room.collect()}  # one row per shard
+    crowded: list[int] = []
     for _ in range(rounds):
-        # The fullest shard of the group that is not yet full of it; ties fall by hash.
+        # The fullest shard of the group that is not yet full of it, nor turned movers away in the round
+        # before; ties fall by hash.
         seen = cells.join(F.broadcast(room), "shard")
         rank = F.struct("members", F.xxhash64("group", "shard").alias("tie"), "shard")
-        goal = F.max(F.when(F.col("members") < F.col("quota"), rank)).over(W.partitionBy("group"))
+        open_to = (F.col("members") < F.col("quota")) & ~F.col("shard").isin(crowded)
+        goal = F.max(F.when(open_to, rank)).over(W.partitionBy("group"))
         asking = seen.withColumn("goal", goal)
         moves = F.col("goal").isNotNull() & (F.col("goal") > rank)
         asking = keep(asking.select("group", "shard", "members", F.when(moves, F.col("goal.shard")).alias("to"),
@@ -107,8 +112,16 @@ def propagated(cells: DataFrame, room: DataFrame, rounds: int) -> DataFrame:
         wanted = turns.groupBy("shard", "to").agg(F.sum("wanted").alias("n")).collect()
         load = {r.shard: r.load for r in cells.groupBy("shard").agg(F.sum("members").alias("load")).collect()}
         allowed = flows({(r.shard, r.to): r.n for r in wanted}, {s: q - load.get(s, 0) for s, q in quotas.items()})
-        if not allowed:
+        asked, came = Counter(), Counter()
+        for r in wanted:
+            asked[r.to] += r.n
+        for (_, to), n in allowed.items():
+            came[to] += n
+        was_crowded, crowded = crowded, [to for to, n in asked.items() if n > came[to]]
+        if not allowed and not was_crowded and not crowded:
             break
+        if not allowed:
+            continue
         limits = spark.createDataFrame([(*k, n) for k, n in allowed.items()], "shard int, to int, flow long")
         turns = turns.withColumn("ahead", _sum_before("wanted", ["shard", "to"], ["turn"])).drop("wanted")
         within = W.partitionBy("shard", "to", "turn").orderBy("members", "group").rowsBetween(*_BEFORE)
