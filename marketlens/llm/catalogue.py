@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import configure
-from . import packing, prefix_counts, sanitise, sharding, tree_bpe, warc
+from . import chosen_path, packing, prefix_counts, sanitise, sharding, tree_bpe, warc
 from .support import table, workers_find_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,10 +28,11 @@ def queries() -> dict[str, Query]:
         "op2_prefix_counts": _over("documents", prefix_counts.op2),
         "op3_sharding": _over("documents", sharding.op3),
         "op4_warc": _over("pages", warc.op4),
+        "op5_chosen_path": _over("documents", chosen_path.op5),
         "op9_packing": _over("documents", packing.op9),
         "op10_tree_bpe": _over("documents", tree_bpe.op10),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_warc": warc.SQL}
+    return {"op4_warc": warc.SQL, "op5_chosen_path": chosen_path.SQL}
