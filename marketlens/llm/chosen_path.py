@@ -4,8 +4,8 @@ A text is the set of its word shingles. Independent trees branch on minwise toke
 documents that share the tokens chosen on the path to it, and each child is one more chosen token of a
 node. Nodes of few documents are compared exhaustively; larger ones choose further tokens. A large node
 of similar documents would never split: there every member is compared with one pivot, and those much
-like it leave the node, linked through the pivot. Sixteen roots make a missed pair of similarity 0.8 a
-matter of 0.2 ** 16 in small nodes.
+like it leave the node, linked through the pivot. Twelve roots make a missed pair of similarity 0.8 a
+matter of 0.2 ** 12 in small nodes.
 
 Texts with equal sets are one class from the start. Comparisons use 64 four-bit minwise values, which
 only discard pairs far below the threshold; every link is then confirmed on the full sets, first one
@@ -32,13 +32,16 @@ from .components import components
 from .pretokens import Lookup
 from .support import hint_if_few, keep, workers_find_package
 
-TREES = 8
+TREES = 6
 CHOSEN = 2  # tokens chosen per node
+ROOTS = TREES * CHOSEN
 MINWISE = 64
-SMALL_NODE = 48
-DEPTH = 5
+SMALL_NODE = 16  # members that a plain join compares with each other
+WIDE_NODE = 1024  # members that one task compares by their sketches
+PROPOSED = (3, 24, WIDE_NODE)  # best partners a member of a wide node proposes, round by round
+DEPTH = 6
 PIVOT_ROUNDS = 12
-LIKELY = 36  # equal four-bit values of 64 that a pair of similarity 0.8 (52 expected) keeps
+LIKELY = 38  # equal four-bit values of 64 that a pair of similarity 0.8 (52 expected) keeps
 ALIKE = 55  # from this many on, a member of a large node is left to its pivot
 FEW_IDS = 2_000_000
 
@@ -90,7 +93,7 @@ def _unpacked(data: bytes) -> np.ndarray:
 
 
 def signed(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
-    """Per row: id, size of its set, digest, minwise values, sketch and the set itself."""
+    """Per row: id, size of its set, digest, tokens of the roots, sketch and the set itself."""
     workers_find_package(docs.sparkSession)
 
     def sign(batches):
@@ -102,23 +105,23 @@ def signed(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame
                 least = minwise(own)
                 sizes.append(len(own))
                 keys.append(hashlib.md5(data).digest() if len(own) else None)
-                values.append(least.view(np.int32))
+                values.append(least[:ROOTS].view(np.int32))
                 four = (least & np.uint32(15)).astype(np.uint64).reshape(4, 16) << (4 * np.arange(16, dtype=np.uint64))
                 sketches.append(np.bitwise_or.reduce(four, axis=1).view(np.int64))
                 sets.append(data)
             flat = np.concatenate(values) if values else np.array([], np.int32)
-            offsets = np.arange(0, len(flat) + 1, MINWISE, dtype=np.int32)
+            offsets = np.arange(0, len(flat) + 1, ROOTS, dtype=np.int32)
             parts = np.array(sketches, dtype=np.int64).reshape(-1, 4)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()),
                  pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
                  *(pa.array(parts[:, k]) for k in range(4)), pa.array(sets, pa.binary())],
-                names=["id", "n", "key", "values", "s0", "s1", "s2", "s3", "shingles"],
+                names=["id", "n", "key", "tokens", "s0", "s1", "s2", "s3", "shingles"],
             )
 
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     schema = T.StructType([T.StructField("id", source.schema["id"].dataType)])
-    schema = schema.add("n", T.LongType()).add("key", T.BinaryType()).add("values", T.ArrayType(T.IntegerType()))
+    schema = schema.add("n", T.LongType()).add("key", T.BinaryType()).add("tokens", T.ArrayType(T.IntegerType()))
     for k in range(4):
         schema = schema.add(f"s{k}", T.LongType())
     return source.mapInArrow(sign, schema.add("shingles", T.BinaryType()))
@@ -168,47 +171,79 @@ def _star(beside: DataFrame) -> DataFrame:
     return beside.where(pair).select(F.least("c", "pivot").alias("u"), F.greatest("c", "pivot").alias("v"))
 
 
-def _sized(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows of nodes with 2 to SMALL_NODE members, and of larger ones."""
+def _proposals(nodes: DataFrame, label: DataFrame | None, best: int, percent: int) -> DataFrame:
+    """Likely pairs of wide nodes: each member with its most alike partners of other components."""
+    if label is None:
+        nodes = nodes.withColumn("component", F.col("c"))
+    else:
+        nodes = nodes.join(label.withColumnRenamed("id", "c"), "c", "left")
+        nodes = nodes.withColumn("component", F.coalesce("component", "c"))
+
+    def propose(table: pa.Table) -> pa.Table:
+        c, n, component = (table.column(k).to_numpy() for k in ("c", "n", "component"))
+        sketch = np.stack([table.column(k).to_numpy() for k in SKETCH], axis=1).view(np.uint64)
+        u, v = [], []
+        for at in range(0, len(c), 128):
+            rows = slice(at, at + 128)
+            x = sketch[rows, None, :] ^ sketch[None, :, :]
+            x |= x >> np.uint64(1)
+            x |= x >> np.uint64(2)
+            equal = MINWISE - np.bitwise_count(x & np.uint64(0x1111111111111111)).sum(axis=2, dtype=np.int64)
+            small, large = np.minimum(n[rows, None], n), np.maximum(n[rows, None], n)
+            equal[(small * 100 < large * percent) | (component[rows, None] == component)] = 0
+            if best < len(c):
+                floor = -np.partition(-equal, best - 1, axis=1)[:, best - 1 : best]
+                equal[equal < floor] = 0
+            i, j = np.nonzero(equal >= LIKELY)
+            u.append(c[rows][i])
+            v.append(c[j])
+        u, v = np.concatenate(u), np.concatenate(v)
+        return pa.table({"u": np.minimum(u, v), "v": np.maximum(u, v)})
+
+    workers_find_package(nodes.sparkSession)
+    nodes = nodes.select("node", "c", "n", "component", *SKETCH)
+    return nodes.groupBy("node").applyInArrow(propose, "u long, v long").distinct()
+
+
+def _sized(nodes: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows of small, wide and larger nodes; a node of one member holds no pair."""
     sizes = nodes.groupBy("node").agg(F.count("*").alias("size")).where("size > 1")
     rows = keep(nodes.join(sizes, "node"), "nodes")
-    return rows.where(F.col("size") <= SMALL_NODE).drop("size"), rows.where(F.col("size") > SMALL_NODE).drop("size")
+    size = F.col("size")
+    parts = (size <= SMALL_NODE, size.between(SMALL_NODE + 1, WIDE_NODE), size > WIDE_NODE)
+    return tuple(rows.where(p).drop("size") for p in parts)
 
 
-def candidates(classes: DataFrame, percent: int) -> DataFrame:
-    """Distinct likely pairs (u < v) of classes (c, n, values, s0..s3)."""
-    roots = [F.struct(F.lit(t).alias("tree"), F.lit(CHOSEN * t + k).alias("token")) for t in range(TREES) for k in range(CHOSEN)]
-    nodes = classes.select("c", "n", *SKETCH, "values", F.explode(F.array(*roots)).alias("r")).select(
-        F.xxhash64("r.tree", "r.token", F.get("values", F.col("r.token"))).alias("node"), "c", "n", *SKETCH
+def candidates(classes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Distinct likely pairs (u < v) of classes (c, n, tokens, s0..s3), and the rows of wide nodes."""
+    nodes = classes.select("c", "n", *SKETCH, F.posexplode("tokens").alias("root", "token")).select(
+        F.xxhash64("root", "token").alias("node"), "c", "n", *SKETCH
     )
-    found = []
-    for _ in range(DEPTH):
-        small, large = _sized(nodes)
-        found.append(keep(_within(small, percent).distinct(), "pairs"))
+    found, wide = [], []
+    for level in range(DEPTH + PIVOT_ROUNDS):
+        small, middle, large = _sized(nodes)
+        found.append(_within(small, percent))
+        wide.append(middle)
         if large.isEmpty():
             break
         beside = keep(_with_pivots(large, percent), "pivots")
         found.append(_star(beside))
-        values = hint_if_few(classes.select("c", "values"), 50_000)
+        # What still shares all chosen tokens after the last level goes on pivot by pivot.
+        leaves = ALIKE if level < DEPTH else LIKELY
+        staying = beside.where((F.col("alike") < leaves) & (F.col("c") != F.col("pivot"))).drop("pivot", "alike")
+        if level >= DEPTH:
+            nodes = staying
+            continue
+        # Further tokens are the four-bit values of the sketch, chosen anew for every node.
         chosen = F.array(*(F.pmod(F.xxhash64("node", F.lit(k)), F.lit(MINWISE)).cast("int") for k in range(CHOSEN)))
-        nodes = (
-            beside.where((F.col("alike") < ALIKE) & (F.col("c") != F.col("pivot")))
-            .join(values, "c")
-            .select("node", "c", "n", *SKETCH, "values", F.explode(F.array_distinct(chosen)).alias("token"))
-            .select(F.xxhash64("node", "token", F.get("values", F.col("token"))).alias("node"), "c", "n", *SKETCH)
+        value = F.expr("shiftrightunsigned(array(s0, s1, s2, s3)[token div 16], 4 * (token % 16)) & 15")
+        nodes = staying.select("node", "c", "n", *SKETCH, F.explode(F.array_distinct(chosen)).alias("token")).select(
+            F.xxhash64("node", "token", value).alias("node"), "c", "n", *SKETCH
         )
-    else:  # what still shares all chosen tokens: pivot by pivot, then exhaustively
-        for _ in range(PIVOT_ROUNDS):
-            small, large = _sized(nodes)
-            found.append(keep(_within(small, percent).distinct(), "pairs"))
-            if large.isEmpty():
-                break
-            beside = keep(_with_pivots(large, percent), "pivots")
-            found.append(_star(beside))
-            nodes = beside.where((F.col("alike") < LIKELY) & (F.col("c") != F.col("pivot"))).drop("pivot", "alike")
-        else:
-            found.append(_within(nodes, percent))
-    return keep(functools.reduce(DataFrame.unionByName, found).distinct(), "candidates")
+    else:
+        found.append(_within(large, percent))
+    wide = functools.reduce(DataFrame.unionByName, wide)
+    return keep(functools.reduce(DataFrame.unionByName, found).distinct(), "candidates"), wide
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -226,7 +261,8 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 [*batch.columns[:2], pa.array(similar, pa.bool_())], names=["u", "v", "linked"]
             )
 
-    needed = keep(pairs.select(F.explode(F.array("u", "v")).alias("c")).distinct(), "needed")
+    ends = pairs.select(F.col("u").alias("c")).unionByName(pairs.select(F.col("v").alias("c")))
+    needed = keep(ends.distinct(), "needed")
     own = keep(sets.join(hint_if_few(needed, FEW_IDS), "c"), "sets")
     joined = pairs.join(own.select(F.col("c").alias("u"), F.col("shingles").alias("a")), "u").join(
         own.select(F.col("c").alias("v"), F.col("shingles").alias("b")), "v"
@@ -234,20 +270,44 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.select("u", "v", "a", "b").mapInArrow(confirm, "u long, v long, linked boolean")
 
 
-def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(id, component) of the classes that candidate pairs link."""
-    tried = keep(pairs.groupBy("v").agg(F.min("u").alias("u")).select("u", "v"), "first")
-    links = keep(_confirmed(tried, sets, percent).where("linked").select("u", "v"), "links")
-    label = components(links)
-    rest = pairs.join(tried, ["u", "v"], "left_anti")
+def _apart(pairs: DataFrame, label: DataFrame | None) -> DataFrame:
+    """The pairs whose ends are not connected yet."""
+    if label is None:
+        return pairs
     for end in ("u", "v"):
-        rest = rest.join(label.select(F.col("id").alias(end), F.col("component").alias(f"of_{end}")), end, "left")
-    apart = F.coalesce("of_u", "u") != F.coalesce("of_v", "v")
-    rest = keep(rest.where(apart).select("u", "v"), "rest")
-    if rest.isEmpty():
-        return label
-    more = keep(_confirmed(rest, sets, percent).where("linked").select("u", "v"), "links")
-    return components(links.unionByName(more)) if not more.isEmpty() else label
+        pairs = pairs.join(label.select(F.col("id").alias(end), F.col("component").alias(f"of_{end}")), end, "left")
+    return pairs.where(F.coalesce("of_u", "u") != F.coalesce("of_v", "v")).select("u", "v")
+
+
+def linked(classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
+    """(id, component) of the linked classes; None without any link.
+
+    Each round confirms one pair per class first, and of the others only those still apart. Members of
+    wide nodes propose their best partners, later more, in the end all that are in other components.
+    """
+    found, wide = candidates(classes, percent)
+    tried, links, label = None, None, None
+    for best in PROPOSED:
+        pairs = _proposals(wide, label, best, percent)
+        if tried is None:
+            pairs = pairs.unionByName(found).distinct()
+        else:
+            pairs = _apart(pairs.join(tried, ["u", "v"], "left_anti"), label)
+        pairs = keep(pairs, "proposed")
+        for one_each in (True, False):
+            some = pairs if tried is None else pairs.join(tried, ["u", "v"], "left_anti")
+            some = _apart(some, label)
+            if one_each:
+                some = some.groupBy("v").agg(F.min("u").alias("u")).select("u", "v")
+            some = keep(some, "tried")
+            if some.isEmpty():
+                break
+            tried = some if tried is None else tried.unionByName(some)
+            good = keep(_confirmed(some, sets, percent).where("linked").select("u", "v"), "links")
+            if not good.isEmpty():
+                links = good if links is None else links.unionByName(good)
+                label = components(links)
+    return label
 
 
 def near_duplicates(
@@ -255,14 +315,16 @@ def near_duplicates(
 ) -> DataFrame:
     """Per row: id, n_shingles, component_id (smallest id reachable by links), kept."""
     rows = keep(signed(docs, id_col, text_col, width).withColumn("row", F.monotonically_increasing_id()), "signed")
-    some = [F.any_value(c).alias(c) for c in ("n", "values", *SKETCH)]
+    some = [F.any_value(c).alias(c) for c in ("n", "tokens", *SKETCH)]
     classes = keep(
         rows.where("n > 0").groupBy("key").agg(F.min("row").alias("c"), F.min("id").alias("least_id"), *some), "classes"
     )
     sets = rows.select(F.col("row").alias("c"), "shingles")
-    label = linked(candidates(classes.drop("key", "least_id"), percent), sets, percent)
-    named = classes.select("key", "c", "least_id").join(label.withColumnRenamed("id", "c"), "c", "left")
-    named = named.withColumn("component", F.coalesce("component", "c"))
+    label = linked(classes.drop("key", "least_id"), sets, percent)
+    named = classes.select("key", "c", "least_id")
+    if label is not None:
+        named = named.join(label.withColumnRenamed("id", "c"), "c", "left")
+    named = named.withColumn("component", F.coalesce("component", "c") if label is not None else F.col("c"))
     least = named.groupBy("component").agg(F.min("least_id").alias("component_id"))
     by_key = named.join(least, "component").select("key", "component_id")
     done = rows.select("id", "n", "key").join(by_key, "key", "left").withColumn(
@@ -296,10 +358,10 @@ sets AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) = 1 THEN [w[1]]
     ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END AS s FROM words),
 sized AS (SELECT doc_id, len(s) AS n, s FROM sets),
 flat AS (SELECT doc_id, n, hash(unnest(s)) AS h FROM sized),
-shared AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS both, any_value(a.n) AS m, any_value(b.n) AS n
+shared AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS common, any_value(a.n) AS m, any_value(b.n) AS n
     FROM flat a JOIN flat b ON a.h = b.h AND a.doc_id < b.doc_id AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
     GROUP BY 1, 2),
-links AS (SELECT u, v FROM shared WHERE 100 * both >= 80 * (m + n - both)),
+links AS (SELECT u, v FROM shared WHERE 100 * common >= 80 * (m + n - common)),
 edges AS (SELECT u, v FROM links UNION SELECT v, u FROM links),
 reach AS (SELECT doc_id AS id, doc_id AS other FROM sized UNION SELECT r.id, e.v FROM reach r JOIN edges e ON r.other = e.u)
 SELECT s.doc_id, s.n AS n_shingles, r.c AS component_id, s.doc_id = r.c AS kept

@@ -44,3 +44,15 @@ def workers_find_package(spark: SparkSession) -> None:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def text_key(text_col: str) -> Column:
+    return F.md5(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+
+
+def without(docs: DataFrame, rejected: DataFrame, id_col: str, text_col: str, bound: int = 2_000_000) -> DataFrame:
+    """`docs` without the rejected rows (id, text_key): told apart by id and text, so null ids work too."""
+    rejected = keep(rejected.select(F.col(id_col).alias("_id"), F.col("text_key").alias("_key")).distinct(), "rejected")
+    keyed = docs.withColumn("_text_key", text_key(text_col))
+    same = keyed[id_col].eqNullSafe(rejected["_id"]) & (keyed["_text_key"] == rejected["_key"])
+    return keyed.join(hint_if_few(rejected, bound), same, "left_anti").select(docs.columns)
