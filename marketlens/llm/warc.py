@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import scratch_path
-from .support import workers_find_package
+from .support import let, workers_find_package
 
 SEGMENT = 48 * 1024  # code points of a response's block in one record
 CHUNK = 8 * 1024  # code points of a chunk
@@ -38,16 +38,17 @@ REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 EOL = "\r\n"
 
 
-def base32_sha1(value: Column) -> Column:
-    """Upper-case base32 of the SHA-1 of a binary value: four times eight digits of 40 bits."""
-    digest = F.sha1(value)
-    digits = []
-    for block in range(4):
-        bits = F.conv(F.substring(digest, 10 * block + 1, 10), 16, 10).cast("long")
-        for k in range(8):
-            place = F.shiftright(bits, 35 - 5 * k).bitwiseAND(31)
-            digits.append(F.substring(F.lit(BASE32), (place + 1).cast("int"), F.lit(1)))
-    return F.concat(*digits)
+def base32(digest: Column) -> Column:
+    """Upper-case base32 of 160 bits in hexadecimal: four times eight digits of 40 bits."""
+
+    def eight(block: Column) -> Column:
+        def digit(bits: Column) -> Column:
+            places = [F.shiftright(bits, 35 - 5 * k).bitwiseAND(31) + 1 for k in range(8)]
+            return F.concat(*(F.substring(F.lit(BASE32), p.cast("int"), F.lit(1)) for p in places))
+
+        return let(F.conv(F.substring(digest, block * 10 + 1, F.lit(10)), 16, 10).cast("long"), digit)
+
+    return F.array_join(F.transform(F.sequence(F.lit(0), F.lit(3)), eight), "")
 
 
 def _pieces(text: Column, size: int) -> Column:
@@ -79,12 +80,13 @@ def records(pages: DataFrame, id_col: str, html_col: str, segment: int = SEGMENT
     """One string per record."""
     payload = F.coalesce(F.col(html_col).cast("string"), F.lit(""))
     rows = pages.select(
-        F.col(id_col).alias("id"), payload.alias("payload"), base32_sha1(payload.cast("binary")).alias("digest"),
+        F.col(id_col).alias("id"), payload.alias("payload"), F.sha1(payload.cast("binary")).alias("hex"),
         # The row's own place orders equal ids. It is the same whenever the same files are read again.
         F.monotonically_increasing_id().alias("row"),
     )
-    best = rows.groupBy("digest").agg(F.max(F.struct("id", "row")).alias("best"))
-    marked = rows.join(best, "digest").withColumn("first", F.col("row") == F.col("best.row"))
+    best = rows.groupBy("hex").agg(F.max(F.struct("id", "row")).alias("best"))
+    marked = rows.join(best, "hex").withColumn("first", F.col("row") == F.col("best.row"))
+    marked = marked.withColumn("digest", base32(F.col("hex"))).drop("hex")
 
     whole = F.concat(
         F.lit("HTTP/1.1 200 OK" + EOL + "Content-Type: text/html; charset=utf-8" + EOL
