@@ -7,17 +7,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import configure
-from . import chosen_path, packing, prefix_counts, sanitise, sharding, tree_bpe, warc
+from . import (
+    chosen_path, cosine_tiles, decision_list, packing, prefix_counts, sanitise, sharding, tree_bpe, warc,
+    weak_labels,
+)
 from .support import table, workers_find_package
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _over(name: str, operator: Callable[[DataFrame], DataFrame]) -> Query:
+def _over(*names_and_operator) -> Query:
+    """A query that applies an operator to the named tables of a folder."""
+    *names, operator = names_and_operator
+
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         configure(spark)
         workers_find_package(spark)
-        return operator(table(spark, sf_dir, name))
+        return operator(*(table(spark, sf_dir, name) for name in names))
 
     return query
 
@@ -29,10 +35,13 @@ def queries() -> dict[str, Query]:
         "op3_sharding": _over("documents", sharding.op3),
         "op4_warc": _over("pages", warc.op4),
         "op5_chosen_path": _over("documents", chosen_path.op5),
+        "op6_decision_list": _over("documents", "labels", decision_list.op6),
+        "op7_weak_labels": _over("documents", "labels", weak_labels.op7),
+        "op8_cosine_tiles": _over("embeddings", cosine_tiles.op8),
         "op9_packing": _over("documents", packing.op9),
         "op10_tree_bpe": _over("documents", tree_bpe.op10),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_warc": warc.SQL, "op5_chosen_path": chosen_path.SQL}
+    return {"op4_warc": warc.SQL, "op5_chosen_path": chosen_path.SQL, "op8_cosine_tiles": cosine_tiles.SQL}
