@@ -27,7 +27,7 @@ from .support import keep
 
 SHARDS = 40
 ROUNDS = 8
-ROWS_PER_BUCKET = 50_000
+ROWS_PER_BUCKET = 20_000
 OVERHEAD = 16  # bytes each document takes besides its text
 
 _BEFORE = (W.unboundedPreceding, -1)
@@ -157,7 +157,7 @@ def sharded(
         F.monotonically_increasing_id().alias("row"),
     ), "rows")
     total = rows.count()
-    buckets = max(8, -(-total // ROWS_PER_BUCKET))
+    buckets = max(64, -(-total // ROWS_PER_BUCKET))
     rows = rows.withColumn("bucket", F.pmod(F.xxhash64("row"), F.lit(buckets)).cast("int"))
     groups = rows.groupBy("group").agg(F.count("*").alias("n")).where("n > 1")
     linked = keep(rows.join(groups.select("group"), "group", "left_semi"), "linked")
