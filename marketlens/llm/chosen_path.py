@@ -4,8 +4,8 @@ A text is the set of its word shingles. Independent trees branch on minwise toke
 documents that share the tokens chosen on the path to it, and each child is one more chosen token of a
 node. Nodes of few documents are compared exhaustively; larger ones choose further tokens. A large node
 of similar documents would never split: there every member is compared with one pivot, and those much
-like it leave the node, linked through the pivot. Twelve roots make a missed pair of similarity 0.8 a
-matter of 0.2 ** 12 in small nodes.
+like it leave the node, linked through the pivot. Eight roots make a missed pair of similarity 0.8 a
+matter of 0.2 ** 8 in small nodes.
 
 Texts with equal sets are one class from the start. Comparisons use 64 four-bit minwise values, which
 only discard pairs far below the threshold; every link is then confirmed on the full sets, first one
@@ -32,13 +32,13 @@ from .components import components
 from .pretokens import Lookup
 from .support import hint_if_few, keep, workers_find_package
 
-TREES = 6
+TREES = 4
 CHOSEN = 2  # tokens chosen per node
 ROOTS = TREES * CHOSEN
 MINWISE = 64
 SMALL_NODE = 16  # members that a plain join compares with each other
-WIDE_NODE = 1024  # members that one task compares by their sketches
-PROPOSED = (3, 24, WIDE_NODE)  # best partners a member of a wide node proposes, round by round
+WIDE_NODE = 2048  # members that one task compares by their sketches
+PROPOSED = 4  # best partners a member of a wide node proposes; the rest is compared by full sets
 DEPTH = 6
 PIVOT_ROUNDS = 12
 LIKELY = 38  # equal four-bit values of 64 that a pair of similarity 0.8 (52 expected) keeps
@@ -171,18 +171,14 @@ def _star(beside: DataFrame) -> DataFrame:
     return beside.where(pair).select(F.least("c", "pivot").alias("u"), F.greatest("c", "pivot").alias("v"))
 
 
-def _proposals(nodes: DataFrame, label: DataFrame | None, best: int, percent: int) -> DataFrame:
-    """Likely pairs of wide nodes: each member with its most alike partners of other components."""
-    if label is None:
-        nodes = nodes.withColumn("component", F.col("c"))
-    else:
-        nodes = nodes.join(label.withColumnRenamed("id", "c"), "c", "left")
-        nodes = nodes.withColumn("component", F.coalesce("component", "c"))
+def _proposals(nodes: DataFrame, percent: int) -> DataFrame:
+    """Likely pairs (node, u, v) of wide nodes: each member with its most alike partners. A row without v
+    is a member with more likely partners than that, or one that such a member leaves out."""
 
     def propose(table: pa.Table) -> pa.Table:
-        c, n, component = (table.column(k).to_numpy() for k in ("c", "n", "component"))
+        c, n = table.column("c").to_numpy(), table.column("n").to_numpy()
         sketch = np.stack([table.column(k).to_numpy() for k in SKETCH], axis=1).view(np.uint64)
-        u, v = [], []
+        u, v, left_out = [], [], np.zeros(len(c), dtype=bool)
         for at in range(0, len(c), 128):
             rows = slice(at, at + 128)
             x = sketch[rows, None, :] ^ sketch[None, :, :]
@@ -190,19 +186,70 @@ def _proposals(nodes: DataFrame, label: DataFrame | None, best: int, percent: in
             x |= x >> np.uint64(2)
             equal = MINWISE - np.bitwise_count(x & np.uint64(0x1111111111111111)).sum(axis=2, dtype=np.int64)
             small, large = np.minimum(n[rows, None], n), np.maximum(n[rows, None], n)
-            equal[(small * 100 < large * percent) | (component[rows, None] == component)] = 0
-            if best < len(c):
-                floor = -np.partition(-equal, best - 1, axis=1)[:, best - 1 : best]
-                equal[equal < floor] = 0
-            i, j = np.nonzero(equal >= LIKELY)
+            equal[(small * 100 < large * percent) | (c[rows, None] == c)] = 0
+            likely = equal >= LIKELY
+            many = likely.sum(axis=1) > PROPOSED
+            if many.any():
+                places = np.flatnonzero(many)
+                best = np.argpartition(-equal[many], PROPOSED - 1, axis=1)[:, :PROPOSED]
+                left = likely[many]
+                np.put_along_axis(left, best, False, axis=1)
+                left_out[at + places] = True
+                left_out |= left.any(axis=0)
+                chosen = np.zeros_like(left)
+                np.put_along_axis(chosen, best, True, axis=1)
+                likely[places] = chosen & likely[places]
+            i, j = np.nonzero(likely)
             u.append(c[rows][i])
             v.append(c[j])
         u, v = np.concatenate(u), np.concatenate(v)
-        return pa.table({"u": np.minimum(u, v), "v": np.maximum(u, v)})
+        alone = c[left_out]
+        return pa.table({
+            "node": np.full(len(u) + len(alone), table.column("node")[0].as_py()),
+            "u": np.concatenate([np.minimum(u, v), alone]),
+            "v": pa.array(np.concatenate([np.maximum(u, v), alone]), mask=np.arange(len(u) + len(alone)) >= len(u)),
+        })
 
     workers_find_package(nodes.sparkSession)
-    nodes = nodes.select("node", "c", "n", "component", *SKETCH)
-    return nodes.groupBy("node").applyInArrow(propose, "u long, v long").distinct()
+    return nodes.groupBy("node").applyInArrow(propose, "node long, u long, v long")
+
+
+def _exhaustive(members: DataFrame, label: DataFrame | None, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (u, v) that connect members (node, c) of the same node further, by their full sets."""
+    if label is not None:
+        members = members.join(label.withColumnRenamed("id", "c"), "c", "left")
+        members = members.withColumn("component", F.coalesce("component", "c"))
+    else:
+        members = members.withColumn("component", F.col("c"))
+    apart = members.groupBy("node").agg(F.min("component").alias("a"), F.max("component").alias("b"))
+    members = keep(members.join(apart.where("a <> b").select("node"), "node"), "members")
+
+    def connect(table: pa.Table) -> pa.Table:
+        c, label = table.column("c").to_numpy(), table.column("component").to_numpy().copy()
+        own = [_unpacked(x.as_py()) for chunk in table.column("shingles").chunks for x in chunk]
+        n = np.array([len(x) for x in own])
+        values, flat = np.unique(np.concatenate(own), return_inverse=True)
+        starts = np.concatenate([[0], np.cumsum(n)[:-1]])
+        u, v = [], []
+        for i in range(len(c)):
+            other = label != label[i]
+            if not other.any():
+                break
+            marked = np.zeros(len(values), dtype=bool)
+            marked[flat[starts[i] : starts[i] + n[i]]] = True
+            both = np.add.reduceat(marked[flat], starts, dtype=np.int64)
+            near = other & (100 * both >= percent * (n[i] + n - both))
+            for j in np.flatnonzero(near):
+                if label[j] != label[i]:
+                    u.append(c[i])
+                    v.append(c[j])
+                    label[label == label[j]] = label[i]
+        return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
+
+    needed = keep(members.select("c").distinct(), "needed")
+    own = sets.join(hint_if_few(needed, FEW_IDS), "c")
+    joined = members.join(own, "c").select("node", "c", "component", "shingles")
+    return joined.groupBy("node").applyInArrow(connect, "u long, v long")
 
 
 def _sized(nodes: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -282,32 +329,25 @@ def _apart(pairs: DataFrame, label: DataFrame | None) -> DataFrame:
 def linked(classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
     """(id, component) of the linked classes; None without any link.
 
-    Each round confirms one pair per class first, and of the others only those still apart. Members of
-    wide nodes propose their best partners, later more, in the end all that are in other components.
+    One likely pair per class is confirmed first, and of the others only those still apart. Members of
+    wide nodes that had more partners than they could propose are then compared by their sets, all with
+    all where they are not connected.
     """
     found, wide = candidates(classes, percent)
-    tried, links, label = None, None, None
-    for best in PROPOSED:
-        pairs = _proposals(wide, label, best, percent)
-        if tried is None:
-            pairs = pairs.unionByName(found).distinct()
-        else:
-            pairs = _apart(pairs.join(tried, ["u", "v"], "left_anti"), label)
-        pairs = keep(pairs, "proposed")
-        for one_each in (True, False):
-            some = pairs if tried is None else pairs.join(tried, ["u", "v"], "left_anti")
-            some = _apart(some, label)
-            if one_each:
-                some = some.groupBy("v").agg(F.min("u").alias("u")).select("u", "v")
-            some = keep(some, "tried")
-            if some.isEmpty():
-                break
-            tried = some if tried is None else tried.unionByName(some)
-            good = keep(_confirmed(some, sets, percent).where("linked").select("u", "v"), "links")
-            if not good.isEmpty():
-                links = good if links is None else links.unionByName(good)
-                label = components(links)
-    return label
+    proposed = keep(_proposals(wide, percent), "proposed")
+    pairs = found.unionByName(proposed.where("v is not null").select("u", "v"))
+    pairs = keep(pairs.distinct(), "pairs")
+    first = keep(pairs.groupBy("v").agg(F.min("u").alias("u")).select("u", "v"), "first")
+    links = keep(_confirmed(first, sets, percent).where("linked").select("u", "v"), "links")
+    label = None if links.isEmpty() else components(links)
+    rest = keep(_apart(pairs.join(first, ["u", "v"], "left_anti"), label), "rest")
+    more = keep(_confirmed(rest, sets, percent).where("linked").select("u", "v"), "links")
+    if not more.isEmpty():
+        links = links.unionByName(more)
+        label = components(links)
+    members = proposed.where("v is null").select("node", F.col("u").alias("c"))
+    last = keep(_exhaustive(members, label, sets, percent), "links")
+    return label if last.isEmpty() else components(links.unionByName(last))
 
 
 def near_duplicates(

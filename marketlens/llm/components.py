@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .support import keep
+from .support import few, keep
+
+FEW_LABELS = 1_000_000  # 16 MB; beyond that labels are shuffled
 
 
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
@@ -19,17 +21,18 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     both = keep(both.distinct(), "edges", "snappy")
     labels = both.groupBy(F.col("u").alias("id")).agg(F.least(F.min("v"), F.first("u")).alias("component"))
     labels = keep(labels, "labels", "snappy")
+    sent = F.broadcast if few(labels, FEW_LABELS) else (lambda df: df)
     for _ in range(rounds):
         heard = (
-            both.join(labels.withColumnRenamed("id", "u"), "u")
+            both.join(sent(labels.withColumnRenamed("id", "u")), "u")
             .groupBy(F.col("v").alias("id")).agg(F.min("component").alias("heard"))
         )
-        nearer = labels.join(heard, "id").select(
+        nearer = heard.join(sent(labels), "id").select(
             "id", F.least("component", "heard").alias("component"), F.col("component").alias("old")
         )
         nearer = keep(nearer, "labels", "snappy")
         jump = nearer.select(F.col("id").alias("component"), F.col("component").alias("further"))
-        after = nearer.join(jump, "component", "left").select(
+        after = nearer.join(sent(jump), "component", "left").select(
             "id", F.least("component", F.coalesce("further", "component")).alias("component"), "old"
         )
         after = keep(after, "labels", "snappy")
