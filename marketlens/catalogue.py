@@ -105,7 +105,7 @@ PLANS: dict[str, Callable[[Frames], DataFrame]] = {
     "order_item_rollup": lambda f: marts.order_item_rollup(f.stg("stg_order_items")),
     "order_payment_rollup": lambda f: marts.order_payment_rollup(f.stg("stg_payments")),
     "customer_order_number": lambda f: marts.customer_order_numbers(
-        f.stg("stg_orders"), f.stg("stg_customers"), f.people
+        f.stg("stg_orders"), f.stg("stg_customers")
     ).select("order_id", "customer_unique_id", "customer_order_number"),
     "delivery_metrics": lambda f: marts.delivery_metrics(f.stg("stg_orders")),
     "analysis_window_flag": lambda f: f.w.mart_model("fct_orders").select(
@@ -185,7 +185,7 @@ PLANS: dict[str, Callable[[Frames], DataFrame]] = {
     "returned_within_180d_mean": lambda f: customers.mean_return_share(_returned(f)),
     "repeat_by_first_lateness": lambda f: customers.repeat_by_first_lateness(f.valid, f.people),
     "repeat_by_first_category": lambda f: customers.repeat_by_first_category(
-        f.valid, f.items, f.products, f.people, f.cfg
+        f.valid, f.valid_items, f.products, f.people, f.cfg
     ),
     "overall_repeat_rate": lambda f: customers.overall_repeat_rate(f.people),
     "rfm_scores": lambda f: marts.rfm_scores(f.orders, f.cfg),
@@ -213,9 +213,6 @@ PLANS: dict[str, Callable[[Frames], DataFrame]] = {
     "spearman_handling_late": lambda f: hypothesis.spearman_handling_late(
         delivery.established(f.scorecard, f.cfg)
     ),
-    "test_p_values": lambda f: hypothesis.p_values(
-        f.delivered, f.people, delivery.established(f.scorecard, f.cfg)
-    ),
     # Dashboard
     "dash_kpis": lambda f: dashboard.kpis(f.extract("orders")),
     "dash_monthly": lambda f: dashboard.monthly(f.extract("orders")),

@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 
+LARGE_DF = 1e5  # from here on the gamma functions lose more digits than the transformation
+
+
 def normal_two_sided(z: float) -> float:
     return math.erfc(abs(z) / math.sqrt(2.0))
 
@@ -24,6 +27,10 @@ def chi_square_one_df(x: float) -> float:
 
 
 def t_two_sided(t: float, df: float) -> float:
+    if df > LARGE_DF:
+        # The normal transformation of t; its error falls with the square of df.
+        z = math.sqrt(df * math.log1p(t * t / df)) * (8.0 * df + 1.0) / (8.0 * df + 3.0)
+        return normal_two_sided(z)
     return incomplete_beta(df / 2.0, 0.5, df / (df + t * t))
 
 
@@ -39,7 +46,7 @@ def incomplete_beta(a: float, b: float, x: float) -> float:
     tiny = 1e-300
     c, d = 1.0, 1.0 / max(1.0 - (a + b) * x / (a + 1.0), tiny)
     fraction = d
-    for m in range(1, 500):
+    for m in range(1, 10_000):
         even = m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m))
         odd = -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))
         for term in (even, odd):
@@ -49,8 +56,8 @@ def incomplete_beta(a: float, b: float, x: float) -> float:
             c = c if abs(c) > tiny else tiny
             fraction *= c * d
         if abs(c * d - 1.0) < 1e-15:
-            break
-    return front * fraction / a
+            return front * fraction / a
+    raise ArithmeticError(f"incomplete beta function did not converge for a={a}, b={b}, x={x}")
 
 
 # Executors receive these functions by value, so they need no copy of this package.

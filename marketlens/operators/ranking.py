@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from ..session import stash
 
 ROWS_PER_RANGE = 2_000_000
-MAX_GROUP_ROWS = 2_000_000
 
 # monotonically_increasing_id() keeps the partition above bit 33 and the position below it.
 _SEAT_BITS = 33
@@ -142,46 +141,25 @@ def dense_rank_by(
 
 
 def number_in_group(
-    df: DataFrame,
-    keys: list[str],
-    order: list[Column],
-    name: str,
-    group_rows: DataFrame,
-    max_group_rows: int | None = None,
-    rows_per_range: int | None = None,
+    df: DataFrame, keys: list[str], slices: Column, order: list[Column], name: str, descending: bool = False
 ) -> DataFrame:
-    """ROW_NUMBER() OVER (PARTITION BY keys ORDER BY order).
+    """ROW_NUMBER() OVER (PARTITION BY keys ORDER BY order), for groups of any size.
 
-    `group_rows` (keys, rows) gives the size of each group. Groups up to `max_group_rows` go through
-    an ordinary window; larger ones are numbered globally and shifted to their first row.
+    `slices` cuts a group into parts that follow each other in `order` (descending: the largest first;
+    NULL last). Rows are numbered within their slice; a running sum over the slices' sizes, which are
+    combined on the map side, says how many rows of the group come before it.
     """
-    limit = max_group_rows or MAX_GROUP_ROWS
-    by_key = W.partitionBy(*keys).orderBy(*order)
-    # At most total rows / limit groups can be this large, so the list is safe to broadcast.
-    hot = group_rows.where(F.col("rows") > limit).select(*keys)
-    if hot.isEmpty():
-        return df.withColumn(name, F.row_number().over(by_key).cast("long"))
-
-    hot = F.broadcast(stash(hot, "hot"))
-    same_key = [df[k].eqNullSafe(hot[k]) for k in keys]
-    small = df.join(hot, same_key, "left_anti").withColumn(
-        name, F.row_number().over(by_key).cast("long")
-    )
-    large = number_rows(
-        df.join(hot, same_key, "left_semi"),
-        [F.col(k).asc_nulls_last() for k in keys] + order,
-        "_row",
-        rows_per_range=rows_per_range,
+    sliced = df.withColumn("_slice", slices)
+    sizes = sliced.groupBy(*keys, "_slice").agg(F.count(F.lit(1)).alias("_rows"))
+    by_slice = F.col("_slice").desc_nulls_last() if descending else F.col("_slice").asc_nulls_last()
+    ahead = W.partitionBy(*keys).orderBy(by_slice).rowsBetween(W.unboundedPreceding, -1)
+    before = sizes.select(
+        *[F.col(k).alias(f"_g_{k}") for k in keys],
+        F.col("_slice").alias("_g_slice"),
+        F.coalesce(F.sum("_rows").over(ahead), F.lit(0)).alias("_before"),
     )
-    first = large.groupBy(*keys).agg(F.min("_row").alias("_first"))
-    first = first.select(*[F.col(k).alias(f"_g_{k}") for k in keys], "_first")
-    joined = large.join(
-        F.broadcast(first), [F.col(k).eqNullSafe(F.col(f"_g_{k}")) for k in keys]
-    )
-    return small.unionByName(
-        joined.withColumn(name, F.col("_row") - F.col("_first") + 1).select(*small.columns)
-    )
-
-
-def group_sizes(df: DataFrame, keys: list[str]) -> DataFrame:
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
+    within = F.row_number().over(W.partitionBy(*keys, "_slice").orderBy(*order))
+    same = [F.col(k).eqNullSafe(F.col(f"_g_{k}")) for k in keys]
+    same.append(F.col("_slice").eqNullSafe(F.col("_g_slice")))
+    joined = sliced.withColumn("_within", within).join(before, same)
+    return joined.select(*df.columns, (F.col("_before") + F.col("_within")).cast("long").alias(name))

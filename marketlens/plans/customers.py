@@ -172,6 +172,8 @@ def returned_within(orders: DataFrame, days: int, cohorts_before: date) -> DataF
     clock time of the first order, so on the first day inside the interval only the latest order
     matters and on the last day only the earliest; every other day is wholly in or out.
     """
+    if days < 2:
+        raise ValueError("the interval after the first day is empty for fewer than two days")
     per_day = orders.groupBy(PERSON, F.col("purchased_at").cast("date").alias("day")).agg(
         F.min("purchased_at").alias("earliest"), F.max("purchased_at").alias("latest")
     )

@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from ..config import Settings
 from ..functions import expressions as X
 from ..operators.joins import side_by_side
-from ..operators.ranking import number_rows
+from ..operators.ranking import counts_ahead
 from ..operators.shape import in_order, total
+from ..session import stash
 
 # The action shown for each RFM segment.
 SEGMENT_ACTIONS = {
@@ -218,22 +219,26 @@ def worst_states(orders: DataFrame, settings: Settings) -> DataFrame:
 
 def seller_kpis(sellers: DataFrame) -> DataFrame:
     """Sellers per flag, and the revenue share of the first tenth (rounded down) by revenue."""
-    sellers = sellers.select("seller", "revenue", "performance_flag")
-    count = sellers.count()
-    by_revenue = [F.col("revenue").desc_nulls_last(), F.col("seller").asc()]
-    ranked = number_rows(sellers, by_revenue, "place", count)
+    sellers = stash(sellers.select("revenue", "performance_flag"))
+    tenth = sellers.count() // 10
+    # Equal revenues share a level, so it doesn't matter which of them are in the first tenth.
+    levels = counts_ahead(sellers, "revenue", descending=True)
+    inside = F.greatest(F.lit(0), F.least("ties", F.lit(tenth) - F.col("ahead")))
+    first = levels.agg(F.sum(X.cents("revenue") * inside).alias("first"))
 
     def flagged(flag: str):
         return F.count_if(F.col("performance_flag") == flag)
 
-    top = F.sum(F.when(F.col("place") <= count // 10, X.cents("revenue")))
-    return ranked.agg(
+    totals = sellers.agg(
         X.rows().alias("sellers"),
         flagged("Good").alias("good"),
         flagged("Underperforming").alias("underperforming"),
         flagged("Low volume").alias("low_volume"),
-        X.percent(F.coalesce(top, F.lit(0)), X.sum_cents("revenue"), 2).alias("top_tenth_revenue_pct"),
+        X.sum_cents("revenue").alias("total"),
     )
+    both = side_by_side(totals, first)
+    top = X.percent(F.coalesce("first", F.lit(0)), F.col("total"), 2).alias("top_tenth_revenue_pct")
+    return both.select("sellers", "good", "underperforming", "low_volume", top)
 
 
 def established(sellers: DataFrame) -> DataFrame:

@@ -17,7 +17,6 @@ from ..operators.ranking import counts_ahead
 from ..operators.shape import spread
 from ..session import stash
 
-MAX_WINDOW_LEVELS = 1_000_000
 
 
 def _moments(delivered: DataFrame) -> DataFrame:
@@ -79,7 +78,7 @@ def cohens_d(delivered: DataFrame) -> DataFrame:
 def _mannwhitney(delivered: DataFrame) -> DataFrame:
     """U of the late sample and z with tie and continuity corrections, from the score histogram."""
     levels = (
-        delivered.where("review_score IS NOT NULL")
+        delivered.where("review_score IS NOT NULL AND is_late IS NOT NULL")
         .groupBy("review_score")
         .agg(
             F.count_if("is_late").cast("double").alias("late"),
@@ -115,7 +114,8 @@ def mannwhitney_review_late(delivered: DataFrame) -> DataFrame:
 
 def late_repeat_crosstab(delivered: DataFrame, people: DataFrame) -> DataFrame:
     """First orders: late or not, by whether the person ever ordered again."""
-    first = delivered.where(F.col("customer_order_number") == 1).select("customer_unique_id", "is_late")
+    first = delivered.where((F.col("customer_order_number") == 1) & F.col("is_late").isNotNull())
+    first = first.select("customer_unique_id", "is_late")
     counted = (
         first.join(people.select("customer_unique_id", "total_orders"), "customer_unique_id")
         .groupBy("is_late", (F.col("total_orders") > 1).alias("repeated"))
@@ -157,29 +157,22 @@ def chi2_late_repeat(crosstab: DataFrame) -> DataFrame:
     )
 
 
-def _average_ranks(cells: DataFrame, value: str, measures: list[str], few: bool) -> DataFrame:
-    """Average rank of each distinct value per measure. A window orders the levels if few."""
-    if few:
-        levels = cells.groupBy("measure", value).agg(F.sum("n").alias("ties"))
-        upto = F.sum("ties").over(W.partitionBy("measure").orderBy(value))
-        levels = levels.withColumn("ahead", upto - F.col("ties"))
-    else:
-        levels = reduce(
-            DataFrame.unionByName,
-            [
-                counts_ahead(cells.where(F.col("measure") == m), value, weight="n").select(
-                    F.lit(m).alias("measure"), value, "ties", "ahead"
-                )
-                for m in measures
-            ],
-        )
+def _average_ranks(cells: DataFrame, value: str, measures: list[str]) -> DataFrame:
+    """Average rank of each distinct value per measure."""
+    levels = reduce(
+        DataFrame.unionByName,
+        [
+            counts_ahead(cells.where(F.col("measure") == m), value, weight="n").select(
+                F.lit(m).alias("measure"), value, "ties", "ahead"
+            )
+            for m in measures
+        ],
+    )
     rank = F.col("ahead") + (F.col("ties") + 1) / F.lit(2.0)
     return levels.select("measure", value, rank.alias(f"rank_{value}"))
 
 
-def spearman(
-    df: DataFrame, measures: list[str], against: str, max_levels: int = MAX_WINDOW_LEVELS
-) -> DataFrame:
+def spearman(df: DataFrame, measures: list[str], against: str) -> DataFrame:
     """(measure, n, rho) for each measure against one column, over the rows where both are known.
 
     One pass counts the distinct value pairs of all measures; ranks and sums work on those counts.
@@ -194,9 +187,8 @@ def spearman(
         .agg(F.count(F.lit(1)).alias("n")),
         "cells",
     )
-    few = cells.count() <= max_levels
-    ranked = cells.join(_average_ranks(cells, "x", measures, few), ["measure", "x"]).join(
-        _average_ranks(cells, "y", measures, few), ["measure", "y"]
+    ranked = cells.join(_average_ranks(cells, "x", measures), ["measure", "x"]).join(
+        _average_ranks(cells, "y", measures), ["measure", "y"]
     )
     rx, ry, w = F.col("rank_x"), F.col("rank_y"), F.col("n")
 
@@ -249,7 +241,7 @@ def p_values(delivered: DataFrame, people: DataFrame, sellers: DataFrame) -> Dat
         return spearman(frame, measures, against).select(
             F.concat(F.lit("spearman_"), "measure").alias("test"),
             rho.alias("statistic"),
-            D.p_student_t(t, freedom).alias("p_value"),
+            F.when(F.abs(rho) >= 1, 0.0).otherwise(D.p_student_t(t, freedom)).alias("p_value"),
         )
 
     welch, mw = _welch(delivered), _mannwhitney(delivered)

@@ -84,7 +84,8 @@ def review_dedup_trace(reviews: DataFrame) -> DataFrame:
     sizes = reviews.groupBy("order_id").agg(X.rows().alias("rows")).where(F.col("rows") > 1)
     several = reviews.join(sizes.select("order_id"), "order_id", "left_semi")
     newest = [F.col("review_answer_timestamp").desc_nulls_last(), F.col("review_id").desc()]
-    return number_in_group(several, ["order_id"], newest, "rn", sizes).select(
+    day = F.col("review_answer_timestamp").cast("date")
+    return number_in_group(several, ["order_id"], day, newest, "rn", descending=True).select(
         "order_id", "review_id", "review_score", "review_answer_timestamp", "rn"
     )
 

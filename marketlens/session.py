@@ -27,7 +27,6 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-MAX_SHUFFLE_PARTITIONS = 40_000
 BYTES_PER_SHUFFLE_PARTITION = 256 * 1024 * 1024
 
 
@@ -44,7 +43,7 @@ def folder_bytes(spark: SparkSession, folder: str) -> int:
 def size_shuffles(spark: SparkSession, folder: str) -> None:
     """Raise the number of shuffle partitions to fit the input; AQE merges those that stay small."""
     size = folder_bytes(spark, folder)
-    wanted = min(MAX_SHUFFLE_PARTITIONS, -(-size // BYTES_PER_SHUFFLE_PARTITION))
+    wanted = -(-size // BYTES_PER_SHUFFLE_PARTITION)
     if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
         spark.conf.set("spark.sql.shuffle.partitions", wanted)
 

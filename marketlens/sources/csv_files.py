@@ -10,14 +10,18 @@ from pyspark.sql import types as T
 from .schemas import RAW_SCHEMAS, default_files
 
 # Only free text can hold line breaks; a multi-line file cannot be split across tasks, so the
-# other tables are read line by line.
+# other tables are read line by line. A quoted line break there leaves a short row, which fails.
 MULTI_LINE_TABLES = {"order_reviews"}
 
 
 def read_csv_table(spark: SparkSession, path: str, table: str) -> DataFrame:
     declared = T.StructType.fromDDL(RAW_SCHEMAS[table])
     reader = (
+        # A row with too few or too many fields fails, whichever of them a query needs. A value that
+        # cannot be read fails where its column is read: loading stores whole tables, so it reads all.
         spark.read.option("header", True)
+        .option("mode", "FAILFAST")
+        .option("columnPruning", False)
         .option("quote", '"')
         .option("escape", '"')
         .option("timestampNTZFormat", "yyyy-MM-dd[ HH:mm:ss]")

@@ -75,7 +75,7 @@ def mart_model(
         case "fct_orders":
             return marts.fct_orders(
                 stg("stg_orders"), stg("stg_customers"), stg("stg_order_items"),
-                stg("stg_payments"), stg("stg_reviews"), mart("dim_customers"), settings,
+                stg("stg_payments"), stg("stg_reviews"), settings,
             )
         case "customer_rfm":
             return marts.customer_rfm(mart("fct_orders"), settings)

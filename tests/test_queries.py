@@ -8,6 +8,7 @@ from comparing import difference, open_oracle
 import __spark_entry__ as contract
 import oracle
 from marketlens import catalogue
+from marketlens.plans import delivery, hypothesis
 
 SQL = oracle.statements()
 QUERIES = catalogue.queries()
@@ -21,7 +22,7 @@ def con():
 
 def test_every_statement_has_a_query():
     assert set(contract.oracle_sql()) <= set(contract.queries())
-    assert set(QUERIES) - set(SQL) == {"test_p_values"}
+    assert set(QUERIES) == set(SQL)
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
@@ -63,7 +64,9 @@ def test_properties(spark):
 
 
 def test_p_values(spark):
-    tests = {r.test: r for r in QUERIES["test_p_values"](spark, FOLDER).collect()}
+    f = catalogue.Frames(catalogue.warehouse(spark, FOLDER))
+    sellers = delivery.established(f.scorecard, f.cfg)
+    tests = {r.test: r for r in hypothesis.p_values(f.delivered, f.people, sellers).collect()}
     assert len(tests) == 6
     assert all(0 <= r.p_value <= 1 for r in tests.values())
     assert tests["welch_review_late"].p_value < 1e-6

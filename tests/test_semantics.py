@@ -193,9 +193,32 @@ def test_filters(spark):
 def test_spearman_average_ranks(spark):
     df = spark.createDataFrame([(1, 1), (1, 2), (2, 3), (None, 9)], "x int, y int")
     # Ranks 1.5, 1.5, 3 and 1, 2, 3.
-    for levels in (100, 1):
-        measure, n, rho = one(hypothesis.spearman(df, ["x"], "y", max_levels=levels))
-        assert (measure, n) == ("x", 3) and rho == pytest.approx(1.5 / math.sqrt(1.5 * 2))
+    measure, n, rho = one(hypothesis.spearman(df, ["x"], "y"))
+    assert (measure, n) == ("x", 3) and rho == pytest.approx(1.5 / math.sqrt(1.5 * 2))
+
+
+def test_unknown_lateness_is_in_no_group(spark):
+    rows = [(True, 1), (True, 2), (False, 5), (False, 4), (None, 3), (None, 1)]
+    delivered = spark.createDataFrame(rows, "is_late boolean, review_score int")
+    assert one(hypothesis.mannwhitney_review_late(delivered))[:2] == (2, 2)
+    first = delivered.withColumn("customer_unique_id", F.monotonically_increasing_id()).withColumn(
+        "customer_order_number", F.lit(1)
+    )
+    people = first.select("customer_unique_id", F.lit(1).alias("total_orders"))
+    assert {r.is_late for r in hypothesis.late_repeat_crosstab(first, people).collect()} == {True, False}
+
+
+def test_a_window_of_one_day_is_rejected(spark):
+    orders = spark.createDataFrame([], "customer_unique_id string, purchased_at timestamp_ntz")
+    with pytest.raises(ValueError, match="two days"):
+        customers.returned_within(orders, 1, date(2020, 1, 1))
+
+
+@pytest.mark.parametrize("df", [1e5 + 1, 1e8, 1e11, 1e12, 1e13])
+def test_t_tail_of_large_samples(df):
+    for t in (0.1, 1.0, 2.5, 5.0):
+        assert D.t_two_sided(t, df) == pytest.approx(D.normal_two_sided(t), rel=1e-6 + t**4 / df)
+    assert D.t_two_sided(1.0, 99_999) == pytest.approx(D.t_two_sided(1.0, 100_001), abs=1e-9)
 
 
 def test_chi_square_with_yates(spark):
@@ -231,9 +254,8 @@ def test_tail_probabilities():
 
 def test_spearman_of_several_measures_and_of_nothing(spark):
     df = spark.createDataFrame([(1, 4, 1), (2, 3, 2), (3, 2, 3), (4, None, 4)], "a int, b int, y int")
-    for levels in (100, 1):
-        got = {r.measure: (r.n, r.rho) for r in hypothesis.spearman(df, ["a", "b"], "y", levels).collect()}
-        assert got["a"] == (4, pytest.approx(1.0)) and got["b"] == (3, pytest.approx(-1.0))
-        assert one(hypothesis.spearman(df.where("a > 9"), ["a"], "y", levels)) == ("a", 0, None)
+    got = {r.measure: (r.n, r.rho) for r in hypothesis.spearman(df, ["a", "b"], "y").collect()}
+    assert got["a"] == (4, pytest.approx(1.0)) and got["b"] == (3, pytest.approx(-1.0))
+    assert one(hypothesis.spearman(df.where("a > 9"), ["a"], "y")) == ("a", 0, None)
     constant = df.withColumn("a", F.lit(1))
     assert one(hypothesis.spearman(constant, ["a"], "y")) == ("a", 4, None)

@@ -48,6 +48,29 @@ def test_missing_column_is_an_error(spark, tmp_path):
         read_csv_table(spark, str(path), "sellers")
 
 
+@pytest.mark.parametrize("row", [
+    'o1,1,p1,s1,2017-01-02 00:00:00,"1.234,50",1.0', "o1,1,p1,s1,2017-01-02 00:00:00,abc,1.0",
+    "o1,x,p1,s1,2017-01-02 00:00:00,1.0,1.0", "o1,1,p1,s1,01/02/2017,1.0,1.0",
+    "o1,1,p1,s1", "o1,1,p1,s1,2017-01-02 00:00:00,1.0,1.0,surplus",
+])
+def test_damaged_rows_fail(spark, tmp_path, row):
+    path = tmp_path / "items.csv"
+    head = "order_id,order_item_id,product_id,seller_id,shipping_limit_date,price,freight_value\n"
+    path.write_text(f"{head}o0,1,p1,s1,2017-01-02 00:00:00,1.5,1.0\n{row}\n")
+    with pytest.raises(Exception, match="MALFORMED"):
+        stash(read_csv_table(spark, str(path), "order_items"))
+
+
+def test_a_quoted_line_break_outside_free_text_fails(spark, tmp_path):
+    path = tmp_path / "customers.csv"
+    path.write_text(
+        "customer_id,customer_unique_id,customer_zip_code_prefix,customer_city,customer_state\n"
+        'c1,u1,01045,"sao\npaulo",SP\n'
+    )
+    with pytest.raises(Exception, match="MALFORMED"):
+        read_csv_table(spark, str(path), "customers").count()
+
+
 def test_catalog_helpers(spark, tmp_path):
     df = catalog.inline_rows(spark, [(2, "b"), (1, "a")], "id int, name string")
     assert [tuple(r) for r in catalog.preview(df, 1, "id").collect()] == [(1, "a")]
