@@ -85,6 +85,22 @@ class Frames:
         return checks.all_checks(self.raw, self.stg, self.mart)
 
 
+class FilteredFrames(Frames):
+    """The same, as a reader of the dashboard sees them who chose months and states. Buyers' segments
+    have no month, so they follow the states only; sellers follow neither."""
+
+    # A choice that the stand-in tables can answer.
+    CHOICE = {
+        "first_month": "1999-02",
+        "last_month": "2000-07",
+        "states": [f"NATION_{n}" for n in (2, 3, 7, 11, 12, 13, 15, 19)],
+    }
+
+    def extract(self, name: str) -> DataFrame:
+        whole = super().extract(name)
+        return whole if name == "sellers" else dashboard.apply_filters(whole, **self.CHOICE)
+
+
 def _cohorts(f: Frames) -> DataFrame:
     return customers.cohort_counts(f.valid)
 
@@ -228,12 +244,26 @@ PLANS: dict[str, Callable[[Frames], DataFrame]] = {
     "dash_seller_kpis": lambda f: dashboard.seller_kpis(f.extract("sellers")),
     "dash_established": lambda f: dashboard.established(f.extract("sellers")),
     "dash_seller_table": lambda f: dashboard.seller_table(f.extract("sellers")),
+    "dash_seller_table_underperforming": lambda f: dashboard.seller_table(
+        f.extract("sellers"), "Underperforming"
+    ),
+    "dash_filter_months": lambda f: dashboard.filter_options(f.extract("orders"))[0],
+    "dash_filter_states": lambda f: dashboard.filter_options(f.extract("orders"))[1],
 }
 
+FILTERED = {
+    f"{name}_filtered": name
+    for name in ("dash_kpis", "dash_monthly", "dash_top_categories", "dash_payment_share",
+                 "dash_customer_kpis", "dash_rfm_segments", "dash_top_states", "dash_delivery_kpis",
+                 "dash_late_monthly", "dash_review_by_arrival", "dash_worst_states")
+}
+
 
 def run(name: str, spark: SparkSession, folder: str) -> DataFrame:
+    if name in FILTERED:
+        return PLANS[FILTERED[name]](FilteredFrames(warehouse(spark, folder)))
     return PLANS[name](Frames(warehouse(spark, folder)))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: (lambda spark, folder, name=name: run(name, spark, folder)) for name in PLANS}
+    return {name: (lambda spark, folder, name=name: run(name, spark, folder)) for name in [*PLANS, *FILTERED]}

@@ -1,5 +1,7 @@
 """One statement body per query, on top of the chain in `layers`."""
 
+import re
+
 from .layers import DELIVERY_COLUMNS, RAW, calendar
 from .text import dbl, dec, hours, mean_money, pct, rnd, total, units
 
@@ -508,7 +510,27 @@ DASHBOARD = {
     "dash_seller_table": "FROM x_sellers",
 }
 
+SEEN = "customer_state IN (" + ", ".join(f"'NATION_{n}'" for n in (2, 3, 7, 11, 12, 13, 15, 19)) + ")"
+IN_MONTHS = "order_date >= DATE '1999-02-01' AND order_date < DATE '2000-08-01'"
+
+
+def _filtered(body: str) -> str:
+    """The same figure over the chosen months and states; segments of buyers follow the states only."""
+    for name, where in (("x_orders", f"{IN_MONTHS} AND {SEEN}"), ("x_items", f"{IN_MONTHS} AND {SEEN}"), ("x_rfm", SEEN)):
+        body = re.sub(rf"\b{name}\b", f"(SELECT * FROM {name} WHERE {where})", body)
+    return body
+
+
+DASHBOARD_FILTERED = {
+    f"{name}_filtered": _filtered(body) for name, body in DASHBOARD.items() if "x_sellers" not in body
+}
+DASHBOARD_CHOICES = {
+    "dash_seller_table_underperforming": "FROM x_sellers WHERE performance_flag = 'Underperforming'",
+    "dash_filter_months": f"SELECT DISTINCT {MONTH} AS month FROM x_orders",
+    "dash_filter_states": "SELECT DISTINCT customer_state FROM x_orders WHERE customer_state IS NOT NULL",
+}
+
 ANALYSES = {
     **CATALOG, **LAYERS, **CHECK_SUMMARY, **PROFILING, **MODELLING, **REVENUE, **CUSTOMERS,
-    **DELIVERY, **STATISTICS, **DASHBOARD,
+    **DELIVERY, **STATISTICS, **DASHBOARD, **DASHBOARD_FILTERED, **DASHBOARD_CHOICES,
 }
