@@ -79,9 +79,9 @@ CHECKS = {
     "chk_items_no_rows_lost": _differing("count(*) FROM raw_order_items", "count(*) FROM f_items"),
     "chk_orders_no_rows_lost": _differing("count(*) FROM raw_orders", "count(*) FROM f_orders"),
     "chk_orders_unique": _repeated("f_orders", "order_id"),
-    "chk_keys_not_null": """SELECT order_id FROM f_orders WHERE order_id + customer_unique_id IS NULL
-        UNION ALL SELECT order_id FROM f_items WHERE product_id + seller_id IS NULL""",
-    "chk_no_negative_money": "SELECT 1 FROM f_items WHERE least(price, freight_value) < 0",
+    "chk_keys_not_null": """SELECT order_id FROM f_orders WHERE order_id IS NULL OR customer_unique_id IS NULL
+        UNION ALL SELECT order_id FROM f_items WHERE product_id IS NULL OR seller_id IS NULL""",
+    "chk_no_negative_money": "SELECT 1 FROM f_items WHERE price < 0 OR freight_value < 0",
     "chk_products_have_category": "SELECT 1 FROM d_products WHERE category IS NULL",
     "chk_revenue_reconciles": _differing(
         total("item_revenue") + " FROM f_items", total("order_revenue") + " FROM f_orders"
@@ -242,7 +242,7 @@ REVENUE = {
         {rnd('avg(installments)', 1)} AS avg_installments
         FROM valid WHERE main_payment_type IS NOT NULL GROUP BY ALL""",
     "installment_buckets": f"""SELECT CASE WHEN installments <= 1 THEN '1 (paid in full)'
-            WHEN installments IN (2, 3) THEN '2-3' WHEN installments IN (4, 5, 6) THEN '4-6'
+            WHEN installments BETWEEN 2 AND 3 THEN '2-3' WHEN installments BETWEEN 4 AND 6 THEN '4-6'
             ELSE '7-24' END AS installments,
         count(*) AS orders, {rnd(mean_money('order_revenue'), 2)} AS aov
         FROM valid WHERE main_payment_type = 'credit_card' GROUP BY 1""",
@@ -445,6 +445,7 @@ STATISTICS = {
     ),
 }
 
+# The dashboard's segments, actions, bin edges and labels.
 ACTIONS = """(VALUES ('Champions', 'Reward & referral program'),
     ('Loyal (lapsing)', 'Personalised win-back'),
     ('New big spenders', 'Nurture toward a 2nd purchase'), ('New customers', 'Welcome series'),

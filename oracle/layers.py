@@ -109,7 +109,7 @@ SELECT * RENAME (order_purchase_timestamp AS purchased_at, order_approved_at AS
                  order_estimated_delivery_date AS estimated_delivery_at)
 FROM raw_orders""",
     "s_items": "SELECT * RENAME (shipping_limit_date AS shipping_limit_at) FROM raw_order_items",
-    "s_payments": "SELECT * FROM raw_order_payments WHERE payment_type NOT IN ('not_defined')",
+    "s_payments": "SELECT * FROM raw_order_payments WHERE payment_type <> 'not_defined'",
     "s_products": """
 SELECT product_id,
        CASE WHEN product_category_name_english IS NOT NULL THEN product_category_name_english
@@ -198,11 +198,11 @@ LEFT JOIN item_rollup USING (order_id) LEFT JOIN payment_rollup USING (order_id)
 LEFT JOIN (SELECT order_id, review_score FROM s_reviews) USING (order_id)""",
     "valid": """
 SELECT * FROM f_orders
-WHERE in_analysis_window AND NOT (order_status = 'canceled' OR order_status = 'unavailable')""",
+WHERE in_analysis_window AND order_status NOT IN ('canceled', 'unavailable')""",
     "valid_items": """
 SELECT * FROM f_items
 WHERE order_date >= DATE '1999-01-01' AND order_date < DATE '2000-09-01'
-  AND NOT (order_status = 'canceled' OR order_status = 'unavailable')""",
+  AND order_status NOT IN ('canceled', 'unavailable')""",
     "delivered": """
 SELECT * FROM f_orders
 WHERE in_analysis_window AND order_status = 'delivered' AND delivered_at IS NOT NULL""",
@@ -234,8 +234,7 @@ FROM per_seller_order GROUP BY seller_id""",
 SELECT seller_id, state AS seller_state, orders, revenue, avg_review, late_rate, avg_handling_days,
        rank() OVER (ORDER BY revenue DESC) AS revenue_rank,
        CASE WHEN orders < 135 THEN 'Low volume'
-            WHEN late_rate > CAST(0.24 AS DOUBLE) THEN 'Underperforming'
-            WHEN avg_review < CAST(3.5 AS DOUBLE) THEN 'Underperforming'
+            WHEN late_rate > CAST(0.24 AS DOUBLE) OR avg_review < CAST(3.5 AS DOUBLE) THEN 'Underperforming'
             ELSE 'Good' END AS performance_flag
 FROM seller_kpis JOIN d_sellers USING (seller_id)""",
 }
