@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from ..config import STANDIN, Settings
 from ..functions import expressions as X
 from ..plans import checks, extracts
-from ..session import configure, release, size_shuffles
+from ..session import configure, release, shared_dir, size_shuffles
 from ..sources import catalog
 from ..sources.csv_files import load_raw
 from ..sources.standin import standin_sources
@@ -70,6 +70,7 @@ class Build:
     ):
         """`monthly_facts` partitions both facts by order month; use it when months are large."""
         self.spark = configure(spark)
+        shared_dir(spark)  # a cluster without a shared folder fails here, before anything is written
         self.sources, self.settings = raw, settings
         self.root, self.prefix, self.monthly_facts = root.rstrip("/"), prefix, monthly_facts
         self.rows: dict[str, int] = {}

@@ -7,6 +7,7 @@ from comparing import spark_result
 
 from marketlens.config import STANDIN
 from marketlens.plans import profiling
+from marketlens.jobs import build
 from marketlens.jobs.build import Build, CheckFailure
 from marketlens.sources import catalog
 from marketlens.sources.csv_files import load_raw, read_csv_table
@@ -89,6 +90,16 @@ def test_shared_folder_is_the_one_named_by_the_session(spark):
     assert shared_dir(spark).removeprefix("file:") in kept.inputFiles()[0]
 
 
+def test_a_job_without_a_shared_folder_fails_before_it_writes(spark, monkeypatch, tmp_path):
+    def missing(_):
+        raise RuntimeError("set spark.checkpoint.dir")
+
+    monkeypatch.setattr(build, "shared_dir", missing)
+    with pytest.raises(RuntimeError, match="checkpoint"):
+        Build(spark, {}, STANDIN, str(tmp_path / "out"))
+    assert not (tmp_path / "out").exists()
+
+
 @pytest.fixture(scope="module")
 def job(spark, tmp_path_factory):
     """Raw stand-in tables written as CSV, read back and built, with facts partitioned by month."""
