@@ -4,8 +4,8 @@ A text is the set of its word shingles. Independent trees branch on minwise toke
 documents that share the tokens chosen on the path to it, and each child is one more chosen token of a
 node. Nodes of few documents are compared exhaustively; larger ones choose further tokens. A large node
 of similar documents would never split: there every member is compared with one pivot, and those much
-like it leave the node, linked through the pivot. Eight roots make a missed pair of similarity 0.8 a
-matter of 0.2 ** 8 in small nodes.
+like it leave the node, linked through the pivot. Every tree starts from a path of two tokens, which
+a pair of similarity 0.8 shares with probability 0.64: twelve trees miss it in small nodes with 0.36 ** 12.
 
 Texts with equal sets are one class from the start. Comparisons use 64 four-bit minwise values, which
 only discard pairs far below the threshold; every link is then confirmed on the full sets, first one
@@ -32,9 +32,8 @@ from .components import components
 from .pretokens import Lookup
 from .support import hint_if_few, keep, workers_find_package
 
-TREES = 4
-CHOSEN = 2  # tokens chosen per node
-ROOTS = TREES * CHOSEN
+TREES = 12  # each starts from a path of two chosen tokens
+CHOSEN = 2  # tokens chosen per node further down
 MINWISE = 64
 SMALL_NODE = 16  # members that a plain join compares with each other
 WIDE_NODE = 2048  # members that one task compares by their sketches
@@ -93,7 +92,7 @@ def _unpacked(data: bytes) -> np.ndarray:
 
 
 def signed(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
-    """Per row: id, size of its set, digest, tokens of the roots, sketch and the set itself."""
+    """Per row: id, size of its set, digest, first path of each tree, sketch and the set itself."""
     workers_find_package(docs.sparkSession)
 
     def sign(batches):
@@ -105,23 +104,24 @@ def signed(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame
                 least = minwise(own)
                 sizes.append(len(own))
                 keys.append(hashlib.md5(data).digest() if len(own) else None)
-                values.append(least[:ROOTS].view(np.int32))
+                paths = least[: 2 * TREES].astype(np.uint64)
+                values.append((paths[::2] << np.uint64(32) | paths[1::2]).view(np.int64))
                 four = (least & np.uint32(15)).astype(np.uint64).reshape(4, 16) << (4 * np.arange(16, dtype=np.uint64))
                 sketches.append(np.bitwise_or.reduce(four, axis=1).view(np.int64))
                 sets.append(data)
-            flat = np.concatenate(values) if values else np.array([], np.int32)
-            offsets = np.arange(0, len(flat) + 1, ROOTS, dtype=np.int32)
+            flat = np.concatenate(values) if values else np.array([], np.int64)
+            offsets = np.arange(0, len(flat) + 1, TREES, dtype=np.int32)
             parts = np.array(sketches, dtype=np.int64).reshape(-1, 4)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()),
                  pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
                  *(pa.array(parts[:, k]) for k in range(4)), pa.array(sets, pa.binary())],
-                names=["id", "n", "key", "tokens", "s0", "s1", "s2", "s3", "shingles"],
+                names=["id", "n", "key", "paths", "s0", "s1", "s2", "s3", "shingles"],
             )
 
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     schema = T.StructType([T.StructField("id", source.schema["id"].dataType)])
-    schema = schema.add("n", T.LongType()).add("key", T.BinaryType()).add("tokens", T.ArrayType(T.IntegerType()))
+    schema = schema.add("n", T.LongType()).add("key", T.BinaryType()).add("paths", T.ArrayType(T.LongType()))
     for k in range(4):
         schema = schema.add(f"s{k}", T.LongType())
     return source.mapInArrow(sign, schema.add("shingles", T.BinaryType()))
@@ -262,9 +262,9 @@ def _sized(nodes: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
 
 
 def candidates(classes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Distinct likely pairs (u < v) of classes (c, n, tokens, s0..s3), and the rows of wide nodes."""
-    nodes = classes.select("c", "n", *SKETCH, F.posexplode("tokens").alias("root", "token")).select(
-        F.xxhash64("root", "token").alias("node"), "c", "n", *SKETCH
+    """Distinct likely pairs (u < v) of classes (c, n, paths, s0..s3), and the rows of wide nodes."""
+    nodes = classes.select("c", "n", *SKETCH, F.posexplode("paths").alias("tree", "path")).select(
+        F.xxhash64("tree", "path").alias("node"), "c", "n", *SKETCH
     )
     found, wide = [], []
     for level in range(DEPTH + PIVOT_ROUNDS):
@@ -355,7 +355,7 @@ def near_duplicates(
 ) -> DataFrame:
     """Per row: id, n_shingles, component_id (smallest id reachable by links), kept."""
     rows = keep(signed(docs, id_col, text_col, width).withColumn("row", F.monotonically_increasing_id()), "signed")
-    some = [F.any_value(c).alias(c) for c in ("n", "tokens", *SKETCH)]
+    some = [F.any_value(c).alias(c) for c in ("n", "paths", *SKETCH)]
     classes = keep(
         rows.where("n > 0").groupBy("key").agg(F.min("row").alias("c"), F.min("id").alias("least_id"), *some), "classes"
     )
