@@ -63,5 +63,5 @@ def test_flows_keep_every_shard_within_its_quota():
         came = sum(n for (_, j), n in allowed.items() if j == s)
         left = sum(n for (i, _), n in allowed.items() if i == s)
         assert came - left <= free[s]
-    assert sum(allowed.values()) >= 12
+    assert sum(allowed.values()) == 10  # three round the cycle of three shards, then one into the free place
     assert sharding.flows({}, free) == {}
