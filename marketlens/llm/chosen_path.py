@@ -37,7 +37,7 @@ CHOSEN = 2  # tokens chosen per node further down
 MINWISE = 64
 SMALL_NODE = 16  # members that a plain join compares with each other
 WIDE_NODE = 2048  # members that one task compares by their sketches
-PROPOSED = 4  # best partners a member of a wide node proposes; the rest is compared by full sets
+PROPOSED = 1  # best partners a member of a wide node proposes; the rest is compared by full sets
 DEPTH = 6
 PIVOT_ROUNDS = 12
 LIKELY = 38  # equal four-bit values of 64 that a pair of similarity 0.8 (52 expected) keeps
