@@ -4,8 +4,11 @@ A text is the set of its word shingles. Independent trees branch on minwise toke
 documents that share the tokens chosen on the path to it, and each child is one more chosen token of a
 node. Nodes of few documents are compared exhaustively; larger ones choose further tokens. A large node
 of similar documents would never split: there every member is compared with one pivot, and those much
-like it leave the node, linked through the pivot. Every tree starts from a path of two tokens, which
-a pair of similarity 0.8 shares with probability 0.64: twelve trees miss it in small nodes with 0.36 ** 12.
+like it leave the node as the pivot's followers. Once links are confirmed, followers are compared, in
+blocks, with all members of their node that are in another component and near enough to the pivot to be
+like a follower; so are all members of a node that is still large after the last level. Every tree starts
+from a path of two tokens, which a pair of similarity 0.8 shares with probability 0.64: twelve trees miss it
+in small nodes with 0.36 ** 12.
 
 Texts with equal sets are one class from the start. Comparisons use 64 four-bit minwise values, which
 only discard pairs far below the threshold; every link is then confirmed on the full sets, first one
@@ -39,9 +42,10 @@ SMALL_NODE = 16  # members that a plain join compares with each other
 WIDE_NODE = 2048  # members that one task compares by their sketches
 PROPOSED = 1  # best partners a member of a wide node proposes; the rest is compared by full sets
 DEPTH = 6
-PIVOT_ROUNDS = 12
+BLOCK = 1024  # members of a large node's followers, and of those near them, that meet in one task
 LIKELY = 38  # equal four-bit values of 64 that a pair of similarity 0.8 (52 expected) keeps
 ALIKE = 55  # from this many on, a member of a large node is left to its pivot
+AROUND = ALIKE - (MINWISE - LIKELY)  # least a likely partner of such a member equals the pivot: differences add up
 FEW_IDS = 2_000_000
 
 _MASK = np.uint64((1 << 48) - 1)
@@ -156,14 +160,17 @@ def _within(nodes: DataFrame, percent: int) -> DataFrame:
 
 
 def _with_pivots(nodes: DataFrame, percent: int) -> DataFrame:
-    """Members of large nodes beside one pivot each: its class, and how alike they are (0: not at all)."""
+    """Members of large nodes beside one pivot each: its class, how many values are equal, and how alike they
+    are (0: not of similar size)."""
     lead = F.struct(F.xxhash64("node", "c").alias("turn"), "c", "n", *SKETCH)
     pivots = nodes.groupBy("node").agg(F.min(lead).alias("p")).select("node", "p.c", "p.n", *(f"p.{s}" for s in SKETCH))
     joined = nodes.alias("a").join(pivots.alias("p"), "node")
-    alike = F.when(_similar_sizes("a", "p", percent), _equal_values("a", "p")).otherwise(0)
+    equal = _equal_values("a", "p")
+    alike = F.when(_similar_sizes("a", "p", percent), equal).otherwise(0)
     return joined.select(
-        "node", "a.c", "a.n", *(f"a.{s}" for s in SKETCH), F.col("p.c").alias("pivot"), alike.alias("alike")
-    )
+        "node", "a.c", "a.n", *(f"a.{s}" for s in SKETCH), F.col("p.c").alias("pivot"), equal.alias("equal"),
+        alike.alias("alike"),
+    )
 
 
 def _star(beside: DataFrame) -> DataFrame:
@@ -216,11 +223,7 @@ def _proposals(nodes: DataFrame, percent: int) -> DataFrame:
 
 def _exhaustive(members: DataFrame, label: DataFrame | None, sets: DataFrame, percent: int) -> DataFrame:
     """Links (u, v) that connect members (node, c) of the same node further, by their full sets."""
-    if label is not None:
-        members = members.join(label.withColumnRenamed("id", "c"), "c", "left")
-        members = members.withColumn("component", F.coalesce("component", "c"))
-    else:
-        members = members.withColumn("component", F.col("c"))
+    members = _with_components(members, label)
     apart = members.groupBy("node").agg(F.min("component").alias("a"), F.max("component").alias("b"))
     members = keep(members.join(apart.where("a <> b").select("node"), "node"), "members")
 
@@ -252,6 +255,86 @@ def _exhaustive(members: DataFrame, label: DataFrame | None, sets: DataFrame, pe
     return joined.groupBy("node").applyInArrow(connect, "u long, v long")
 
 
+def _with_components(members: DataFrame, label: DataFrame | None) -> DataFrame:
+    if label is None:
+        return members.withColumn("component", F.col("c"))
+    members = members.join(label.withColumnRenamed("id", "c"), "c", "left")
+    return members.withColumn("component", F.coalesce("component", "c"))
+
+
+def _sides(around: DataFrame, label: DataFrame | None) -> DataFrame:
+    """Rows (task, side, c, n, s0..s3, component) of what large nodes still have to compare: left with right.
+
+    `around` has the followers of each node and the members near them. Pairs within a component need no
+    comparison, so the followers in the node's main component meet the members outside it only.
+    """
+    members = keep(_with_components(around, label), "around")
+    counts = members.groupBy("node", "component").agg(F.count("*").alias("there"))
+    main = counts.groupBy("node").agg(
+        F.max_by("component", F.struct("there", "component")).alias("main"), F.count("*").alias("parts")
+    ).where("parts > 1")
+    members = keep(members.join(main.drop("parts"), "node"), "around")
+    other = F.col("component") != F.col("main")
+    columns = ["c", "n", *SKETCH, "component"]
+    parts = (
+        (0, "left", F.col("follows") & other), (0, "right", F.lit(True)),
+        (1, "left", ~F.col("follows") & other), (1, "right", F.col("follows") & ~other),
+    )
+    rows = [members.where(chosen).select(
+        F.xxhash64("node", F.lit(k)).alias("task"), F.lit(side).alias("side"), *columns
+    ) for k, side, chosen in parts]
+    return functools.reduce(DataFrame.unionByName, rows)
+
+
+def _blocks(sides: DataFrame) -> DataFrame:
+    """The rows of every task dealt to blocks: each left block meets each right block in a node of its own."""
+    sizes = sides.groupBy("task").agg(
+        *(F.ceil(F.count_if(F.col("side") == side) / BLOCK).cast("int").alias(side) for side in ("left", "right"))
+    ).where("left > 0 and right > 0")
+    rows = sides.join(sizes, "task")
+    of_left, here = F.col("side") == "left", F.xxhash64("c", F.lit("block"))
+    own = F.pmod(here, F.when(of_left, F.col("left")).otherwise(F.col("right"))).cast("int")
+    others = F.sequence(F.lit(0), F.when(of_left, F.col("right")).otherwise(F.col("left")) - 1)
+    met = rows.withColumn("own", own).withColumn("other", F.explode(others))
+    pair = F.when(of_left, F.xxhash64("task", "own", "other")).otherwise(F.xxhash64("task", "other", "own"))
+    return met.select(pair.alias("node"), of_left.alias("of_left"), "c", "n", *SKETCH, "component")
+
+
+def _across(blocks: DataFrame, percent: int) -> DataFrame:
+    """Likely pairs (node, u, v) of left and right members in different components: the most alike one of
+    each left member. Rows without v are the members with further likely partners, and those partners."""
+
+    def propose(table: pa.Table) -> pa.Table:
+        left = table.column("of_left").to_numpy()
+        c, n, component = (table.column(k).to_numpy() for k in ("c", "n", "component"))
+        sketch = np.stack([table.column(k).to_numpy() for k in SKETCH], axis=1).view(np.uint64)
+        ours, theirs = np.flatnonzero(left), np.flatnonzero(~left)
+        u, v, alone = [], [], []
+        for at in range(0, len(ours) if len(theirs) else 0, 128):
+            rows = ours[at : at + 128]
+            x = sketch[rows, None, :] ^ sketch[None, theirs, :]
+            x |= x >> np.uint64(1)
+            x |= x >> np.uint64(2)
+            equal = MINWISE - np.bitwise_count(x & np.uint64(0x1111111111111111)).sum(axis=2, dtype=np.int64)
+            small, large = np.minimum(n[rows, None], n[theirs]), np.maximum(n[rows, None], n[theirs])
+            equal[(small * 100 < large * percent) | (component[rows, None] == component[theirs])] = 0
+            likely = equal >= LIKELY
+            some, many = likely.any(axis=1), likely.sum(axis=1) > 1
+            u.append(c[rows[some]])
+            v.append(c[theirs[equal.argmax(axis=1)[some]]])
+            alone += [c[rows[many]], c[theirs[likely[many].any(axis=0)]]]
+        none = [np.array([], dtype=np.int64)]
+        u, v, alone = np.concatenate(u + none), np.concatenate(v + none), np.unique(np.concatenate(alone + none))
+        return pa.table({
+            "node": np.full(len(u) + len(alone), table.column("node")[0].as_py()),
+            "u": np.concatenate([np.minimum(u, v), alone]),
+            "v": pa.array(np.concatenate([np.maximum(u, v), alone]), mask=np.arange(len(u) + len(alone)) >= len(u)),
+        })
+
+    workers_find_package(blocks.sparkSession)
+    return blocks.groupBy("node").applyInArrow(propose, "node long, u long, v long")
+
+
 def _sized(nodes: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Rows of small, wide and larger nodes; a node of one member holds no pair."""
     sizes = nodes.groupBy("node").agg(F.count("*").alias("size")).where("size > 1")
@@ -261,13 +344,14 @@ def _sized(nodes: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     return tuple(rows.where(p).drop("size") for p in parts)
 
 
-def candidates(classes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Distinct likely pairs (u < v) of classes (c, n, paths, s0..s3), and the rows of wide nodes."""
+def candidates(classes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """Distinct likely pairs (u < v) of classes (c, n, paths, s0..s3), the rows of wide nodes, and those of
+    large nodes' followers and the members around them, if there are any."""
     nodes = classes.select("c", "n", *SKETCH, F.posexplode("paths").alias("tree", "path")).select(
         F.xxhash64("tree", "path").alias("node"), "c", "n", *SKETCH
     )
-    found, wide = [], []
-    for level in range(DEPTH + PIVOT_ROUNDS):
+    found, wide, around = [], [], []
+    for level in range(DEPTH + 1):
         small, middle, large = _sized(nodes)
         found.append(_within(small, percent))
         wide.append(middle)
@@ -275,22 +359,20 @@ def candidates(classes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
             break
         beside = keep(_with_pivots(large, percent), "pivots")
         found.append(_star(beside))
-        # What still shares all chosen tokens after the last level goes on pivot by pivot.
-        leaves = ALIKE if level < DEPTH else LIKELY
-        staying = beside.where((F.col("alike") < leaves) & (F.col("c") != F.col("pivot"))).drop("pivot", "alike")
-        if level >= DEPTH:
-            nodes = staying
-            continue
+        others = beside.where(F.col("c") != F.col("pivot"))
+        # What still shares all chosen tokens after the last level is compared whole.
+        follows = F.col("alike") >= ALIKE if level < DEPTH else F.lit(True)
+        near = others.where((F.col("equal") >= AROUND) | follows)
+        around.append(near.select("node", "c", "n", *SKETCH, follows.alias("follows")))
+        staying = others.where(~follows).drop("pivot", "equal", "alike")
         # Further tokens are the four-bit values of the sketch, chosen anew for every node.
         chosen = F.array(*(F.pmod(F.xxhash64("node", F.lit(k)), F.lit(MINWISE)).cast("int") for k in range(CHOSEN)))
         value = F.expr("shiftrightunsigned(array(s0, s1, s2, s3)[token div 16], 4 * (token % 16)) & 15")
         nodes = staying.select("node", "c", "n", *SKETCH, F.explode(F.array_distinct(chosen)).alias("token")).select(
             F.xxhash64("node", "token", value).alias("node"), "c", "n", *SKETCH
         )
-    else:
-        found.append(_within(large, percent))
-    wide = functools.reduce(DataFrame.unionByName, wide)
-    return keep(functools.reduce(DataFrame.unionByName, found).distinct(), "candidates"), wide
+    union = functools.partial(functools.reduce, DataFrame.unionByName)
+    return keep(union(found).distinct(), "candidates"), union(wide), union(around) if around else None
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -331,9 +413,9 @@ def linked(classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame | Non
 
     One likely pair per class is confirmed first, and of the others only those still apart. Members of
     wide nodes that had more partners than they could propose are then compared by their sets, all with
-    all where they are not connected.
+    all where they are not connected. Last come the followers in large nodes, in the same two steps.
     """
-    found, wide = candidates(classes, percent)
+    found, wide, around = candidates(classes, percent)
     proposed = keep(_proposals(wide, percent), "proposed")
     pairs = found.unionByName(proposed.where("v is not null").select("u", "v"))
     pairs = keep(pairs.distinct(), "pairs")
@@ -347,6 +429,21 @@ def linked(classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame | Non
         label = components(links)
     members = proposed.where("v is null").select("node", F.col("u").alias("c"))
     last = keep(_exhaustive(members, label, sets, percent), "links")
+    if not last.isEmpty():
+        links = links.unionByName(last)
+        label = components(links)
+    if around is None:
+        return label
+    proposed = keep(_across(_blocks(_sides(around, label)), percent), "proposed")
+    pairs = keep(proposed.where("v is not null").select("u", "v").distinct(), "pairs")
+    if pairs.isEmpty():
+        return label
+    more = keep(_confirmed(pairs, sets, percent).where("linked").select("u", "v"), "links")
+    if not more.isEmpty():
+        links = links.unionByName(more)
+        label = components(links)
+    members = proposed.where("v is null").select("node", F.col("u").alias("c"))
+    last = keep(_exhaustive(members, label, sets, percent), "links")
     return label if last.isEmpty() else components(links.unionByName(last))
 
 

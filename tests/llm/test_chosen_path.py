@@ -3,6 +3,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
 from marketlens.llm import chosen_path
@@ -72,6 +73,48 @@ def test_large_groups_and_edge_rows(spark):
     assert set(map(tuple, rows)) == brute_force(docs, 2)
 
 
+def by_products(texts):
+    """Component of every text's word set: the smallest place reachable, from the products of all pairs."""
+    words = {w: i for i, w in enumerate(sorted({w for t in texts for w in t.split()}))}
+    held = np.zeros((len(texts), len(words)), dtype=np.float32)
+    for i, t in enumerate(texts):
+        held[i, [words[w] for w in t.split()]] = 1
+    both, n = held @ held.T, held.sum(axis=1)
+    near = 100 * both >= 80 * (n[:, None] + n - both)
+    component = np.arange(len(texts))
+    while True:
+        after = np.array([component[row].min() for row in near])
+        if (after == component).all():
+            return component.tolist()
+        component = after
+
+
+def test_fringe_of_a_large_group(spark):
+    # Each fringe text is near one member only (92 of 112 words), and just not near the others (90 of 114).
+    base = [f"w{k}" for k in range(100)]
+    texts = [" ".join([*base, f"a{i}", f"b{i}"]) for i in range(3000)]
+    texts += [" ".join([*base[k : k + 90], f"a{m}", f"b{m}", *(f"x{k}y{j}" for j in range(10))]) for k, m in
+              zip(range(10), range(5, 2900, 290))]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r.doc_id: r.component_id for r in chosen_path.near_duplicates(df, width=1).collect()}
+    assert [rows[i] for i in range(len(texts))] == by_products(texts)
+
+
+def test_pairs_in_a_large_family_of_unlinked_texts(spark, monkeypatch):
+    # All share 88 of 112 words, the pairs among them 90 of 110; large nodes at the last level at once.
+    monkeypatch.setattr(chosen_path, "WIDE_NODE", 100)
+    monkeypatch.setattr(chosen_path, "BLOCK", 64)
+    monkeypatch.setattr(chosen_path, "DEPTH", 0)
+    base = [f"w{k}" for k in range(88)]
+    own = [[f"a{i}x{j}" for j in range(12)] for i in range(400)]
+    for i in range(0, 60, 2):
+        own[i + 1][:2] = own[i][:2]
+    texts = [" ".join(base + words) for words in own]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r.doc_id: r.component_id for r in chosen_path.near_duplicates(df, width=1).collect()}
+    assert [rows[i] for i in range(len(texts))] == by_products(texts)
+
+
 def test_repeated_and_null_rows(spark):
     rows = [(1, "a b c"), (1, "a b c"), (None, "a b c"), (None, "only null"), (None, None)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
