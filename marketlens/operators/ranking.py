@@ -10,9 +10,14 @@ Every `order` must be unique over the rows; add a key as the last tie-break.
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import stash
 
@@ -119,6 +124,13 @@ def counts_ahead(
     )
 
 
+def counts_ahead_in_segments(df: DataFrame, segment: list[str], value: str, weight: str) -> DataFrame:
+    """counts_ahead() of many frames in one seating: one row per segment and distinct value, its `ties`
+    and the total weight that sorts strictly ahead of it within the segment."""
+    levels = df.groupBy(*segment, value).agg(F.sum(weight).alias("ties"))
+    return running_in_segments(levels, segment, [F.col(value).asc_nulls_last()], "ahead", "ties")
+
+
 def rank_by(
     df: DataFrame, value: str, name: str, descending: bool = False, rows_per_range: int | None = None
 ) -> DataFrame:
@@ -163,3 +175,79 @@ def number_in_group(
     same.append(F.col("_slice").eqNullSafe(F.col("_g_slice")))
     joined = sliced.withColumn("_within", within).join(before, same)
     return joined.select(*df.columns, (F.col("_before") + F.col("_within")).cast("long").alias(name))
+
+
+def _changes(column: pa.Array) -> np.ndarray:
+    """For each row but the first, whether its value differs from the one before (NULL equals NULL)."""
+    ahead, behind = column.slice(1), column.slice(0, len(column) - 1)
+    unlike = pc.fill_null(pc.not_equal(ahead, behind), True)
+    both_null = pc.and_(pc.is_null(ahead), pc.is_null(behind))
+    return pc.and_not(unlike, both_null).to_numpy(zero_copy_only=False)
+
+
+def _scanned(segment: list[int], weight: int | None):
+    """Scan one sorted range: per row the total of the rows before it in its segment and range, and
+    whether the segment is the one that the range begins with."""
+
+    def scan(batches):
+        here = TaskContext.get().partitionId()
+        key, total, seat, still_first = None, 0, 0, True
+        for batch in batches:
+            n = batch.num_rows
+            if n == 0:
+                continue
+            columns = [batch.column(i) for i in segment]
+            first_key = tuple(c[0].as_py() for c in columns)
+            starts = np.zeros(n, dtype=bool)
+            starts[0] = key is not None and first_key != key
+            for c in columns:
+                starts[1:] |= _changes(c)
+            weights = np.ones(n, np.int64) if weight is None else batch.column(weight).to_numpy(zero_copy_only=False)
+            before = np.cumsum(weights) - weights
+            begin = np.maximum.accumulate(np.where(starts, np.arange(n), -1))
+            within = np.where(begin >= 0, before - before[begin], before + total)
+            in_first = np.full(n, still_first) & (begin < 0)
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(within), pa.array(in_first), pa.array(np.full(n, here)), pa.array(np.arange(seat, seat + n))],
+                names=[*batch.schema.names, "_within", "_first", "_range", "_seat"],
+            )
+            key = tuple(c[n - 1].as_py() for c in columns)
+            total, seat, still_first = int(within[-1] + weights[-1]), seat + n, bool(in_first[-1])
+
+    return scan
+
+
+def running_in_segments(
+    df: DataFrame, segment: list[str], order: list[Column], name: str, weight: str | None = None, ranges: int | None = None
+) -> DataFrame:
+    """Add the total `weight` (1 per row if None) of the rows that precede a row in its segment.
+
+    A segmented prefix scan: one range exchange on (segment, order) of all rows, a scan of each sorted
+    range, and the totals of the segments that are open at the range borders carried over as one number
+    per range. So there is no join, and a segment may fill any number of tasks. The driver sees one row
+    per range, never more than there are shuffle partitions. `order` must be unique within a segment;
+    NULLs of a segment column form a segment; `weight` is a long without NULLs.
+    """
+    place = [F.col(c).asc_nulls_first() for c in segment] + order
+    dealt = df.repartitionByRange(ranges, *place) if ranges else df.repartitionByRange(*place)
+    schema = T.StructType(df.schema.fields + [
+        T.StructField("_within", T.LongType()), T.StructField("_first", T.BooleanType()),
+        T.StructField("_range", T.LongType()), T.StructField("_seat", T.LongType()),
+    ])
+    scan = _scanned([df.columns.index(c) for c in segment], None if weight is None else df.columns.index(weight))
+    scanned = stash(dealt.sortWithinPartitions(*place).mapInArrow(scan, schema), "segments")
+    after = F.col("_within") + (F.lit(1) if weight is None else F.col(weight))
+    end = F.max_by(F.struct(after.alias("total"), "_first", F.struct(*segment).alias("key")), F.col("_seat"))
+    ends = scanned.groupBy("_range").agg(end.alias("end"), F.min_by(F.struct(*segment), F.col("_seat")).alias("key"))
+    carried, key, total = {}, None, 0
+    for r in sorted(ends.collect(), key=lambda r: r["_range"]):
+        carried[r["_range"]] = total if key is not None and r["key"] == key else 0
+        # A range with a single segment hands on what it was handed.
+        total = r["end"]["total"] + (carried[r["_range"]] if r["end"]["_first"] else 0)
+        key = r["end"]["key"]
+    if not any(carried.values()):
+        return scanned.select(*df.columns, F.col("_within").alias(name))
+    handed = F.lit([carried.get(i, 0) for i in range(max(carried) + 1)])
+    # A cast as in the scan: small totals would make an array of ints.
+    before = F.when(F.col("_first"), F.get(handed, F.col("_range").cast("int")).cast("long")).otherwise(F.lit(0))
+    return scanned.select(*df.columns, (F.col("_within") + before).cast("long").alias(name))

@@ -13,9 +13,8 @@ from pyspark.sql import functions as F
 
 from ..functions import distributions as D
 from ..functions import expressions as X
-from ..operators.ranking import counts_ahead
+from ..operators.ranking import counts_ahead_in_segments
 from ..operators.shape import spread
-from ..session import stash
 
 
 
@@ -157,39 +156,37 @@ def chi2_late_repeat(crosstab: DataFrame) -> DataFrame:
     )
 
 
-def _average_ranks(cells: DataFrame, value: str, measures: list[str]) -> DataFrame:
-    """Average rank of each distinct value per measure."""
-    levels = reduce(
-        DataFrame.unionByName,
-        [
-            counts_ahead(cells.where(F.col("measure") == m), value, weight="n").select(
-                F.lit(m).alias("measure"), value, "ties", "ahead"
-            )
-            for m in measures
-        ],
-    )
+def _average_ranks(cells: DataFrame) -> DataFrame:
+    """Average rank of each distinct value of each (measure, side): all of them in one seating."""
+    sides = F.array(*[F.struct(F.lit(s).alias("side"), F.col(s).alias("value")) for s in ("x", "y")])
+    values = cells.select("measure", "n", F.inline(sides))
+    levels = counts_ahead_in_segments(values, ["measure", "side"], "value", weight="n")
     rank = F.col("ahead") + (F.col("ties") + 1) / F.lit(2.0)
-    return levels.select("measure", value, rank.alias(f"rank_{value}"))
+    return levels.select("measure", "side", "value", rank.alias("rank"))
 
 
 def spearman(df: DataFrame, measures: list[str], against: str) -> DataFrame:
     """(measure, n, rho) for each measure against one column, over the rows where both are known.
 
-    One pass counts the distinct value pairs of all measures; ranks and sums work on those counts.
+    One pass counts the distinct value pairs of all measures; ranks and sums work on those counts. Pass
+    a stored frame: it is read for the ranks and again for the sums.
     """
     pairs = F.array(
         *[F.struct(F.lit(m).alias("measure"), F.col(m).cast("double").alias("x")) for m in measures]
     )
-    cells = stash(
+    cells = (
         df.select(F.col(against).cast("double").alias("y"), F.inline(pairs))
         .dropna()
         .groupBy("measure", "x", "y")
-        .agg(F.count(F.lit(1)).alias("n")),
-        "cells",
-    )
-    ranked = cells.join(_average_ranks(cells, "x", measures), ["measure", "x"]).join(
-        _average_ranks(cells, "y", measures), ["measure", "y"]
+        .agg(F.count(F.lit(1)).alias("n"))
     )
+    ranks = _average_ranks(cells)
+
+    def of(side: str) -> DataFrame:
+        mine = ranks.where(F.col("side") == side)
+        return mine.select("measure", F.col("value").alias(side), F.col("rank").alias(f"rank_{side}"))
+
+    ranked = cells.join(of("x"), ["measure", "x"]).join(of("y"), ["measure", "y"])
     rx, ry, w = F.col("rank_x"), F.col("rank_y"), F.col("n")
 
     def sums(i: int, measure: str) -> list[Column]:

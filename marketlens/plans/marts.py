@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..config import Settings
 from ..functions import expressions as X
 from ..operators.joins import squash, squash_join
-from ..operators.ranking import number_in_group, ntiles, rank_by
+from ..operators.ranking import ntiles, rank_by, running_in_segments
 
 
 def _calendar_columns(day: Column) -> list[Column]:
@@ -121,15 +121,11 @@ def order_payment_rollup(payments: DataFrame) -> DataFrame:
 
 def customer_order_numbers(orders: DataFrame, customers: DataFrame) -> DataFrame:
     """Orders with person, state and the running number of the order within the person, over all
-    orders. A person's days are numbered apart, so no person has to fit one task."""
+    orders: a segmented scan, so no person has to fit one task."""
     joined = _with_person(orders, customers).drop("customer_id", "city")
-    return number_in_group(
-        joined.withColumnRenamed("state", "customer_state"),
-        ["customer_unique_id"],
-        F.col("purchased_at").cast("date"),
-        [F.col("purchased_at").asc_nulls_last(), F.col("order_id").asc()],
-        "customer_order_number",
-    )
+    order = [F.col("purchased_at").asc_nulls_last(), F.col("order_id").asc()]
+    numbered = running_in_segments(joined.withColumnRenamed("state", "customer_state"), ["customer_unique_id"], order, "_before")
+    return numbered.withColumn("customer_order_number", F.col("_before") + 1).drop("_before")
 
 
 def delivery_columns() -> dict[str, Column]:

@@ -119,3 +119,28 @@ def test_hot_keys_survive_lost_placement(spark):
     df = spark.range(5000).withColumn("v", F.col("id") % 3)
     numbered = number_rows(df, [F.col("v").asc(), F.col("id").asc()], "n", rows_per_range=400)
     assert sorted(numbered.collect()) == sorted(numbered.repartition(3).collect())
+
+
+def test_order_numbers_need_one_exchange_and_no_join(spark, monkeypatch):
+    """Beside joining the person: one range exchange, written, and no aggregation of all orders."""
+    from marketlens.operators import ranking
+
+    written = []
+    monkeypatch.setattr(ranking, "stash", lambda df, label="": written.append(df) or session.stash(df, label))
+    f = catalogue.Frames(catalogue.warehouse(spark, FOLDER))
+    numbered = marts.customer_order_numbers(f.stg("stg_orders"), f.stg("stg_customers"))
+    assert len(written) == 1
+    assert text_of(spark, lambda: written[0]).count("Exchange rangepartitioning") == 1
+    read = text_of(spark, lambda: numbered)
+    assert "Exchange" not in read and "Join" not in read and "Window" not in read
+
+
+def test_rank_correlations_share_one_seating(spark, monkeypatch):
+    from marketlens.operators import ranking
+    from marketlens.plans import hypothesis
+
+    written = []
+    monkeypatch.setattr(ranking, "stash", lambda df, label="": written.append(label) or session.stash(df, label))
+    f = catalogue.Frames(catalogue.warehouse(spark, FOLDER))
+    hypothesis.spearman(f.delivered, ["delivery_days", "days_vs_estimate", "order_revenue"], "review_score")
+    assert written == ["segments"]

@@ -96,3 +96,31 @@ def test_no_single_task_window_over_rows(values):
     plan = numbered._jdf.queryExecution().executedPlan().toString()
     above_single = re.findall(r"Window.*?\n.*?Sort.*?\n.*?SinglePartition.*?\n(.*?)\n", plan)
     assert len(above_single) == 1 and "HashAggregate(keys=[_range" in above_single[0]
+
+
+@pytest.mark.parametrize("ranges", [1, 3, 40])
+def test_running_totals_restart_at_a_segment(values, ranges):
+    order = [F.col("v").asc_nulls_last(), F.col("id").asc()]
+    df = values.withColumn("g", F.when(F.col("g") != 3, F.col("g"))).withColumn("w", F.col("id") % 5)
+    mine = ranking.running_in_segments(df, ["g"], order, "n", "w", ranges)
+    before = F.sum("w").over(W.partitionBy("g").orderBy(*order).rowsBetween(W.unboundedPreceding, -1))
+    same(mine, df.withColumn("n", F.coalesce(before, F.lit(0))))
+
+
+def test_numbers_in_two_segment_columns_and_one_hot_segment(values):
+    order = [F.col("id").desc()]
+    df = values.select(F.lit(None).cast("string").alias("a"), (F.col("id") > 1990).alias("b"), "id", "v")
+    mine = ranking.running_in_segments(df, ["a", "b"], order, "n", ranges=25)
+    same(mine, df.withColumn("n", (F.row_number().over(W.partitionBy("a", "b").orderBy(*order)) - 1).cast("long")))
+    assert ranking.running_in_segments(df.limit(0), ["a"], order, "n").count() == 0
+
+
+def test_counts_ahead_in_segments(values):
+    df = values.select("g", "v", (F.col("id") % 3).alias("w"))
+    got = {(r.g, r.v): (r.ties, r.ahead) for r in ranking.counts_ahead_in_segments(df, ["g"], "v", "w").collect()}
+    rows = df.collect()
+    for (g, v), (ties, ahead) in got.items():
+        mine = [r for r in rows if r.g == g]
+        assert ties == sum(r.w for r in mine if r.v == v)
+        assert ahead == sum(r.w for r in mine if r.v != v and (v is None or (r.v is not None and r.v < v)))
+    assert len(got) == len({(r.g, r.v) for r in rows})
