@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..session import configure
 from . import (
-    chosen_path, cosine_tiles, decision_list, packing, prefix_counts, sanitise, sharding, tree_bpe, warc,
+    chosen_path, cosine_tiles, decision_list, merkle, packing, prefix_counts, sanitise, sharding, tree_bpe, warc,
     weak_labels,
 )
 from .support import table, workers_find_package
@@ -40,8 +40,14 @@ def queries() -> dict[str, Query]:
         "op8_cosine_tiles": _over("embeddings", cosine_tiles.op8),
         "op9_packing": _over("documents", packing.op9),
         "op10_tree_bpe": _over("documents", tree_bpe.op10),
+        "op13_merkle": _over("documents", merkle.op13),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_warc": warc.SQL, "op5_chosen_path": chosen_path.SQL, "op8_cosine_tiles": cosine_tiles.SQL}
+    return {
+        "op4_warc": warc.SQL,
+        "op5_chosen_path": chosen_path.SQL,
+        "op8_cosine_tiles": cosine_tiles.SQL,
+        "op13_merkle": merkle.SQL,
+    }

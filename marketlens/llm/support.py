@@ -56,3 +56,16 @@ def without(docs: DataFrame, rejected: DataFrame, id_col: str, text_col: str, bo
     keyed = docs.withColumn("_text_key", text_key(text_col))
     same = keyed[id_col].eqNullSafe(rejected["_id"]) & (keyed["_text_key"] == rejected["_key"])
     return keyed.join(hint_if_few(rejected, bound), same, "left_anti").select(docs.columns)
+
+
+def crc32_sql(text: str) -> tuple[str, str]:
+    """DuckDB SQL of the unsigned crc32 of a text's UTF-8 bytes: the definition of a table `crc_table` of
+    one row that has to be in FROM, and the expression over it."""
+    step = "xor(c >> 1, 3988292384 * (c & 1))"  # fixed value: the reflected polynomial of CRC-32
+    table = f"""crc_table AS (
+    SELECT list(v ORDER BY i) AS crc_steps FROM (
+        SELECT i, list_reduce([i] || [0, 0, 0, 0, 0, 0, 0, 0], lambda c, _: {step}) AS v FROM range(256) t(i)))"""
+    byte = f"('0x' || substr(hex(encode({text})), 2 * k + 1, 2))::BIGINT"
+    bytes_ = f"list_transform(range(strlen({text})), lambda k: {byte})"
+    folded = f"list_reduce([4294967295::BIGINT] || {bytes_}, lambda c, b: xor(c >> 8, crc_steps[xor(c & 255, b) + 1]))"
+    return table, f"xor({folded}, 4294967295)"
