@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..session import configure
 from . import (
-    chosen_path, cosine_tiles, decision_list, merkle, packing, prefix_counts, sanitise, sharding, tree_bpe, warc,
-    weak_labels,
+    chosen_path, cosine_tiles, decision_list, merkle, packing, permuterm, prefix_counts, rule_ensemble, sanitise, sharding, tree_bpe,
+    warc, weak_labels,
 )
 from .support import table, workers_find_package
 
@@ -40,6 +40,8 @@ def queries() -> dict[str, Query]:
         "op8_cosine_tiles": _over("embeddings", cosine_tiles.op8),
         "op9_packing": _over("documents", packing.op9),
         "op10_tree_bpe": _over("documents", tree_bpe.op10),
+        "op11_permuterm": _over("documents", permuterm.op11),
+        "op12_rule_ensemble": _over("documents", "labels", rule_ensemble.op12),
         "op13_merkle": _over("documents", merkle.op13),
     }
 
@@ -49,5 +51,6 @@ def oracle_sql() -> dict[str, str]:
         "op4_warc": warc.SQL,
         "op5_chosen_path": chosen_path.SQL,
         "op8_cosine_tiles": cosine_tiles.SQL,
+        "op11_permuterm": permuterm.SQL,
         "op13_merkle": merkle.SQL,
     }
