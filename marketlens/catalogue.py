@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import weakref
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,28 +10,56 @@ from pyspark.sql import DataFrame, SparkSession
 from .config import STANDIN
 from .plans import checks, customers, dashboard, delivery, extracts, hypothesis, marts
 from .plans import modelling, profiling, revenue
-from .session import configure, size_shuffles
+from .session import configure, counting_session, fingerprint, remove, size_shuffles
 from .sources import catalog
 from .sources.standin import DERIVED, standin_sources
 from .warehouse import MARTS, STAGING, Warehouse
 
-_written: dict[tuple[str, str], dict] = {}
+class Store(dict):
+    """What has been written of one state of a folder: label -> (path, schema). Whoever may still read it
+    holds it; once nobody does, its files are removed."""
+
+    def __init__(self, spark: SparkSession, state: tuple):
+        super().__init__()
+        self.state = state
+        self.paths: list[str] = []
+        weakref.finalize(self, _removed, spark, self.paths).atexit = False
+
+    def __setitem__(self, label: str, written: tuple) -> None:
+        self.paths.append(written[0])
+        super().__setitem__(label, written)
+
+
+def _removed(spark: SparkSession, paths: list[str]) -> None:
+    for path in paths:
+        remove(spark, path)
+
+
+_stores: dict[tuple[str, str], Store] = {}
 
 
 def warehouse(spark: SparkSession, folder: str) -> Warehouse:
-    """The warehouse of a folder; its stored tables are shared by all queries of an application."""
+    """The warehouse of a folder as it is now; its stored tables are shared by all queries of an application
+    until a file of the folder changes."""
     size_shuffles(configure(spark), folder)
-    key = (spark.sparkContext.applicationId, folder)
-    written = _written.setdefault(key, {})
-    return Warehouse(spark, standin_sources(spark, folder), STANDIN, DERIVED, written)
+    key, state = (spark.sparkContext.applicationId, folder), fingerprint(spark, folder)
+    if key not in _stores or _stores[key].state != state:
+        _stores[key] = Store(spark, state)
+    return Warehouse(spark, standin_sources(spark, folder), STANDIN, DERIVED, _stores[key])
 
 
 class Frames:
     """The inputs the analyses are written against."""
 
-    def __init__(self, w: Warehouse):
+    def __init__(self, w: Warehouse, folder: str = ""):
+        self.folder = folder
         self.w, self.cfg, self.raw, self.stg, self.mart = w, w.settings, w.raw, w.stg, w.mart
 
+    @property
+    def counted(self) -> Warehouse:
+        """The same tables, for counting their rows."""
+        return warehouse(counting_session(self.w.spark), self.folder)
+
     @property
     def orders(self) -> DataFrame:
         return self.mart("fct_orders")
@@ -80,10 +109,6 @@ class Frames:
     def extract(self, name: str) -> DataFrame:
         return self.w.stored(f"extracts.{name}", lambda: self.extract_model(name))
 
-    @property
-    def checks(self) -> dict[str, DataFrame]:
-        return checks.all_checks(self.raw, self.stg, self.mart)
-
 
 class FilteredFrames(Frames):
     """The same, as a reader of the dashboard sees them who chose months and states. Buyers' segments
@@ -111,13 +136,12 @@ def _returned(f: Frames) -> DataFrame:
 
 PLANS: dict[str, Callable[[Frames], DataFrame]] = {
     # Catalog
-    "load_summary": lambda f: catalog.table_sizes(f.w.layers(("raw",))["raw"]),
-    "layer_inventory": lambda f: catalog.layer_inventory(f.w.layers()),
+    "load_summary": lambda f: catalog.table_sizes(f.counted.layers(("raw",))["raw"]),
+    "layer_inventory": lambda f: catalog.layer_inventory(f.counted.layers()),
     "describe_orders": lambda f: profiling.describe_columns(f.raw("orders")),
     # Layers
     **{name: (lambda f, name=name: f.stg(name)) for name in STAGING},
-    "dim_date": lambda f: marts.dim_date_of(f.stg("stg_orders")),
-    **{name: (lambda f, name=name: f.w.mart_model(name)) for name in MARTS if name != "dim_date"},
+    **{name: (lambda f, name=name: f.w.mart_model(name)) for name in MARTS},
     "order_item_rollup": lambda f: marts.order_item_rollup(f.stg("stg_order_items")),
     "order_payment_rollup": lambda f: marts.order_payment_rollup(f.stg("stg_payments")),
     "customer_order_number": lambda f: marts.customer_order_numbers(
@@ -129,7 +153,7 @@ PLANS: dict[str, Callable[[Frames], DataFrame]] = {
     ),
     "seller_orders": lambda f: marts.seller_orders(f.items, f.orders, f.cfg),
     # Checks
-    "check_summary": lambda f: checks.check_summary(f.checks),
+    "check_summary": lambda f: checks.check_summary(f.raw, f.stg, f.mart),
     # Extracts
     "export_orders": lambda f: f.extract_model("orders"),
     "export_items": lambda f: f.extract_model("items"),
@@ -158,10 +182,10 @@ PLANS: dict[str, Callable[[Frames], DataFrame]] = {
     "geo_centroids": lambda f: profiling.geo_centroids(f.raw("geolocation")),
     # Modelling
     "toy_inner_join": lambda f: modelling.calendar_orders(
-        marts.dim_date_of(f.stg("stg_orders")), f.stg("stg_orders"), keep_unmatched=False
+        f.w.mart_model("dim_date"), f.stg("stg_orders"), keep_unmatched=False
     ),
     "toy_left_join": lambda f: modelling.calendar_orders(
-        marts.dim_date_of(f.stg("stg_orders")), f.stg("stg_orders"), keep_unmatched=True
+        f.w.mart_model("dim_date"), f.stg("stg_orders"), keep_unmatched=True
     ),
     "orders_with_person": lambda f: modelling.orders_with_person(
         f.stg("stg_orders"), f.stg("stg_customers")
@@ -260,9 +284,11 @@ FILTERED = {
 
 
 def run(name: str, spark: SparkSession, folder: str) -> DataFrame:
-    if name in FILTERED:
-        return PLANS[FILTERED[name]](FilteredFrames(warehouse(spark, folder)))
-    return PLANS[name](Frames(warehouse(spark, folder)))
+    plan, frames = (PLANS[FILTERED[name]], FilteredFrames) if name in FILTERED else (PLANS[name], Frames)
+    tables = warehouse(spark, folder)
+    result = plan(frames(tables, folder))
+    result._reads = tables  # keeps the store as long as the result may be read
+    return result
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

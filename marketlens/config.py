@@ -13,8 +13,9 @@ class Settings:
     window_end: date = date(2018, 9, 1)  # exclusive
     excluded_statuses: tuple[str, ...] = ("canceled", "unavailable")
     rfm_reference: date = date(2018, 9, 1)
-    calendar_start: date = date(2016, 9, 1)
-    calendar_end: date = date(2018, 10, 31)  # inclusive
+    # The calendar's days; None for the whole years in which there are orders.
+    calendar_start: date | None = date(2016, 9, 1)
+    calendar_end: date | None = date(2018, 10, 31)  # inclusive
     hand_translations: dict[str, str] = field(
         default_factory=lambda: {
             "pc_gamer": "pc_gamer",
@@ -50,8 +51,8 @@ STANDIN = replace(
     window_start=date(1999, 1, 1),
     window_end=date(2000, 9, 1),
     rfm_reference=date(2000, 9, 1),
-    calendar_start=date(1995, 1, 1),
-    calendar_end=date(2001, 12, 31),
+    calendar_start=None,
+    calendar_end=None,
     hand_translations={"economy_ring": "economy_ring", "promo_bolt": "promo_bolt"},
     compared_years=(1999, 2000),
     spike_start=date(1999, 10, 15),

@@ -3,16 +3,20 @@
     spark-submit run_build.py --csv /data/raw --out /shared/warehouse
     python run_build.py --standin /root/testdata/sf0.01 --out /tmp/out
 
-Each layer is a catalog database of Parquet tables under --out, replaced whole on every run. The job
-fails (exit status 1) if a check finds offending rows.
+A run writes the raw tables and the marts to a new version under --out/versions, marts that do not need
+each other at the same time; staging models are views. Only when all checks of the version pass do the
+tables of the layer databases point to it. So a check that finds offending rows (exit status 1) leaves
+the tables as they were, and the rejected version can be looked at.
 """
 
 from __future__ import annotations
 
 import argparse
 import sys
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
+from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,11 +24,11 @@ from pyspark.sql import functions as F
 from ..config import STANDIN, Settings
 from ..functions import expressions as X
 from ..plans import checks, extracts
-from ..session import configure, release, shared_dir, size_shuffles
+from ..session import configure, make_folder, release, remove, shared_dir, size_shuffles, subfolders
 from ..sources import catalog
 from ..sources.csv_files import load_raw
 from ..sources.standin import standin_sources
-from ..warehouse import MARTS, RAW, STAGING, mart_model, staging_model
+from ..warehouse import MARTS, RAW, STAGING, mart_model, mart_waves, staging_model, together
 
 MONTHLY_FACTS = ("fct_orders", "fct_order_items")
 
@@ -44,12 +48,9 @@ class Report:
         return [name for name, bad, _ in self.checks if bad]
 
     def lines(self) -> list[str]:
-        out = [f"  {name:<34}{n:>14,} rows" for name, n in self.rows.items()]
-        for name, bad, sample in self.checks:
-            out.append(f"  pass  {name}" if not bad else f"  FAIL  {name}  ({bad} rows, e.g. {sample})")
-        for name, (n, size) in self.extracts.items():
-            out.append(f"  extract {name:<26}{n:>14,} rows  {size / 1e6:.1f} MB")
-        return out
+        out = [f"table={name} rows={n}" for name, n in self.rows.items()]
+        out += [f"check={name} findings={bad}" + (f" first={sample}" if bad else "") for name, bad, sample in self.checks]
+        return out + [f"extract={name} rows={n} bytes={size}" for name, (n, size) in self.extracts.items()]
 
 
 def by_month(fact: DataFrame) -> DataFrame:
@@ -67,49 +68,79 @@ class Build:
         root: str,
         prefix: str = "",
         monthly_facts: bool = False,
+        retained: int = 2,
     ):
-        """`monthly_facts` partitions both facts by order month; use it when months are large."""
+        """`monthly_facts` partitions both facts by order month; use it when months are large. `retained`
+        published versions stay, the newest included."""
         self.spark = configure(spark)
         shared_dir(spark)  # a cluster without a shared folder fails here, before anything is written
         self.sources, self.settings = raw, settings
         self.root, self.prefix, self.monthly_facts = root.rstrip("/"), prefix, monthly_facts
+        self.retained = retained
+        self.version = f"{datetime.now(UTC):%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
         self.rows: dict[str, int] = {}
 
     def table(self, layer: str, name: str) -> DataFrame:
+        """A published table, or a staging view of this run."""
+        if layer == "staging":
+            return self._stg(name)
         return self.spark.table(f"{self.prefix}{layer}.{name}")
 
+    def _path(self, layer: str, name: str) -> str:
+        return f"{self.root}/versions/{self.version}/{layer}/{name}"
+
+    def _candidate(self, layer: str, name: str) -> DataFrame:
+        return self.spark.read.parquet(self._path(layer, name))
+
     def _write(self, layer: str, name: str, df: DataFrame) -> None:
         month = None
         if self.monthly_facts and name in MONTHLY_FACTS:
             df, month = by_month(df), "order_month"
-        catalog.replace_table(df, f"{self.prefix}{layer}", name, month)
-        self.rows[f"{layer}.{name}"] = self.table(layer, name).count()
+        catalog.write_version(df, self._path(layer, name), month)
+        self.rows[f"{layer}.{name}"] = self._candidate(layer, name).count()
 
     def load(self) -> None:
-        catalog.create_layers(self.spark, self.root, self.prefix)
-        for name in RAW:
-            self._write("raw", name, self.sources[name]())
+        together(lambda name: self._write("raw", name, self.sources[name]()), RAW)
 
     def models(self) -> None:
         for name in STAGING:
-            self._write("staging", name, staging_model(name, self._raw, self.settings))
-        for name in MARTS:
-            model = mart_model(name, self.spark, self._stg, self._mart, self.settings)
-            self._write("marts", name, model)
+            self._stg(name).createOrReplaceTempView(f"{self.prefix}staging_{name}")
+            self.rows[f"staging.{name}"] = self._stg(name).count()
+        for wave in mart_waves():
+            together(lambda name: self._write("marts", name, self._model(name)), wave)
+
+    def _model(self, name: str) -> DataFrame:
+        return mart_model(name, self._stg, self._mart, self.settings)
 
     def _raw(self, name: str) -> DataFrame:
-        return self.table("raw", name)
+        return self._candidate("raw", name)
 
     def _stg(self, name: str) -> DataFrame:
-        return self.table("staging", name)
+        return staging_model(name, self._raw, self.settings)
 
     def _mart(self, name: str) -> DataFrame:
-        return self.table("marts", name)
+        return self._candidate("marts", name)
 
     def run_checks(self) -> list[tuple[str, int, str | None]]:
-        found = checks.run_checks(checks.all_checks(self._raw, self._stg, self._mart))
+        found = checks.run_checks(self._raw, self._stg, self._mart)
         return [tuple(row) for row in found.orderBy("check_name").collect()]
 
+    def publish(self) -> None:
+        """Point the tables to this version, raw first. Rejected versions and all but the last published ones
+        are removed, so a query that began before the publication can go on."""
+        catalog.create_layers(self.spark, self.root, self.prefix)
+        for layer, names in (("raw", RAW), ("marts", MARTS)):
+            for name in names:
+                catalog.point_to(self.spark, f"{self.prefix}{layer}.{name}", self._path(layer, name))
+        published = f"{self.root}/published"
+        make_folder(self.spark, f"{published}/{self.version}")
+        known = subfolders(self.spark, published)
+        for version in subfolders(self.spark, f"{self.root}/versions"):
+            if version < self.version and version not in known[-self.retained :]:
+                remove(self.spark, f"{self.root}/versions/{version}")
+        for version in known[: -self.retained]:
+            remove(self.spark, f"{published}/{version}")
+
     def export(self) -> dict[str, tuple[int, int]]:
         orders, people = self._mart("fct_orders"), self._mart("dim_customers")
         frames = {
@@ -127,12 +158,13 @@ class Build:
         }
 
     def run(self) -> Report:
-        """Load, build, check, export. A failed check stops the job before any extract is written."""
+        """Load, build, check, publish, export. After a failed check nothing is published or exported."""
         self.load()
         self.models()
         report = Report(self.rows, self.run_checks(), {})
         if report.failed:
-            raise CheckFailure("\n".join([f"{len(report.failed)} check(s) failed", *report.lines()]))
+            raise CheckFailure("\n".join([f"rejected version {self.version}: {', '.join(report.failed)}", *report.lines()]))
+        self.publish()
         report.extracts = self.export()
         return report
 

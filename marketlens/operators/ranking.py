@@ -97,6 +97,70 @@ def ntiles(
     return df
 
 
+def _cut_levels(df: DataFrame, scores: list[tuple[str, Column, int]], rows: int) -> dict[str, list]:
+    """Per score (value, ahead, ties) of the levels that hold the first row of a bucket but the first one:
+    fewer levels than buckets, so the driver may see them."""
+    values = F.array(*[F.struct(F.lit(name).alias("score"), value.alias("value")) for name, value, _ in scores])
+    levels = counts_ahead_in_segments(
+        df.select(F.inline(values)).withColumn("rows", F.lit(1)), ["score"], "value", "rows"
+    )
+    holds = F.lit(False)
+    for name, _, buckets in scores:
+        before = F.greatest(bucket_of(F.col("ahead"), rows, buckets), F.lit(1))
+        last = bucket_of(F.col("ahead") + F.col("ties"), rows, buckets)
+        holds = holds | ((F.col("score") == name) & (last > before))
+    found = sorted(levels.where(holds).collect(), key=lambda r: r.value)
+    return {name: [(r.value, r.ahead, r.ties) for r in found if r.score == name] for name, *_ in scores}
+
+
+def ntiles_by_levels(df: DataFrame, scores: list[tuple[str, str, bool, int]], key: str) -> DataFrame:
+    """Add NTILE(k) OVER (ORDER BY value, key) for each (name, value, whether descending, k); NULLs last.
+
+    One histogram of the values of all scores says in which values buckets begin. All rows with another
+    value get their bucket by comparison alone; only those with such a value are numbered, by `key`, in a
+    segmented scan, so rows tied in any number do not meet in one task. Values are numbers; `key` is unique.
+    Pass a stored frame: it is read several times.
+    """
+    columns, rows = df.columns, df.count()
+    infinite = F.lit(float("inf"))
+    ordered = {
+        name: F.coalesce((-F.col(value) if descending else F.col(value)).cast("double"), infinite)
+        for name, value, descending, _ in scores
+    }
+    cuts = _cut_levels(df, [(name, ordered[name], buckets) for name, _, _, buckets in scores], rows)
+    for name, _, _, buckets in scores:
+        marked = df.withColumn("_value", ordered[name])
+        if not cuts[name]:
+            df = marked.withColumn(name, F.lit(1).cast("long")).drop("_value")
+            continue
+        # The bucket of a value between two such levels is that of the last row of the level before it.
+        after = F.lit([1, *(_bucket(a + t, rows, buckets) for _, a, t in cuts[name])])
+        split = [(v, a) for v, a, t in cuts[name] if _bucket(a + 1, rows, buckets) != _bucket(a + t, rows, buckets)]
+        whole = [v for v, _, _ in cuts[name] if v not in dict(split)]
+        passed = F.lit(0)
+        for values, behind in ((whole, lambda v: v <= F.col("_value")), (list(dict(split)), lambda v: v < F.col("_value"))):
+            if values:
+                passed = passed + F.size(F.filter(F.lit(values), behind))
+        between = F.get(after, passed).cast("long")
+        if not split:
+            df = marked.withColumn(name, between).drop("_value")
+            continue
+        values, aheads = F.lit([v for v, _ in split]), F.lit([a for _, a in split])
+        within = F.col("_value").isin([v for v, _ in split])
+        tied = running_in_segments(marked.where(within), ["_value"], [F.col(key).asc()], "_number")
+        ahead = F.get(aheads, (F.array_position(values, F.col("_value")) - 1).cast("int"))
+        numbered = tied.withColumn(name, bucket_of(ahead + F.col("_number") + 1, rows, buckets)).drop("_number")
+        df = marked.where(~within).withColumn(name, between).unionByName(numbered).drop("_value")
+    return df.select(*columns, *[name for name, *_ in scores])
+
+
+def _bucket(row: int, rows: int, buckets: int) -> int:
+    """bucket_of() of a known row."""
+    size, larger = divmod(rows, buckets)
+    edge = larger * (size + 1)
+    return -(-row // (size + 1)) if row <= edge else larger - (edge - row) // max(size, 1)
+
+
 def counts_ahead(
     df: DataFrame,
     value: str,

@@ -2,88 +2,79 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import expressions as X
-from ..operators.quality import count_mismatch, duplicates, value_mismatch, violations
-
-Table = Callable[[str], DataFrame]
-
-
-def rfm_complete(rfm: DataFrame) -> DataFrame:
-    """One row and a segment per person."""
-    per_person = rfm.groupBy("customer_unique_id").agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(F.col("segment").isNull()).alias("unlabelled")
-    )
-    broken = (F.col("n") > 1) | (F.col("unlabelled") > 0)
-    return violations(per_person, broken, "customer_unique_id", "n")
+from ..operators.quality import Equal, Measure, Never, Rule, Table, Unique, compiled, offending
 
 
-def keys_not_null(orders: DataFrame, items: DataFrame) -> DataFrame:
-    no_person = F.col("order_id").isNull() | F.col("customer_unique_id").isNull()
-    no_product = F.col("product_id").isNull() | F.col("seller_id").isNull()
-    return violations(orders, no_person, "order_id").unionAll(
-        violations(items, no_product, "order_id")
-    )
+def rules() -> dict[str, list[Rule]]:
+    """Check name -> its rules. Tables are named layer.table."""
+    orders, items = "marts.fct_orders", "marts.fct_order_items"
+    rows = F.count(F.lit(1))
+    # Money that is not known cannot be shown to be right.
+    negative = [F.coalesce(F.col(c) < 0, F.lit(True)) for c in ("price", "freight_value")]
 
+    def kept(raw: str, fact: str) -> list[Rule]:
+        return [Equal(Measure(raw, rows, "raw_rows"), Measure(fact, rows, "fct_rows"))]
 
-def no_negative_money(items: DataFrame) -> DataFrame:
-    negative = (F.col("price") < 0) | (F.col("freight_value") < 0)
-    return violations(items, negative, "order_id", "price", "freight_value")
+    return {
+        "chk_rfm_complete": [
+            Unique("marts.customer_rfm", ("customer_unique_id",), F.count_if(F.col("segment").isNull()))
+        ],
+        "chk_customers_unique": [Unique("marts.dim_customers", ("customer_unique_id",))],
+        "chk_items_no_rows_lost": kept("raw.order_items", items),
+        "chk_orders_no_rows_lost": kept("raw.orders", orders),
+        "chk_orders_unique": [Unique(orders, ("order_id",))],
+        "chk_keys_not_null": [
+            Never(orders, F.col("order_id").isNull() | F.col("customer_unique_id").isNull(), ("order_id",)),
+            Never(items, F.col("product_id").isNull() | F.col("seller_id").isNull(), ("order_id",)),
+        ],
+        "chk_no_negative_money": [
+            Never(items, negative[0] | negative[1], ("order_id", "price", "freight_value"))
+        ],
+        "chk_products_have_category": [
+            Never("marts.dim_products", F.col("category").isNull(), ("product_id",))
+        ],
+        # Whole cents, so equal means equal.
+        "chk_revenue_reconciles": [
+            Equal(
+                Measure(items, X.sum_money("item_revenue"), "items_total"),
+                Measure(orders, X.sum_money("order_revenue"), "orders_total"),
+            )
+        ],
+        "chk_review_range": [
+            Never(orders, ~F.col("review_score").between(1, 5), ("order_id", "review_score"))
+        ],
+        "chk_scorecard_unique": [Unique("marts.seller_scorecard", ("seller_id",))],
+        "chk_reviews_one_per_order": [Unique("staging.stg_reviews", ("order_id",))],
+    }
 
 
-def review_range(orders: DataFrame) -> DataFrame:
-    outside = ~F.col("review_score").between(1, 5)
-    return violations(orders, outside, "order_id", "review_score")
+def by_layer(raw, stg, mart) -> Table:
+    """One function for tables named layer.table, from one per layer."""
+    layers = {"raw": raw, "staging": stg, "marts": mart}
 
+    def table(name: str) -> DataFrame:
+        layer, _, short = name.partition(".")
+        return layers[layer](short)
 
-def revenue_reconciles(items: DataFrame, orders: DataFrame) -> DataFrame:
-    """Revenue by item and by order; whole cents, so equal means equal."""
-    return value_mismatch(
-        items.agg(X.sum_money("item_revenue").alias("items_total")),
-        orders.agg(X.sum_money("order_revenue").alias("orders_total")),
-    )
+    return table
 
 
-def all_checks(raw: Table, stg: Table, mart: Table) -> dict[str, DataFrame]:
+def all_checks(raw, stg, mart) -> dict[str, DataFrame]:
     """Check name -> the rows that break it."""
-    orders, items = mart("fct_orders"), mart("fct_order_items")
-    return {
-        "chk_rfm_complete": rfm_complete(mart("customer_rfm")),
-        "chk_customers_unique": duplicates(mart("dim_customers"), "customer_unique_id"),
-        "chk_items_no_rows_lost": count_mismatch(
-            raw("order_items"), items, "raw_rows", "fct_rows"
-        ),
-        "chk_orders_no_rows_lost": count_mismatch(raw("orders"), orders, "raw_rows", "fct_rows"),
-        "chk_orders_unique": duplicates(orders, "order_id"),
-        "chk_keys_not_null": keys_not_null(orders, items),
-        "chk_no_negative_money": no_negative_money(items),
-        "chk_products_have_category": violations(
-            mart("dim_products"), F.col("category").isNull(), "product_id"
-        ),
-        "chk_revenue_reconciles": revenue_reconciles(items, orders),
-        "chk_review_range": review_range(orders),
-        "chk_scorecard_unique": duplicates(mart("seller_scorecard"), "seller_id"),
-        "chk_reviews_one_per_order": duplicates(stg("stg_reviews"), "order_id"),
-    }
+    table = by_layer(raw, stg, mart)
+    return {name: offending(declared, table) for name, declared in rules().items()}
 
 
-def run_checks(checks: dict[str, DataFrame]) -> DataFrame:
+def run_checks(raw, stg, mart) -> DataFrame:
     """One row per check: the number of offending rows and one of them as JSON."""
-    parts = [
-        bad.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("row"))
-        .agg(F.count(F.lit(1)).alias("bad_rows"), F.min("row").alias("sample"))
-        .select(F.lit(name).alias("check_name"), "bad_rows", "sample")
-        for name, bad in checks.items()
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    return compiled(rules(), by_layer(raw, stg, mart))
 
 
-def check_summary(checks: dict[str, DataFrame]) -> DataFrame:
-    return run_checks(checks).select(
+def check_summary(raw, stg, mart) -> DataFrame:
+    return run_checks(raw, stg, mart).select(
         "check_name", "bad_rows", (F.col("bad_rows") == 0).alias("passed")
     )

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from datetime import date, timedelta
+from datetime import timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import Settings
 from ..functions import expressions as X
 from ..operators.joins import squash, squash_join
-from ..operators.ranking import ntiles, rank_by, running_in_segments
+from ..operators.ranking import ntiles_by_levels, rank_by, running_in_segments
+from ..session import stash
 
 
 def _calendar_columns(day: Column) -> list[Column]:
@@ -28,20 +29,17 @@ def _calendar_columns(day: Column) -> list[Column]:
     ]
 
 
-def dim_date(spark: SparkSession, start: date, end: date) -> DataFrame:
-    """One row per day, both ends included."""
-    span = F.sequence(X.date_lit(start), X.date_lit(end), F.expr("INTERVAL 1 DAY"))
-    return spark.range(1).select(F.explode(span).alias("day")).select(*_calendar_columns(F.col("day")))
-
-
-def dim_date_of(orders: DataFrame) -> DataFrame:
-    """The calendar of the whole years in which `orders` were purchased."""
-    years = orders.agg(
-        F.trunc(F.min("purchased_at").cast("date"), "year").alias("first"),
-        F.add_months(F.trunc(F.max("purchased_at").cast("date"), "year"), 12).alias("next"),
+def dim_date(orders: DataFrame, settings: Settings) -> DataFrame:
+    """One row per day, both ends included: the days of the settings, or whole years around the orders."""
+    first, last = F.min("purchased_at").cast("date"), F.max("purchased_at").cast("date")
+    year_end = F.date_sub(F.add_months(F.trunc(last, "year"), 12), 1)
+    start, end = settings.calendar_start, settings.calendar_end
+    span = orders.agg(
+        (X.date_lit(start) if start else F.trunc(first, "year")).alias("start"),
+        (X.date_lit(end) if end else year_end).alias("end"),
     )
-    span = F.sequence("first", F.date_sub("next", 1), F.expr("INTERVAL 1 DAY"))
-    return years.select(F.explode(span).alias("day")).select(*_calendar_columns(F.col("day")))
+    days = span.select(F.explode(F.sequence("start", "end", F.expr("INTERVAL 1 DAY"))).alias("day"))
+    return days.select(*_calendar_columns(F.col("day")))
 
 
 def _with_person(orders: DataFrame, customers: DataFrame) -> DataFrame:
@@ -231,13 +229,10 @@ def rfm_scores(orders: DataFrame, settings: Settings) -> DataFrame:
             X.sum_money("order_revenue").alias("monetary"),
         )
     )
-    person = F.col("customer_unique_id").asc()
-    return ntiles(
-        base,
-        [
-            ("r_score", [F.col("recency_days").desc_nulls_last(), person], 5),
-            ("m_score", [F.col("monetary").asc_nulls_last(), person], 5),
-        ],
+    return ntiles_by_levels(
+        stash(base, "buyers"),
+        [("r_score", "recency_days", True, 5), ("m_score", "monetary", False, 5)],
+        "customer_unique_id",
     )
 
 

@@ -40,6 +40,47 @@ def folder_bytes(spark: SparkSession, folder: str) -> int:
     return files.getContentSummary(path).getLength()
 
 
+def fingerprint(spark: SparkSession, folder: str) -> tuple:
+    """Tells two states of a folder of tables apart: name, time, bytes and files of each table in it."""
+    path, files = _hadoop_path(spark, folder)
+    if not files.exists(path):
+        return ()
+
+    def of(status) -> tuple:
+        entry = status.getPath()
+        held = files.getContentSummary(entry) if status.isDirectory() else None
+        size = (held.getLength(), held.getFileCount()) if held else (status.getLen(), 1)
+        return (entry.getName(), status.getModificationTime(), *size)
+
+    return tuple(sorted(map(of, files.listStatus(path))))
+
+
+def counting_session(spark: SparkSession) -> SparkSession:
+    """A session of the same application that counts the rows of Parquet tables from their footers."""
+    session = spark.newSession()
+    session.conf.set("spark.sql.sources.useV1SourceList", "")
+    session.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return session
+
+
+def subfolders(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the folders in a folder, in order; none if it does not exist."""
+    path, files = _hadoop_path(spark, folder)
+    if not files.exists(path):
+        return []
+    return sorted(f.getPath().getName() for f in files.listStatus(path) if f.isDirectory())
+
+
+def make_folder(spark: SparkSession, folder: str) -> None:
+    path, files = _hadoop_path(spark, folder)
+    files.mkdirs(path)
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    path, files = _hadoop_path(spark, folder)
+    files.delete(path, True)
+
+
 def size_shuffles(spark: SparkSession, folder: str) -> None:
     """Raise the number of shuffle partitions to fit the input; AQE merges those that stay small."""
     size = folder_bytes(spark, folder)
@@ -73,8 +114,7 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 def release(spark: SparkSession) -> None:
     """Delete everything this application wrote to the shared folder; for the end of a job."""
-    path, files = _hadoop_path(spark, _scratch_root(spark))
-    files.delete(path, True)
+    remove(spark, _scratch_root(spark))
 
 
 def stash(df: DataFrame, label: str = "stash") -> DataFrame:

@@ -17,12 +17,16 @@ def create_layers(spark: SparkSession, root: str, prefix: str = "") -> None:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {prefix}{layer} LOCATION '{root}/{layer}'")
 
 
-def replace_table(df: DataFrame, database: str, name: str, partition_by: str | None = None) -> None:
-    """Write a table whole, replacing an earlier one."""
-    writer = df.write.mode("overwrite").format("parquet").option("compression", "zstd")
-    if partition_by:
-        writer = writer.partitionBy(partition_by)
-    writer.saveAsTable(f"{database}.{name}")
+def write_version(df: DataFrame, path: str, partition_by: str | None = None) -> None:
+    """Write a table whole to a new folder."""
+    writer = df.write.option("compression", "zstd")
+    (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
+
+
+def point_to(spark: SparkSession, table: str, path: str) -> None:
+    """Let a catalog table be the files of a folder from now on. A change of metadata alone: a query that
+    runs goes on with the files it began with."""
+    spark.sql(f"CREATE OR REPLACE VIEW {table} AS SELECT * FROM parquet.`{path}`")
 
 
 def list_tables(spark: SparkSession, prefix: str = "") -> DataFrame:
@@ -33,7 +37,12 @@ def list_tables(spark: SparkSession, prefix: str = "") -> DataFrame:
         for table in spark.catalog.listTables(f"{prefix}{layer}")
         if not table.isTemporary
     ]
-    return inline_rows(spark, rows, "table_schema STRING, table_name STRING").orderBy(
+    staged = [
+        ("staging", table.name.removeprefix(f"{prefix}staging_"))
+        for table in spark.catalog.listTables()
+        if table.isTemporary and table.name.startswith(f"{prefix}staging_")
+    ]
+    return inline_rows(spark, rows + staged, "table_schema STRING, table_name STRING").orderBy(
         "table_name", "table_schema"
     )
 

@@ -1,33 +1,29 @@
-"""CSV source: declared schemas, quoted multi-line free text, clear error for a missing file."""
+"""CSV source: declared schemas, quoted line breaks in any value, clear error for a missing file.
+
+Files of any size are read in byte ranges by many tasks. Where no value holds a line break, Spark's reader
+takes them line by line; else the ranges are scanned for quotes first and records put together."""
 
 from __future__ import annotations
 
+import csv
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .csv_records import Layout, records, text_lines
 from .schemas import RAW_SCHEMAS, default_files
 
-# Only free text can hold line breaks; a multi-line file cannot be split across tasks, so the
-# other tables are read line by line. A quoted line break there leaves a short row, which fails.
-MULTI_LINE_TABLES = {"order_reviews"}
+
+# A row with too few or too many fields fails, whichever of them a query needs. A value that cannot be
+# read fails where its column is read: loading stores whole tables, so it reads all.
+FORMAT = {"mode": "FAILFAST", "quote": '"', "escape": '"', "timestampNTZFormat": "yyyy-MM-dd[ HH:mm:ss]"}
 
 
 def read_csv_table(spark: SparkSession, path: str, table: str) -> DataFrame:
     declared = T.StructType.fromDDL(RAW_SCHEMAS[table])
-    reader = (
-        # A row with too few or too many fields fails, whichever of them a query needs. A value that
-        # cannot be read fails where its column is read: loading stores whole tables, so it reads all.
-        spark.read.option("header", True)
-        .option("mode", "FAILFAST")
-        .option("columnPruning", False)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("timestampNTZFormat", "yyyy-MM-dd[ HH:mm:ss]")
-        .option("enforceSchema", False)
-        .option("multiLine", table in MULTI_LINE_TABLES)
-    )
+    reader = spark.read.options(**FORMAT).option("header", True).option("columnPruning", False).option("enforceSchema", False)
     try:
         header = reader.csv(path).columns
     except AnalysisException as error:
@@ -40,7 +36,17 @@ def read_csv_table(spark: SparkSession, path: str, table: str) -> DataFrame:
         raise ValueError(f"table {table} lacks columns {missing}: {path}")
     # Read in file order; columns we do not know stay text.
     schema = T.StructType([known.get(h, T.StructField(h, T.StringType())) for h in header])
-    df = reader.schema(schema).csv(path)
+    lines = text_lines(spark, path)
+    layout = Layout(lines)
+    if layout.spans:
+        for head in layout.heads:
+            if next(csv.reader([head])) != header:
+                raise ValueError(f"MALFORMED: files of table {table} differ in their columns: {path}")
+        ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        parsed = F.from_csv("record", ddl, {**FORMAT, "multiLine": "true"})
+        df = records(lines, layout).select(parsed.alias("row")).select("row.*")
+    else:
+        df = reader.schema(schema).csv(path)
     absent = [f for f in declared.fields if f.name not in header]
     return df.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in absent])
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
+from graphlib import TopologicalSorter
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -31,20 +32,39 @@ MARTS = (
     "customer_rfm", "seller_scorecard",
 )
 RAW_INPUTS = {
+    "dim_date": ("orders",),
     "dim_customers": ("orders", "customers"),
     "dim_products": ("products", "category_translation"),
     "dim_sellers": ("sellers",),
     "fct_order_items": ("orders", "customers", "order_items"),
     "fct_orders": ("orders", "customers", "order_items", "order_payments", "order_reviews"),
 }
-MART_WAVES = (
-    ("dim_customers", "fct_order_items", "dim_products", "dim_sellers", "dim_date"),
-    ("fct_orders",),
-    ("customer_rfm", "seller_scorecard"),
-)
+# The marts that a mart is made from; all others need only the raw tables.
+MART_INPUTS = {
+    "customer_rfm": ("fct_orders",),
+    "seller_scorecard": ("fct_order_items", "fct_orders", "dim_sellers"),
+}
 JOBS_AT_ONCE = 4
 
 
+def mart_waves() -> list[tuple[str, ...]]:
+    """The marts in waves: those of a wave need only earlier waves, so their jobs may run together."""
+    order = TopologicalSorter({name: MART_INPUTS.get(name, ()) for name in MARTS})
+    order.prepare()
+    waves = []
+    while order.is_active():
+        waves.append(tuple(sorted(order.get_ready())))
+        order.done(*waves[-1])
+    return waves
+
+
+def together(get: Callable[[str], object], names: Iterable[str]) -> list:
+    """Work on tables that do not need each other: their jobs are submitted at the same time and share
+    the executors."""
+    with ThreadPoolExecutor(JOBS_AT_ONCE) as pool:
+        return list(pool.map(get, names))
+
+
 def staging_model(name: str, raw: Callable[[str], DataFrame], settings: Settings) -> DataFrame:
     if name == "stg_products":
         return staging.stg_products(raw("products"), raw("category_translation"), settings)
@@ -54,14 +74,13 @@ def staging_model(name: str, raw: Callable[[str], DataFrame], settings: Settings
 
 def mart_model(
     name: str,
-    spark: SparkSession,
     stg: Callable[[str], DataFrame],
     mart: Callable[[str], DataFrame],
     settings: Settings,
 ) -> DataFrame:
     match name:
         case "dim_date":
-            return marts.dim_date(spark, settings.calendar_start, settings.calendar_end)
+            return marts.dim_date(stg("stg_orders"), settings)
         case "dim_customers":
             return marts.dim_customers(stg("stg_orders"), stg("stg_customers"))
         case "dim_products":
@@ -121,28 +140,22 @@ class Warehouse:
 
     def mart_model(self, name: str) -> DataFrame:
         """The mart as a plan over the layers below it, not its stored copy."""
-        return mart_model(name, self.spark, self.stg, self.mart, self.settings)
+        return mart_model(name, self.stg, self.mart, self.settings)
 
     def mart(self, name: str) -> DataFrame:
         if f"marts.{name}" not in self._written:
             inputs = [t for t in RAW_INPUTS.get(name, ()) if t in self.stored_raw]
-            self._together(self.raw, inputs)
+            together(self.raw, inputs)
         return self.stored(f"marts.{name}", lambda: self.mart_model(name))
 
     def load(self) -> None:
-        self._together(self.raw, self.stored_raw)
+        together(self.raw, self.stored_raw)
 
     def build(self) -> None:
         """Store the raw tables worth it and all marts."""
         self.load()
-        for wave in MART_WAVES:
-            self._together(self.mart, wave)
-
-    def _together(self, get: Callable[[str], DataFrame], names: Iterable[str]) -> None:
-        """Store tables that do not need each other: their jobs are submitted at the same time and
-        share the executors."""
-        with ThreadPoolExecutor(JOBS_AT_ONCE) as pool:
-            list(pool.map(get, names))
+        for wave in mart_waves():
+            together(self.mart, wave)
 
     def layers(self, names: Iterable[str] = ("raw", "staging", "marts")) -> dict:
         """Layer -> table name -> DataFrame."""

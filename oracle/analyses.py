@@ -81,7 +81,8 @@ CHECKS = {
     "chk_orders_unique": _repeated("f_orders", "order_id"),
     "chk_keys_not_null": """SELECT order_id FROM f_orders WHERE order_id IS NULL OR customer_unique_id IS NULL
         UNION ALL SELECT order_id FROM f_items WHERE product_id IS NULL OR seller_id IS NULL""",
-    "chk_no_negative_money": "SELECT 1 FROM f_items WHERE price < 0 OR freight_value < 0",
+    "chk_no_negative_money": """SELECT 1 FROM f_items WHERE price < 0 OR freight_value < 0
+        OR price IS NULL OR freight_value IS NULL""",
     "chk_products_have_category": "SELECT 1 FROM d_products WHERE category IS NULL",
     "chk_revenue_reconciles": _differing(
         total("item_revenue") + " FROM f_items", total("order_revenue") + " FROM f_orders"

@@ -144,3 +144,23 @@ def test_rank_correlations_share_one_seating(spark, monkeypatch):
     f = catalogue.Frames(catalogue.warehouse(spark, FOLDER))
     hypothesis.spearman(f.delivered, ["delivery_days", "days_vs_estimate", "order_revenue"], "review_score")
     assert written == ["segments"]
+
+
+def test_row_counts_come_from_footers(spark):
+    text = plan(spark, "load_summary")
+    scans = re.findall(r"BatchScan parquet.*", text)
+    assert len(scans) >= 4 and "FileScan" not in text
+    assert sum("PushedAggregation: [COUNT(*)]" in s for s in scans) >= 4
+    assert spark.conf.get("spark.sql.parquet.aggregatePushdown") == "false"
+
+
+def test_buyers_are_not_rewritten_for_their_scores(spark, monkeypatch):
+    from marketlens.operators import ranking
+
+    written = []
+    monkeypatch.setattr(ranking, "stash", lambda df, label="": written.append(df.columns) or session.stash(df, label))
+    f = catalogue.Frames(catalogue.warehouse(spark, FOLDER))
+    rows = marts.rfm_scores(f.orders, f.cfg)
+    assert ["score", "value", "ties"] == written[0][:3]
+    assert all("_value" in columns for columns in written[1:]) and len(written) <= 3
+    assert "Exchange" not in text_of(spark, lambda: rows)

@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from marketlens.operators import ranking
+from marketlens.session import stash as ranking_stash
 
 
 @pytest.fixture(scope="module")
@@ -124,3 +125,26 @@ def test_counts_ahead_in_segments(values):
         assert ties == sum(r.w for r in mine if r.v == v)
         assert ahead == sum(r.w for r in mine if r.v != v and (v is None or (r.v is not None and r.v < v)))
     assert len(got) == len({(r.g, r.v) for r in rows})
+
+
+@pytest.mark.parametrize("buckets", [1, 2, 5, 7, 2000, 3000])
+@pytest.mark.parametrize("descending", [False, True])
+def test_ntiles_by_levels(values, buckets, descending):
+    v = F.col("v").desc_nulls_last() if descending else F.col("v").asc_nulls_last()
+    mine = ranking.ntiles_by_levels(values, [("n", "v", descending, buckets), ("m", "g", True, 4)], "id")
+    plain = values.withColumn("n", F.ntile(buckets).over(W.orderBy(v, "id")).cast("long")).withColumn(
+        "m", F.ntile(4).over(W.orderBy(F.col("g").desc(), "id")).cast("long")
+    )
+    same(mine, plain)
+
+
+def test_only_rows_in_levels_with_a_border_are_numbered(spark, monkeypatch):
+    """A third of the rows share the value in which a border falls; all others are told by comparison."""
+    df = spark.range(3000).selectExpr("id", "if(id % 3 = 0, 1000, id) AS v")
+    numbered = []
+    monkeypatch.setattr(ranking, "stash", lambda df, label="": numbered.append(ranking_stash(df, label)) or numbered[-1])
+    mine = ranking.ntiles_by_levels(df, [("n", "v", False, 5)], "id")
+    same(mine, df.withColumn("n", F.ntile(5).over(W.orderBy("v", "id")).cast("long")))
+    rows = [f.count() for f in numbered if "id" in f.columns]
+    assert rows == [df.where("v = 1000").count()]
+    assert ranking.ntiles_by_levels(df.limit(0), [("n", "v", False, 5)], "id").count() == 0
