@@ -3,7 +3,7 @@
 BENCH_SF_DIR   folder of the test tables (default /root/testdata/sf0.1)
 BENCH_CPUS     local cores (default 8)
 BENCH_RUNS     timed runs per query, the median counts (default 3)
-BENCH_DUCKDB   1 = also time DuckDB: tables built once, the same analyses on them
+BENCH_DUCKDB   1 = also time DuckDB: the tables that Spark stores are stored, the rest are views
 """
 
 from __future__ import annotations
@@ -92,7 +92,9 @@ def bench_duckdb() -> dict[str, float]:
     def build(raw: bool) -> None:
         for name, body in CHAIN.items():
             if name.startswith("raw_") == raw:
-                con.execute(f"CREATE TABLE {name} AS {body}")
+                # As in Spark, staging and the steps within a mart are not stored.
+                kind = "TABLE" if name[:2] in ("ra", "d_", "f_") or name in ("rfm", "scorecard") else "VIEW"
+                con.execute(f"CREATE {kind} {name} AS {body}")
 
     times = {"load_raw": timed(lambda: build(True)), "build_marts": timed(lambda: build(False))}
     layer_source = {"fct_orders": "f_orders", "dim_customers": "d_customers", "customer_rfm": "rfm",

@@ -109,6 +109,12 @@ class Frames:
     def extract(self, name: str) -> DataFrame:
         return self.w.stored(f"extracts.{name}", lambda: self.extract_model(name))
 
+    @property
+    def persons(self) -> DataFrame:
+        """Bitmaps of the persons of the valid orders, by month and state."""
+        orders = Frames.extract(self, "orders")
+        return self.w.stored("extracts.persons", lambda: dashboard.people_by_month_and_state(orders))
+
 
 class FilteredFrames(Frames):
     """The same, as a reader of the dashboard sees them who chose months and states. Buyers' segments
@@ -125,6 +131,10 @@ class FilteredFrames(Frames):
         whole = super().extract(name)
         return whole if name == "sellers" else dashboard.apply_filters(whole, **self.CHOICE)
 
+    @property
+    def persons(self) -> DataFrame:
+        return dashboard.apply_filters(super().persons, **self.CHOICE)
+
 
 def _cohorts(f: Frames) -> DataFrame:
     return customers.cohort_counts(f.valid)
@@ -200,7 +210,7 @@ PLANS: dict[str, Callable[[Frames], DataFrame]] = {
     "top_categories_delivered": lambda f: modelling.top_categories_delivered(f.items, f.products),
     "late_vs_on_time": lambda f: modelling.late_vs_on_time(f.orders),
     # Revenue
-    "headline_kpis": lambda f: revenue.headline_kpis(f.valid),
+    "headline_kpis": lambda f: revenue.headline_kpis(f.valid, f.persons),
     "monthly_trend": lambda f: revenue.monthly_trend(f.valid),
     "yoy_growth": lambda f: revenue.yoy_growth(f.valid, f.cfg),
     "daily_orders": lambda f: revenue.daily_orders(f.valid, f.cfg),
@@ -210,7 +220,7 @@ PLANS: dict[str, Callable[[Frames], DataFrame]] = {
     "categories_to_80pct": lambda f: revenue.categories_to_80pct(
         revenue.category_pareto(f.valid_items, f.products, f.cfg)
     ),
-    "state_revenue": lambda f: revenue.state_revenue(f.valid),
+    "state_revenue": lambda f: revenue.state_revenue(f.valid, f.persons),
     "payment_mix": lambda f: revenue.payment_mix(f.valid),
     "installment_buckets": lambda f: revenue.installment_buckets(f.valid),
     # Customers
@@ -254,13 +264,13 @@ PLANS: dict[str, Callable[[Frames], DataFrame]] = {
         delivery.established(f.scorecard, f.cfg)
     ),
     # Dashboard
-    "dash_kpis": lambda f: dashboard.kpis(f.extract("orders")),
+    "dash_kpis": lambda f: dashboard.kpis(f.extract("orders"), f.persons),
     "dash_monthly": lambda f: dashboard.monthly(f.extract("orders")),
     "dash_top_categories": lambda f: dashboard.top_categories(f.extract("items")),
     "dash_payment_share": lambda f: dashboard.payment_share(f.extract("orders")),
     "dash_customer_kpis": lambda f: dashboard.customer_kpis(f.extract("orders"), f.extract("rfm")),
     "dash_rfm_segments": lambda f: dashboard.rfm_segments(f.extract("rfm")),
-    "dash_top_states": lambda f: dashboard.top_states(f.extract("orders")),
+    "dash_top_states": lambda f: dashboard.top_states(f.extract("orders"), f.persons),
     "dash_delivery_kpis": lambda f: dashboard.delivery_kpis(f.extract("orders")),
     "dash_late_monthly": lambda f: dashboard.late_monthly(f.extract("orders"), f.cfg),
     "dash_review_by_arrival": lambda f: dashboard.review_by_arrival(f.extract("orders")),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..config import Settings
 from ..functions import expressions as X
+from ..operators.bitmaps import distinct_keys, key_bitmaps
 from ..operators.joins import side_by_side
 from ..operators.ranking import counts_ahead
 from ..operators.shape import in_order, total
@@ -60,15 +61,24 @@ def _late(orders: DataFrame) -> DataFrame:
     return orders.where("is_late IS NOT NULL")
 
 
-def kpis(orders: DataFrame) -> DataFrame:
-    return orders.agg(
+def people_by_month_and_state(orders: DataFrame) -> DataFrame:
+    """The persons of each month and state as bitmaps; months by their first day, so filters apply."""
+    months = orders.select(X.month_start("order_date").alias("order_date"), "customer_state", "customer_key")
+    return key_bitmaps(months, "customer_key", "order_date", "customer_state")
+
+
+def kpis(orders: DataFrame, people: DataFrame) -> DataFrame:
+    """`people` holds the bitmaps of the same orders."""
+    sums = orders.agg(
         X.sum_money("order_revenue").alias("revenue"),
         X.rows().alias("orders"),
-        F.count_distinct("customer_key").alias("customers"),
         X.rounded(X.mean_money("order_revenue"), 2).alias("aov"),
         X.rounded(X.share_true("is_late") * 100.0, 1).alias("late_pct"),
         X.rounded(F.avg("review_score"), 2).alias("avg_review"),
     )
+    return side_by_side(sums, distinct_keys(people, "customers")).select(
+        "revenue", "orders", "customers", "aov", "late_pct", "avg_review"
+    )
 
 
 def monthly(orders: DataFrame) -> DataFrame:
@@ -135,14 +145,11 @@ def rfm_segments(rfm: DataFrame) -> DataFrame:
     ).orderBy(F.desc_nulls_last("revenue"))
 
 
-def top_states(orders: DataFrame) -> DataFrame:
+def top_states(orders: DataFrame, people: DataFrame) -> DataFrame:
+    states = orders.dropna(subset=["customer_state"]).groupBy("customer_state")
     return (
-        orders.dropna(subset=["customer_state"])
-        .groupBy("customer_state")
-        .agg(
-            X.sum_money("order_revenue").alias("revenue"),
-            F.count_distinct("customer_key").alias("customers"),
-        )
+        states.agg(X.sum_money("order_revenue").alias("revenue"))
+        .join(distinct_keys(people, "customers", "customer_state"), "customer_state")
         .orderBy(F.desc_nulls_last("revenue"), "customer_state")
         .limit(10)
     )

@@ -8,17 +8,22 @@ from pyspark.sql import functions as F
 
 from ..config import Settings
 from ..functions import expressions as X
+from ..operators.bitmaps import distinct_keys
+from ..operators.joins import side_by_side
 from ..operators.shape import in_order, spread, total
 
 
-def headline_kpis(orders: DataFrame) -> DataFrame:
-    return orders.agg(
+def headline_kpis(orders: DataFrame, people: DataFrame) -> DataFrame:
+    """`people`: the bitmaps of the persons of these orders, by month and state."""
+    sums = orders.agg(
         X.rows().alias("orders"),
         X.whole_units(X.sum_cents("order_revenue")).alias("revenue"),
-        F.count_distinct("customer_unique_id").alias("customers"),
         X.rounded(X.mean_money("order_revenue"), 2).alias("aov"),
         X.rounded(F.avg("item_count"), 2).alias("items_per_order"),
     )
+    return side_by_side(sums, distinct_keys(people, "customers")).select(
+        "orders", "revenue", "customers", "aov", "items_per_order"
+    )
 
 
 def monthly_trend(orders: DataFrame) -> DataFrame:
@@ -138,11 +143,10 @@ def categories_to_80pct(pareto: DataFrame) -> DataFrame:
     )
 
 
-def state_revenue(orders: DataFrame) -> DataFrame:
-    states = orders.groupBy(F.col("customer_state").alias("state")).agg(
-        F.count_distinct("customer_unique_id").alias("customers"),
-        X.sum_cents("order_revenue").alias("c"),
-    )
+def state_revenue(orders: DataFrame, people: DataFrame) -> DataFrame:
+    sums = orders.groupBy(F.col("customer_state").alias("state")).agg(X.sum_cents("order_revenue").alias("c"))
+    persons = distinct_keys(people, "customers", "customer_state")
+    states = sums.join(persons, F.col("state").eqNullSafe(F.col("customer_state")))
     each = X.ratio(X.money(F.col("c")), F.col("customers"))
     return states.select(
         "state",

@@ -164,3 +164,12 @@ def test_buyers_are_not_rewritten_for_their_scores(spark, monkeypatch):
     assert ["score", "value", "ties"] == written[0][:3]
     assert all("_value" in columns for columns in written[1:]) and len(written) <= 3
     assert "Exchange" not in text_of(spark, lambda: rows)
+
+
+@pytest.mark.parametrize("name", ["headline_kpis", "state_revenue", "dash_kpis", "dash_top_states",
+                                  "dash_kpis_filtered", "dash_top_states_filtered"])
+def test_distinct_people_shuffle_no_person(spark, name):
+    text = plan(spark, name, **{"spark.sql.autoBroadcastJoinThreshold": "-1"})
+    assert "bitmap_or_agg" in text
+    assert not re.search(r"hashpartitioning\([^)]*customer_(unique_id|key)", text)
+    assert "customer_unique_id" not in text and "customer_key" not in text
