@@ -11,7 +11,8 @@ continued ones by their origin: ordered by segment number, checked against the t
 freed of the chunk framing, and checked against the digest in the header.
 
 Defined results: null html is an empty payload; repeated rows give one record each (of equal rows one is
-the response); rows with a null id get a record, and come back with a null id; pages of any length are
+the response); rows with a null id get a record, and come back with a null id; text ids may hold any
+characters, as headers carry them escaped; pages of any length are
 segmented; an empty table gives no rows. Only the columns named as parameters are read.
 """
 
@@ -21,6 +22,7 @@ import base64
 import hashlib
 import io
 import zlib
+from urllib.parse import unquote_plus
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,10 +30,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import scratch_path
-from .support import let, workers_find_package
+from .support import hint_if_small, keep, let, workers_find_package
 
 SEGMENT = 48 * 1024  # code points of a response's block in one record
 CHUNK = 8 * 1024  # code points of a chunk
+FILE_BYTES = 64 << 20  # of records in a file
 # Fixed values of the format.
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -72,60 +75,84 @@ def _record(headers: list[tuple[str, Column]], block: Column) -> Column:
     return F.concat(F.concat_ws(EOL, F.lit("WARC/1.1"), *lines, length), F.lit(EOL + EOL), block)
 
 
-def _urn(row: Column) -> Column:
-    return F.concat(F.lit("<urn:page-record:"), row.cast("string"), F.lit(">"))
-
-
-def records(pages: DataFrame, id_col: str, html_col: str, segment: int = SEGMENT) -> DataFrame:
-    """One string per record."""
-    payload = F.coalesce(F.col(html_col).cast("string"), F.lit(""))
-    rows = pages.select(
-        F.col(id_col).alias("id"), payload.alias("payload"), F.sha1(payload.cast("binary")).alias("hex"),
-        # The row's own place orders equal ids. It is the same whenever the same files are read again.
-        F.monotonically_increasing_id().alias("row"),
-    )
-    best = rows.groupBy("hex").agg(F.max(F.struct("id", "row")).alias("best"))
-    marked = rows.join(best, "hex").withColumn("first", F.col("row") == F.col("best.row"))
-    marked = marked.withColumn("digest", base32(F.col("hex"))).drop("hex")
-
-    whole = F.concat(
-        F.lit("HTTP/1.1 200 OK" + EOL + "Content-Type: text/html; charset=utf-8" + EOL
-              + "Transfer-Encoding: chunked" + EOL + EOL),
-        _chunked(F.col("payload")),
-    )
-    named = [("X-Page-Id", F.col("id")), ("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("digest")))]
-    responses = marked.where("first").withColumn("block", whole).withColumn("parts", _pieces(F.col("block"), segment))
-    parts = F.size("parts")
-    segments = responses.select(
-        "id", "digest", "row", parts.alias("n"), F.octet_length("block").alias("total"),
-        F.posexplode("parts").alias("i", "part"),
-    )
-    split = F.col("n") > 1
-    begins = F.col("i") == 0
-    last = F.col("i") == F.col("n") - 1
-    name = F.when(begins, _urn(F.col("row"))).otherwise(
-        F.concat(F.lit("<urn:page-segment:"), F.col("row").cast("string"), F.lit(":"), (F.col("i") + 1).cast("string"), F.lit(">"))
+def _urn(hexed: Column) -> Column:
+    """The id of the one record that holds a payload whole."""
+    return F.concat(F.lit("<urn:page-payload:"), hexed, F.lit(">"))
+
+
+def _written_id(id_: Column) -> Column:
+    """An id as a header can hold it: whatever could end a line or be trimmed is escaped."""
+    return F.url_encode(id_.cast("string"))
+
+
+def _payload(html_col: str) -> Column:
+    return F.coalesce(F.col(html_col).cast("string"), F.lit(""))
+
+
+def records(pages: DataFrame, id_col: str, html_col: str, segment: int = SEGMENT) -> tuple[DataFrame, int]:
+    """One string per record, and the mean size of a page in bytes.
+
+    Which page of equal payloads is the response follows from narrow rows alone (digest, id). Pages are told
+    apart by their content, never by their place, so `pages` may come from a shuffle and be evaluated twice.
+    Revisits are written from the narrow rows; their payloads are dropped where they are read if the table
+    of revisits is proven small, and move with the others otherwise.
+    """
+    named = pages.select(F.col(id_col).alias("id"), _payload(html_col).alias("payload"))
+    named = named.withColumn("hex", F.sha1(F.col("payload").cast("binary")))
+    narrow = keep(named.select("id", "hex", F.octet_length("payload").alias("bytes")), "digests")
+    size = narrow.agg(F.avg("bytes")).first()[0] or 0
+    groups = narrow.groupBy("hex", "id").agg(F.count(F.lit(1)).alias("n"))
+    totals = groups.groupBy("hex").agg(F.max("id").alias("best"), F.sum("n").alias("total")).where("total > 1")
+    equal = keep(groups.join(totals, "hex").withColumn("is_best", F.col("id").eqNullSafe(F.col("best"))), "equal")
+
+    def but_for(rows: DataFrame, others: DataFrame, how: str) -> DataFrame:
+        others = others.select(F.col("hex").alias("_hex"), F.col("id").alias("_id"))
+        return rows.join(hint_if_small(others), (F.col("hex") == F.col("_hex")) & F.col("id").eqNullSafe(F.col("_id")), how)
+
+    # Repeated rows of a response's own id: one of them is the response, whichever, as they are equal.
+    repeated = equal.where("is_best AND n > 1")
+    single = but_for(named, equal.where("NOT is_best OR n > 1"), "left_anti")
+    responses = single
+    if not repeated.isEmpty():
+        own = but_for(named, repeated, "left_semi")
+        responses = single.unionByName(own.groupBy("hex", "id").agg(F.any_value("payload").alias("payload")))
+
+    digest = F.concat(F.lit("sha1:"), base32(F.col("hex")))
+    head = "HTTP/1.1 200 OK" + EOL + "Content-Type: text/html; charset=utf-8" + EOL + "Transfer-Encoding: chunked" + EOL + EOL
+    blocks = responses.select("id", "hex", F.concat(F.lit(head), _chunked(F.col("payload"))).alias("block"))
+    segments = blocks.select(
+        "id", "hex", F.octet_length("block").alias("total"), _pieces(F.col("block"), segment).alias("parts")
+    ).select("id", "hex", "total", F.size("parts").alias("n"), F.posexplode("parts").alias("i", "part"))
+    split, begins, last = F.col("n") > 1, F.col("i") == 0, F.col("i") == F.col("n") - 1
+    name = F.when(begins, _urn(F.col("hex"))).otherwise(
+        F.concat(F.lit("<urn:page-segment:"), F.col("hex"), F.lit(":"), (F.col("i") + 1).cast("string"), F.lit(">"))
     )
     written = _record([
         ("WARC-Type", F.when(begins, "response").otherwise("continuation")), ("WARC-Record-ID", name),
-        *[(k, F.when(begins, v)) for k, v in named],
+        ("X-Page-Id", F.when(begins, _written_id(F.col("id")))), ("WARC-Payload-Digest", F.when(begins, digest)),
         ("WARC-Segment-Number", F.when(split, F.col("i") + 1)),
-        ("WARC-Segment-Origin-ID", F.when(~begins, _urn(F.col("row")))),
+        ("WARC-Segment-Origin-ID", F.when(~begins, _urn(F.col("hex")))),
         ("WARC-Segment-Total-Length", F.when(split & last, F.col("total"))),
     ], F.col("part"))
-    revisits = marked.where("not first").select(_record([
-        ("WARC-Type", F.lit("revisit")), ("WARC-Record-ID", _urn(F.col("row"))), *named,
-        ("WARC-Profile", F.lit(REVISIT)), ("WARC-Refers-To", _urn(F.col("best.row"))),
-        ("X-Refers-To-Page-Id", F.col("best.id")),
+    more = F.col("n") - F.col("is_best").cast("int")
+    again = equal.where(more > 0).withColumn("k", F.explode(F.sequence(F.lit(1).cast("long"), more)))
+    own = F.concat(F.lit("<urn:page-revisit:"), F.col("hex"), F.lit(":"),
+                   F.coalesce(_written_id(F.col("id")), F.lit("")), F.lit(":"), F.col("k").cast("string"), F.lit(">"))
+    revisits = again.select(_record([
+        ("WARC-Type", F.lit("revisit")), ("WARC-Record-ID", own), ("X-Page-Id", _written_id(F.col("id"))),
+        ("WARC-Payload-Digest", digest), ("WARC-Profile", F.lit(REVISIT)), ("WARC-Refers-To", _urn(F.col("hex"))),
+        ("X-Refers-To-Page-Id", _written_id(F.col("best"))),
     ], F.lit("HTTP/1.1 200 OK" + EOL + EOL)).alias("value"))
-    return segments.select(written.alias("value")).unionByName(revisits)
+    return segments.select(written.alias("value")).unionByName(revisits), int(size)
 
 
 def write(pages: DataFrame, path: str, id_col: str = "page_id", html_col: str = "html", segment: int = SEGMENT) -> None:
-    """Archive files below `path`, which must not exist."""
-    out = records(pages, id_col, html_col, segment).write
+    """Archive files of about FILE_BYTES before compression below `path`, which must not exist."""
+    lines, size = records(pages, id_col, html_col, segment)
+    per_file = max(100, FILE_BYTES // (size + 500))  # 500 bytes of headers; long pages are in segments
     # A record ends with two line breaks: exactly what the text writer puts after each row.
-    out.option("lineSep", EOL + EOL).option("compression", "gzip").option("maxRecordsPerFile", 20_000).text(path)
+    out = lines.write.option("lineSep", EOL + EOL).option("compression", "gzip")
+    out.option("maxRecordsPerFile", per_file).text(path)
 
 
 def parse(stream: io.BufferedIOBase):
@@ -167,7 +194,7 @@ def dechunked(block: bytes) -> bytes:
 class Inflating(io.RawIOBase):
     """Gzip members of a byte string, inflated piece by piece."""
 
-    def __init__(self, data: bytes):
+    def __init__(self, data):
         self.data, self.at, self.inflate = memoryview(data), 0, None
 
     def readable(self) -> bool:
@@ -200,6 +227,10 @@ READ = T.StructType([
 ])
 
 
+def _read_id(written: str | None) -> str | None:
+    return None if written is None else unquote_plus(written)
+
+
 def _read(batches):
     schema = pa.schema([
         *((n, pa.string()) for n in ("record", "kind", "page_id", "refers", "refers_to", "digest")),
@@ -209,13 +240,13 @@ def _read(batches):
     for batch in batches:
         for content in batch.column(0):
             rows, held = [], 0
-            for headers, block in parse(io.BufferedReader(Inflating(content.as_buffer().to_pybytes()), 1 << 17)):
+            for headers, block in parse(io.BufferedReader(Inflating(content.as_buffer()), 1 << 17)):
                 get = headers.get
                 segmented = get("WARC-Segment-Number")
                 row = {
                     "record": get("WARC-Segment-Origin-ID", get("WARC-Record-ID")), "kind": get("WARC-Type"),
-                    "page_id": get("X-Page-Id"), "refers": get("WARC-Refers-To"),
-                    "refers_to": get("X-Refers-To-Page-Id"),
+                    "page_id": _read_id(get("X-Page-Id")), "refers": get("WARC-Refers-To"),
+                    "refers_to": _read_id(get("X-Refers-To-Page-Id")),
                     "digest": get("WARC-Payload-Digest", "").removeprefix("sha1:") or None,
                     "segment": int(segmented) if segmented else None,
                     "total": int(get("WARC-Segment-Total-Length", "0")) or None,

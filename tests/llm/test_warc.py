@@ -73,9 +73,41 @@ def test_broken_archives():
 
 def test_segments_that_do_not_add_up(spark, tmp_path):
     pages = spark.createDataFrame([(1, "x" * 5000)], "page_id long, html string")
-    rows = warc.records(pages, "page_id", "html", 700).collect()
+    rows = warc.records(pages, "page_id", "html", 700)[0].collect()
     kept = [r for r in rows if "WARC-Segment-Number: 3" not in r.value]
     path = str(tmp_path / "broken")
     spark.createDataFrame(kept).coalesce(1).write.option("lineSep", "\r\n\r\n").option("compression", "gzip").text(path)
     with pytest.raises(Exception, match="segments"):
         warc.read(spark, path).collect()
+
+
+def test_ids_with_any_characters(spark):
+    ids = ["a\r\nX: y", " padded ", "", "é中%0A", "100%", "a+b c", "\t", "WARC/1.1"]
+    pages = spark.createDataFrame([(k, f"text {i // 2}") for i, k in enumerate(ids)], "page_id string, html string")
+    rows = {r.page_id: r for r in warc.op4(pages).collect()}
+    assert rows.keys() == set(ids) and all(r.intact for r in rows.values())
+    for a, b in zip(ids[::2], ids[1::2]):
+        assert rows[min(a, b)].refers_to == max(a, b) and rows[max(a, b)].record_type == "response"
+
+
+def test_a_hot_page_in_a_shuffled_frame(spark):
+    """A third of the rows are one page; rows change their places from one evaluation to the next."""
+    hot = "<p>" + "hot " * 500
+    pages = spark.range(3000).selectExpr("id AS page_id", f"if(id % 3 = 0, '{hot}', concat('<p>', id % 1000)) AS html")
+    rows = warc.op4(pages.repartition(7, "html")).collect()
+    best = {}
+    source = {r.page_id: r.html for r in pages.collect()}
+    for k, html in source.items():
+        best[html] = max(best.get(html, -1), k)
+    assert len(rows) == 3000 and all(r.intact for r in rows)
+    for r in rows:
+        first = best[source[r.page_id]]
+        assert r.refers_to == (None if first == r.page_id else first)
+
+
+def test_files_are_cut_by_bytes(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(warc, "FILE_BYTES", 400_000)
+    pages = spark.range(1, 601, 1, 1).selectExpr("id AS page_id", "repeat(cast(id AS string), 700) AS html")
+    warc.write(pages, str(tmp_path / "out"))
+    assert len(list((tmp_path / "out").glob("*.gz"))) >= 4
+    assert warc.read(spark, str(tmp_path / "out")).where("intact").count() == 600
