@@ -14,7 +14,6 @@ rows. Only the columns named as parameters are read, so other columns may have a
 from __future__ import annotations
 
 import array
-import functools
 import operator
 
 import numpy as np
@@ -26,7 +25,7 @@ from pyspark.sql import types as T
 from .pretokens import (
     CONTRACTIONS, SPECIAL, Lookup, Vocabulary, chunk_lookup, is_blank, matches, over_chunks, vocabulary,
 )
-from .support import workers_find_package
+from .support import held, workers_find_package
 
 VOCABULARY = "byte_bpe_50k.tiktoken"  # the ranks of byte_bpe_50k.json
 
@@ -36,65 +35,64 @@ class PrefixCounter:
 
     def __init__(self, ranks: Vocabulary):
         self.ranks = ranks
-        self.neighbours: dict[tuple[int, int], bool] = {}
-        self.pieces = Lookup(self._piece, 400_000)
+        self.neighbours = Lookup(lambda pair: ranks.stay(pair >> 20, pair & 0xFFFFF), 400_000, texts=False)
+        self.pieces = Lookup(self._piece, 300_000)
         self.chunks = chunk_lookup(self._ordinary)
 
-    def _stay(self, left: int, right: int) -> bool:
-        """Whether two tokens beside each other are the encoding of their bytes."""
-        known = self.neighbours.get((left, right))
-        if known is None:
-            if len(self.neighbours) >= 2_000_000:
-                self.neighbours.clear()
-            token = self.ranks.token
-            known = self.ranks.merge(token[left] + token[right]) == (left, right)
-            self.neighbours[left, right] = known
-        return known
-
     def _program(self, data: bytes) -> list[int]:
         """Tokens of every byte prefix of one piece."""
-        stay, size = self._stay, self.ranks.size
+        stay, size = self.neighbours, self.ranks.size
         last, count = [-1] * (len(data) + 1), [0] * (len(data) + 1)
         for final, token in self.ranks.occurrences(data):
             end = final + 1
             if last[end] < 0:
                 start = end - size[token]
-                if start == 0 or stay(last[start], token):
+                if start == 0 or stay[last[start] << 20 | token]:
                     last[end] = token
                     count[end] = count[start] + 1
         return count[1:]
 
-    def _piece(self, piece: str) -> list[int]:
-        """Tokens of every code point prefix of one piece."""
+    def _piece(self, piece: str) -> bytes:
+        """Differences of the tokens of every code point prefix of one piece."""
         if piece in CONTRACTIONS and len(piece) > 2:  # its prefix "'r" is two pieces
-            return [1, 2, self._program(piece.encode())[-1]]
-        counts = self._program(piece.encode())
-        if len(counts) == len(piece):
-            return counts
-        ends = np.cumsum([len(c.encode()) for c in piece]) - 1
-        return [counts[i] for i in ends]
-
-    def _counts(self, text: str) -> list[int]:
+            return self._differences([1, 2, self._program(piece.encode())[-1]])
+        data = piece.encode()
+        counts = self._program(data)
+        if len(counts) != len(piece):
+            # The last byte of a code point is one that no continuation byte follows.
+            counts = [n for n, following in zip(counts, [*data[1:], 0]) if following & 0xC0 != 0x80]
+        return self._differences(counts)
+
+    def _counts(self, text: str) -> np.ndarray:
         """Tokens of every prefix of a text without special strings."""
-        out: list[int] = []
-        base, earlier, previous = 0, 0, ""
-        for piece in matches(text):
-            counts = self.pieces[piece]
-            start = len(out)
-            out.extend([base + c for c in counts])
-            if previous and is_blank(piece[0]) and is_blank(previous):
-                # Until more text follows, a run of white space is one piece.
-                out[start] = earlier + self.pieces[previous + piece[0]][-1]
-            earlier, base, previous = base, base + counts[-1], piece
-        return out
+        return counts_of(self._ordinary(text))
 
     @staticmethod
     def _differences(counts: list[int]) -> bytes:
         steps = list(map(operator.sub, counts, [0, *counts]))
         return array.array("b", steps).tobytes()  # OverflowError beyond a signed byte
 
+    def _total(self, piece: str) -> int:
+        return int(np.frombuffer(self.pieces[piece], dtype=np.int8).sum(dtype=np.int64))
+
     def _ordinary(self, text: str) -> bytes:
-        return self._differences(self._counts(text))
+        out, previous, owed = [], "", 0
+        for piece in matches(text):
+            steps = self.pieces[piece]
+            blank = previous.isspace() and piece[0].isspace() and is_blank(previous) and is_blank(piece[0])
+            if blank or owed:
+                values = np.frombuffer(steps, dtype=np.int8).tolist()
+                # Until more text follows, a run of white space is one piece.
+                less = values[0] - self._total(previous + piece[0]) + self._total(previous) if blank else 0
+                values[0] += owed - less
+                owed = less
+                if len(values) > 1:
+                    values[1] += owed
+                    owed = 0
+                steps = array.array("b", values).tobytes()
+            out.append(steps)
+            previous = piece
+        return b"".join(out)
 
     def differences(self, text: str) -> bytes:
         if SPECIAL not in text:
@@ -113,9 +111,8 @@ class PrefixCounter:
         return self._differences(counts)
 
 
-@functools.lru_cache(maxsize=1)
 def counter(name: str) -> PrefixCounter:
-    return PrefixCounter(vocabulary(name))
+    return held(("prefix counts", name), lambda: PrefixCounter(vocabulary(name)))
 
 
 def counts_of(stored: bytes) -> np.ndarray:

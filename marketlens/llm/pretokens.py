@@ -11,6 +11,7 @@ import base64
 import functools
 import heapq
 import re
+import sys
 
 import ahocorasick
 import public_tokenizers
@@ -48,24 +49,34 @@ class Irregular(Exception):
 
 
 class Lookup(dict):
-    """Results by key, computed on first use; emptied when full, so its memory is bounded."""
+    """Results by key, computed on first use, in two generations of half of `limit` entries each.
 
-    LONGEST_KEY = 64
+    When the young generation is full it becomes the old one, and what is not asked for again until it is
+    full once more is forgotten: frequent keys stay, whatever the vocabulary grows to. Longer texts than
+    LONGEST are computed each time, so an entry takes some 200 bytes and never more than about 1 KB.
+    """
 
-    def __init__(self, make, limit: int):
+    LONGEST = 64
+
+    def __init__(self, make, limit: int, texts: bool = True):
         super().__init__()
-        self.make, self.limit = make, limit
+        self.make, self.half, self.texts = make, limit // 2, texts
+        self.old: dict = {}
 
     def __missing__(self, key):
-        value = self.make(key)
-        if len(key) <= self.LONGEST_KEY:
-            if len(self) >= self.limit:
-                self.clear()
-            self[key] = value
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+            if self.texts and len(key) > self.LONGEST:
+                return value
+        if len(self) >= self.half:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
         return value
 
 
-def chunk_lookup(make, limit: int = 500_000) -> Lookup:
+def chunk_lookup(make, limit: int = 400_000) -> Lookup:
     """Results of `make` for a chunk with its leading space."""
 
     def of_chunk(chunk: str):
@@ -87,15 +98,19 @@ def over_chunks(text: str, chunks: Lookup, make) -> bytes:
         return make(text)
 
 
+def ranks_of(name: str) -> dict[bytes, int]:
+    with open(public_tokenizers.path(name), "rb") as lines:
+        pairs = (line.split() for line in lines)
+        return {base64.b64decode(token): int(rank) for token, rank in pairs}
+
+
 class Vocabulary:
     """Token ranks, and the merges they stand for."""
 
     SHORT = 32
 
     def __init__(self, name: str):
-        with open(public_tokenizers.path(name), "rb") as lines:
-            pairs = (line.split() for line in lines)
-            self.rank = {base64.b64decode(token): int(rank) for token, rank in pairs}
+        self.rank = ranks_of(name)
         self.token = [b""] * (max(self.rank.values()) + 1)
         for token, rank in self.rank.items():
             self.token[rank] = token
@@ -120,17 +135,78 @@ class Vocabulary:
             return (whole,)
         return self._merge_short(data) if len(data) <= self.SHORT else self._merge_long(data)
 
-    def _merge_short(self, data: bytes) -> tuple[int, ...]:
-        rank, none = self.rank, len(self.token)
+    def _merged(self, data: bytes, below: int) -> list[bytes]:
+        """The parts of a short piece once all merges of a rank lower than `below` are done."""
+        get = self.rank.get
         parts = [data[i : i + 1] for i in range(len(data))]
-        while len(parts) > 1:
-            ranks = [rank.get(a + b, none) for a, b in zip(parts, parts[1:])]
+        ranks = [get(a + b, below) for a, b in zip(parts, parts[1:])]
+        while ranks:
             best = min(ranks)
-            if best == none:
+            if best >= below:
                 break
             at = ranks.index(best)
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
-        return tuple(rank[p] for p in parts)
+            part = parts[at] + parts[at + 1]
+            parts[at : at + 2] = [part]
+            del ranks[at]
+            if at < len(ranks):
+                ranks[at] = get(part + parts[at + 1], below)
+            if at:
+                ranks[at - 1] = get(parts[at - 1] + part, below)
+        return parts
+
+    def _merge_short(self, data: bytes) -> tuple[int, ...]:
+        return tuple(map(self.rank.__getitem__, self._merged(data, len(self.token))))
+
+    @functools.cached_property
+    def _split(self) -> dict[int, tuple[int, int]]:
+        """Filled as tokens are met: the two tokens that the last merge of a token joins."""
+        return {}
+
+    def _spine(self, token: int, side: int) -> list[tuple[bytes, int]]:
+        """From the byte at the left (0) or right (1) end of a token up to the token itself: what stands at
+        that end in the course of its merges, and the rank of the merge that ends its standing there."""
+        out, ends = [], len(self.token)
+        while True:
+            out.append((self.token[token], ends))
+            if self.size[token] == 1:
+                return out[::-1]
+            halves = self._split.get(token)
+            if halves is None:
+                left, right = self._merged(self.token[token], token)
+                halves = self._split[token] = self.rank[left], self.rank[right]
+            token, ends = halves[side], token
+
+    def stay(self, left: int, right: int) -> bool:
+        """Whether two tokens beside each other are the encoding of their bytes.
+
+        They are unless some merge joins bytes of both: it would have to come before the next merge within
+        the left token and not after the next one within the right token, as equal ranks go from left to
+        right. Merges of a token come in the order of their ranks (a token's parts have lower ranks).
+        """
+        ends, begins, none = self._spines(left)[1], self._spines(right)[0], len(self.token)
+        i = j = 0
+        while True:
+            (x, next_x), (y, next_y) = ends[i], begins[j]
+            across = self.rank.get(x + y, none)
+            if across < next_x and across <= next_y:
+                return False
+            if next_x <= next_y:
+                if next_x == none:
+                    return True
+                i += 1
+            else:
+                j += 1
+
+    def _spines(self, token: int) -> tuple[list, list]:
+        found = self._all_spines.get(token)
+        if found is None:
+            found = self._all_spines[token] = self._spine(token, 0), self._spine(token, 1)
+        return found
+
+    @functools.cached_property
+    def _all_spines(self) -> dict[int, tuple[list, list]]:
+        """Filled as tokens are met, so at most one entry per token."""
+        return {}
 
     def _merge_long(self, data: bytes) -> tuple[int, ...]:
         rank, n = self.rank, len(data)
@@ -158,6 +234,6 @@ class Vocabulary:
         return tuple(rank[data[i : end[i]]] for i in range(n) if alive[i])
 
 
-@functools.lru_cache(maxsize=2)
+@functools.lru_cache(maxsize=1)
 def vocabulary(name: str) -> Vocabulary:
     return Vocabulary(name)

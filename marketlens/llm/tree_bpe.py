@@ -13,8 +13,8 @@ parameters are read.
 
 from __future__ import annotations
 
-import functools
 import hashlib
+import struct
 
 import numpy as np
 import pyarrow as pa
@@ -23,17 +23,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .pretokens import Lookup, Vocabulary, chunk_lookup, matches, over_chunks, vocabulary
-from .support import workers_find_package
+from .support import held, workers_find_package
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 Ids = tuple[int, ...]
 
 
 class TreeEncoder:
+    SHORT = 4  # bytes of a part that is remembered
+
     def __init__(self, ranks: Vocabulary):
         self.ranks = ranks
-        self.windows = Lookup(self._window, 250_000)
-        self.pieces = Lookup(self._piece, 500_000)
+        self.windows = Lookup(self._window, 250_000, texts=False)
+        self.parts = Lookup(self._joined_halves, 250_000)
+        self.pieces = Lookup(self._piece, 300_000)
         self.chunks = chunk_lookup(self.encode_pieces)
 
     def _window(self, ids: Ids) -> Ids:
@@ -44,6 +47,10 @@ class TreeEncoder:
         whole = self.ranks.rank.get(data)
         if whole is not None:
             return (whole,)
+        # Few short parts make up most pieces.
+        return self.parts[data] if len(data) <= self.SHORT else self._joined_halves(data)
+
+    def _joined_halves(self, data: bytes) -> Ids:
         middle = len(data) // 2
         return self.join(self.halves(data[:middle]), self.halves(data[middle:]))
 
@@ -62,7 +69,8 @@ class TreeEncoder:
                 b = min(2 * b, len(right))
 
     def _piece(self, piece: str) -> bytes:
-        return np.array(self.halves(piece.encode()), dtype="<u4").tobytes()
+        ids = self.halves(piece.encode())
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def encode_pieces(self, text: str) -> bytes:
         return b"".join(map(self.pieces.__getitem__, matches(text)))
@@ -76,9 +84,8 @@ class TreeEncoder:
         return b"".join(map(self.ranks.token.__getitem__, np.frombuffer(ids, dtype="<u4").tolist()))
 
 
-@functools.lru_cache(maxsize=1)
 def encoder(name: str) -> TreeEncoder:
-    return TreeEncoder(vocabulary(name))
+    return held(("tree", name), lambda: TreeEncoder(vocabulary(name)))
 
 
 def _mapped(df: DataFrame, in_col: str, in_type: str, out: list[tuple[str, T.DataType]], work, id_col: str):
