@@ -32,8 +32,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .components import components
-from .pretokens import Lookup
-from .support import hint_if_few, keep, workers_find_package
+from .support import hint_if_small, keep, text_key, without, workers_find_package
+from .words import mixed, word_hashes
 
 TREES = 12  # each starts from a path of two chosen tokens
 CHOSEN = 2  # tokens chosen per node further down
@@ -46,35 +46,21 @@ BLOCK = 1024  # members of a large node's followers, and of those near them, tha
 LIKELY = 38  # equal four-bit values of 64 that a pair of similarity 0.8 (52 expected) keeps
 ALIKE = 55  # from this many on, a member of a large node is left to its pivot
 AROUND = ALIKE - (MINWISE - LIKELY)  # least a likely partner of such a member equals the pivot: differences add up
-FEW_IDS = 2_000_000
+BLOCK_SHINGLES = 1 << 20  # of the members of a wide node that meet in one task, twice
 
-_MASK = np.uint64((1 << 48) - 1)
-_M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _FACTORS = np.random.default_rng(20).integers(1, 1 << 63, MINWISE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-@functools.lru_cache(maxsize=1)
-def _word_hashes() -> Lookup:
-    return Lookup(lambda w: int.from_bytes(hashlib.blake2b(w, digest_size=8).digest(), "little"), 600_000)
-
-
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * _M1
-    x = (x ^ (x >> np.uint64(27))) * _M2
-    return x ^ (x >> np.uint64(31))
-
-
 def shingles(text: str, width: int) -> np.ndarray:
-    """Sorted distinct 48-bit hashes of the word shingles of a text."""
-    words = text.encode().lower().split()  # bytes: lowers A-Z and splits at ASCII white space only
-    hashes = np.fromiter(map(_word_hashes().__getitem__, words), np.uint64, len(words))
+    """Sorted distinct 64-bit hashes of the word shingles of a text."""
+    hashes = word_hashes(text.encode().lower())  # bytes: lowers A-Z only
     if not len(hashes):
         return hashes
     size = min(width, len(hashes))
     rolled = np.full(len(hashes) - size + 1, size, dtype=np.uint64)
     for k in range(size):
-        rolled = _mixed(rolled * np.uint64(3) + hashes[k : len(hashes) - size + 1 + k])
-    return np.unique(rolled & _MASK)
+        rolled = mixed(rolled * np.uint64(3) + hashes[k : len(hashes) - size + 1 + k])
+    return np.unique(rolled)
 
 
 def minwise(hashes: np.ndarray) -> np.ndarray:
@@ -85,18 +71,13 @@ def minwise(hashes: np.ndarray) -> np.ndarray:
     return (best >> np.uint64(32)).astype(np.uint32)
 
 
-def _packed(hashes: np.ndarray) -> bytes:
-    return hashes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
-
-
 def _unpacked(data: bytes) -> np.ndarray:
-    wide = np.zeros((len(data) // 6, 8), dtype=np.uint8)
-    wide[:, :6] = np.frombuffer(data, dtype=np.uint8).reshape(-1, 6)
-    return wide.view("<u8").ravel()
+    return np.frombuffer(data, dtype="<u8")
 
 
-def signed(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
-    """Per row: id, size of its set, digest, first path of each tree, sketch and the set itself."""
+def signed(docs: DataFrame, id_col: str, text_col: str, width: int, keyed: bool = False) -> DataFrame:
+    """Per row: id, text_key (null unless `keyed`), size of its set, digest, first path of each tree, sketch
+    and the set itself."""
     workers_find_package(docs.sparkSession)
 
     def sign(batches):
@@ -104,7 +85,7 @@ def signed(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame
             sizes, keys, values, sketches, sets = [], [], [], [], []
             for text in batch.column(1).to_pylist():
                 own = shingles(text or "", width)
-                data = _packed(own)
+                data = own.astype("<u8").tobytes()
                 least = minwise(own)
                 sizes.append(len(own))
                 keys.append(hashlib.md5(data).digest() if len(own) else None)
@@ -117,14 +98,15 @@ def signed(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame
             offsets = np.arange(0, len(flat) + 1, TREES, dtype=np.int32)
             parts = np.array(sketches, dtype=np.int64).reshape(-1, 4)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()),
+                [batch.column(0), batch.column(2), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()),
                  pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
                  *(pa.array(parts[:, k]) for k in range(4)), pa.array(sets, pa.binary())],
-                names=["id", "n", "key", "paths", "s0", "s1", "s2", "s3", "shingles"],
+                names=["id", "text_key", "n", "key", "paths", "s0", "s1", "s2", "s3", "shingles"],
             )
 
-    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    schema = T.StructType([T.StructField("id", source.schema["id"].dataType)])
+    named = text_key(text_col) if keyed else F.lit(None).cast("string")
+    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), named.alias("text_key"))
+    schema = T.StructType([T.StructField("id", source.schema["id"].dataType)]).add("text_key", T.StringType())
     schema = schema.add("n", T.LongType()).add("key", T.BinaryType()).add("paths", T.ArrayType(T.LongType()))
     for k in range(4):
         schema = schema.add(f"s{k}", T.LongType())
@@ -222,13 +204,19 @@ def _proposals(nodes: DataFrame, percent: int) -> DataFrame:
 
 
 def _exhaustive(members: DataFrame, label: DataFrame | None, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (u, v) that connect members (node, c) of the same node further, by their full sets."""
+    """Links (u, v) that connect members (node, c) of the same node further, by their full sets.
+
+    Members of a node meet in blocks of about BLOCK_SHINGLES, all blocks with all, so a task holds the sets
+    of two blocks, however long the texts are.
+    """
     members = _with_components(members, label)
     apart = members.groupBy("node").agg(F.min("component").alias("a"), F.max("component").alias("b"))
     members = keep(members.join(apart.where("a <> b").select("node"), "node"), "members")
 
     def connect(table: pa.Table) -> pa.Table:
         c, label = table.column("c").to_numpy(), table.column("component").to_numpy().copy()
+        block = table.column("block").to_numpy()
+        one_block = (block == block[0]).all()
         own = [_unpacked(x.as_py()) for chunk in table.column("shingles").chunks for x in chunk]
         n = np.array([len(x) for x in own])
         values, flat = np.unique(np.concatenate(own), return_inverse=True)
@@ -236,8 +224,10 @@ def _exhaustive(members: DataFrame, label: DataFrame | None, sets: DataFrame, pe
         u, v = [], []
         for i in range(len(c)):
             other = label != label[i]
+            if not one_block:
+                other &= block != block[i]  # members of one block meet in a task of theirs
             if not other.any():
-                break
+                continue
             marked = np.zeros(len(values), dtype=bool)
             marked[flat[starts[i] : starts[i] + n[i]]] = True
             both = np.add.reduceat(marked[flat], starts, dtype=np.int64)
@@ -250,9 +240,15 @@ def _exhaustive(members: DataFrame, label: DataFrame | None, sets: DataFrame, pe
         return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
 
     needed = keep(members.select("c").distinct(), "needed")
-    own = sets.join(hint_if_few(needed, FEW_IDS), "c")
-    joined = members.join(own, "c").select("node", "c", "component", "shingles")
-    return joined.groupBy("node").applyInArrow(connect, "u long, v long")
+    own = keep(sets.join(hint_if_small(needed), "c"), "sets")
+    sized = members.join(own.select("c", "n"), "c")
+    blocks = F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias("blocks")
+    dealt = sized.join(sized.groupBy("node").agg(blocks), "node")
+    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("c", F.lit("part")), F.col("blocks")).cast("int"))
+    met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    task = F.xxhash64("node", F.least("block", "other"), F.greatest("block", "other"))
+    joined = met.select(task.alias("node"), "c", "component", "block").join(own.select("c", "shingles"), "c")
+    return joined.groupBy("node").applyInArrow(connect, "u long, v long").distinct()
 
 
 def _with_components(members: DataFrame, label: DataFrame | None) -> DataFrame:
@@ -392,7 +388,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     ends = pairs.select(F.col("u").alias("c")).unionByName(pairs.select(F.col("v").alias("c")))
     needed = keep(ends.distinct(), "needed")
-    own = keep(sets.join(hint_if_few(needed, FEW_IDS), "c"), "sets")
+    own = keep(sets.join(hint_if_small(needed), "c"), "sets")
     joined = pairs.join(own.select(F.col("c").alias("u"), F.col("shingles").alias("a")), "u").join(
         own.select(F.col("c").alias("v"), F.col("shingles").alias("b")), "v"
     )
@@ -447,16 +443,15 @@ def linked(classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame | Non
     return label if last.isEmpty() else components(links.unionByName(last))
 
 
-def near_duplicates(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80
-) -> DataFrame:
-    """Per row: id, n_shingles, component_id (smallest id reachable by links), kept."""
-    rows = keep(signed(docs, id_col, text_col, width).withColumn("row", F.monotonically_increasing_id()), "signed")
+def _grouped(docs: DataFrame, id_col: str, text_col: str, width: int, percent: int, keyed: bool) -> DataFrame:
+    """Per row: id, text_key (null unless `keyed`), n, component_id."""
+    rows = signed(docs, id_col, text_col, width, keyed).withColumn("row", F.monotonically_increasing_id())
+    rows = keep(rows, "signed")
     some = [F.any_value(c).alias(c) for c in ("n", "paths", *SKETCH)]
     classes = keep(
         rows.where("n > 0").groupBy("key").agg(F.min("row").alias("c"), F.min("id").alias("least_id"), *some), "classes"
     )
-    sets = rows.select(F.col("row").alias("c"), "shingles")
+    sets = rows.select(F.col("row").alias("c"), "n", "shingles")
     label = linked(classes.drop("key", "least_id"), sets, percent)
     named = classes.select("key", "c", "least_id")
     if label is not None:
@@ -464,22 +459,39 @@ def near_duplicates(
     named = named.withColumn("component", F.coalesce("component", "c") if label is not None else F.col("c"))
     least = named.groupBy("component").agg(F.min("least_id").alias("component_id"))
     by_key = named.join(least, "component").select("key", "component_id")
-    done = rows.select("id", "n", "key").join(by_key, "key", "left").withColumn(
-        "component_id", F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id"))
-    )
-    return done.select(
+    return rows.select("id", "text_key", "n", "key").join(by_key, "key", "left").select(
+        "id", "text_key", "n", F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id")
+    )
+
+
+def near_duplicates(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80
+) -> DataFrame:
+    """Per row: id, n_shingles, component_id (smallest id reachable by links), kept."""
+    return _grouped(docs, id_col, text_col, width, percent, keyed=False).select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id",
         F.col("id").eqNullSafe(F.col("component_id")).alias("kept"),
     )
 
 
 def distinct_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5) -> DataFrame:
-    """The rows kept: one of each group of near-duplicates. Rows without an id stay, but for equal rows."""
-    found = keep(near_duplicates(docs, id_col, text_col, width).where(F.col(id_col).isNotNull()), "found")
-    if not found.groupBy(id_col).count().where("count > 1").isEmpty() or not docs.where(F.col(id_col).isNull()).isEmpty():
+    """The rows kept: one of each group of near-duplicates, that with the smallest id.
+
+    Rows are told apart by id and text: where an id occurs with several texts, each text is judged by its
+    own group, and of texts of one group under the group's id that with the smallest digest stays. Equal
+    rows (id and text) count once; rows without an id stay.
+    """
+    found = _grouped(docs, id_col, text_col, width, 80, keyed=True).where(F.col("id").isNotNull())
+    found = keep(found.select("id", "text_key", "n", "component_id"), "found")
+    dropped = found.where(F.col("id") != F.col("component_id")).select("id", "text_key")
+    repeated = not found.groupBy("id").count().where("count > 1").isEmpty()
+    if repeated or not docs.where(F.col(id_col).isNull()).isEmpty():
         docs = docs.dropDuplicates([id_col, text_col])
-    dropped = keep(found.where("not kept").select(id_col).distinct(), "dropped")
-    return docs.join(hint_if_few(dropped, FEW_IDS), id_col, "left_anti").select(docs.columns)
+    if repeated:
+        own = found.where((F.col("id") == F.col("component_id")) & (F.col("n") > 0)).select("id", "text_key").distinct()
+        first = own.groupBy("id").agg(F.min("text_key").alias("first"))
+        dropped = dropped.unionByName(own.join(first, "id").where("text_key <> first").select("id", "text_key"))
+    return without(docs, dropped.withColumnRenamed("id", id_col), id_col, text_col)
 
 
 def op5(docs: DataFrame) -> DataFrame:

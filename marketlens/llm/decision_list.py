@@ -26,8 +26,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .chosen_path import _mixed, _word_hashes
 from .support import keep, text_key, without, workers_find_package
+from .words import mixed, word_hashes
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_capitals", "n_marks", "n_lines", "n_distinct")
 SYMBOLS = "#*$%&|<>"
@@ -45,14 +45,13 @@ class Covering:
 
 def measures_of(text: str) -> list[int]:
     """The counts of one text, in the order of COUNTS."""
-    words = text.encode().split()  # at ASCII white space only
-    n = len(words)
+    hashes = word_hashes(text.encode())  # of words between ASCII white space
+    n = len(hashes)
     blanks = sum(map(text.count, " \t\n\x0b\x0c\r"))
     lines = [line for line in text.split("\n") if line.strip(" \t\x0b\x0c\r")]
-    hashes = np.fromiter(map(_word_hashes().__getitem__, words), np.uint64, n)
     repeated = 0
     if n > 3:
-        windows = _mixed(_mixed(_mixed(hashes[:-2]) + hashes[1:-1]) + hashes[2:])
+        windows = mixed(mixed(mixed(hashes[:-2]) + hashes[1:-1]) + hashes[2:])
         order = np.argsort(windows)
         equal = windows[order[1:]] == windows[order[:-1]]
         again = np.zeros(n - 2, dtype=bool)

@@ -17,7 +17,6 @@ read.
 
 from __future__ import annotations
 
-import functools
 import zlib
 
 import numpy as np
@@ -29,8 +28,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .pretokens import SPECIAL, SPECIAL_ID, chunk_lookup, over_chunks, vocabulary
-from .support import hint_if_few, keep, workers_find_package
+from .pretokens import SPECIAL, SPECIAL_ID, ranks_of
+from .support import held, hint_if_small, keep, workers_find_package
 
 VOCABULARY = "byte_bpe_50k.tiktoken"  # the ranks of byte_bpe_50k.json
 WINDOW = 2048
@@ -46,9 +45,8 @@ class Encoder:
         import public_tokenizers
 
         self.encoding = tiktoken.Encoding(
-            name, pat_str=public_tokenizers.PATTERN, mergeable_ranks=vocabulary(name).rank, special_tokens={}
+            name, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks_of(name), special_tokens={}
         )
-        self.chunks = chunk_lookup(self._ordinary)
 
     def _ordinary(self, text: str) -> bytes:
         return np.array(self.encoding.encode_ordinary(text), dtype="<u4").tobytes()
@@ -56,12 +54,11 @@ class Encoder:
     def encode(self, text: str) -> bytes:
         border = np.array([SPECIAL_ID], dtype="<u4").tobytes()
         parts = text.split(SPECIAL) if SPECIAL in text else [text]
-        return border.join(over_chunks(p, self.chunks, self._ordinary) if p else b"" for p in parts)
+        return border.join(map(self._ordinary, parts))
 
 
-@functools.lru_cache(maxsize=1)
 def encoder(name: str) -> Encoder:
-    return Encoder(name)
+    return held(("packing", name), lambda: Encoder(name))
 
 
 def measured(docs: DataFrame, id_col: str, text_col: str, window: int, vocabulary_name: str) -> DataFrame:
@@ -242,7 +239,7 @@ def pack(
     ids = rows.select("part", "row", "tail_ids")
     bytes_before = (4 * F.col("cut")).cast("int")
     cut = (
-        ids.join(hint_if_few(crossing, 1_000_000), ["part", "row"])
+        ids.join(hint_if_small(crossing), ["part", "row"])
         .select("id", "doc_tokens", start, "at", F.inline(F.array(
             F.struct(F.lit(0).cast("long").alias("skip"), F.expr("substring(tail_ids, 1, cast(4 * cut as int))").alias("ids")),
             F.struct(F.col("cut").alias("skip"), F.col("tail_ids").substr(bytes_before + 1, F.lit(4 * window)).alias("ids")),

@@ -136,3 +136,30 @@ def test_components(spark):
     assert {r.id: r.component for r in rows} == {
         **dict.fromkeys(range(61), 0), **dict.fromkeys(range(100, 140), 100), **dict.fromkeys((298, 299, 300), 298)
     }
+
+
+def test_an_id_with_two_texts_loses_none(spark):
+    rows = [(1, "text one of two words"), (5, "text one of two words"), (5, "nothing like it at all"), (7, "lone text"),
+            (7, "lone text"), (9, "a b c d e f"), (9, "A b c d e f"), (None, "lone text")]
+    df = spark.createDataFrame([(*r, "q", 1) for r in rows], "doc_id long, text string, text_key string, key int")
+    kept = chosen_path.distinct_documents(df)
+    assert kept.columns == df.columns
+    got = sorted(((r.doc_id, r.text) for r in kept.collect()), key=str)
+    assert [x for x in got if x[0] != 9] == [(1, rows[0][1]), (5, rows[2][1]), (7, "lone text"), (None, "lone text")]
+    assert len([x for x in got if x[0] == 9]) == 1
+
+
+def test_long_texts_in_a_wide_node_meet_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(chosen_path, "BLOCK_SHINGLES", 500)
+    monkeypatch.setattr(chosen_path, "SMALL_NODE", 4)
+    rng = random.Random(11)
+    base = [f"w{k}" for k in range(100)]
+    texts = []
+    for _ in range(150):
+        words = list(base)
+        for _ in range(rng.randrange(0, 16)):
+            words[rng.randrange(100)] = f"x{rng.randrange(10**6)}"
+        texts.append(" ".join(words))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = chosen_path.near_duplicates(df, width=2).collect()
+    assert set(map(tuple, rows)) == brute_force(list(enumerate(texts)), 2)
