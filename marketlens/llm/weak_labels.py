@@ -20,7 +20,9 @@ no rows. Only the columns named as parameters are read; `clean_documents` return
 from __future__ import annotations
 
 import bisect
+import functools
 import itertools
+import sys
 from collections import Counter
 from dataclasses import dataclass
 
@@ -41,7 +43,7 @@ _WORD = regex.compile(r"\p{L}+")
 class Supervision:
     labelled_rows: int = 40_000  # at most about so many labelled rows: four fifths make the lexicons, one anchors
     classifier_rows: int = 40_000  # at most so many rows train the classifier
-    terms: int = 6_000  # at most so many terms in all lexicons
+    start_vectors: int = 20_000  # most frequent vote vectors that the label model starts from
     #: Lower bounds (95 %) of the toxic share among a term's texts: one lexicon per kind of term and step.
     precision: tuple[float, ...] = (0.55, 0.65, 0.8, 0.9)
     correlated: float = 0.3  # correlation given the label from which voters share a voice
@@ -56,6 +58,23 @@ KINDS = ("word", "start6", "start5", "start4")
 PATTERNS = ("shouting", "exclaiming", "repeating", "nothing found")
 
 
+@functools.lru_cache(maxsize=1)
+def _kinds_of_characters() -> np.ndarray:
+    """Per code point: 1 for a letter, 3 for a capital one."""
+    return np.array([c.isalpha() + 2 * (c.isalpha() and c.isupper()) for c in map(chr, range(sys.maxunicode + 1))], dtype=np.uint8)
+
+
+def letters(text: str) -> tuple[int, int]:
+    """How many letters a text has, and how many of them are capital; by blocks, so in bounded memory."""
+    if text.islower():
+        return 1, 0  # has letters, none of them capital
+    kinds, counts = _kinds_of_characters(), np.zeros(4, dtype=np.int64)
+    for at in range(0, len(text), 1 << 16):
+        block = np.frombuffer(text[at : at + (1 << 16)].encode("utf-32-le", "surrogatepass"), dtype="<u4")
+        counts += np.bincount(kinds[block], minlength=4)
+    return int(counts[1] + counts[3]), int(counts[3])
+
+
 def terms_of(word: str) -> list[str]:
     """The terms a word can match: itself and its beginnings, by kind."""
     out = [f"0{word}"]
@@ -82,7 +101,7 @@ def _mined(labelled: DataFrame, rule: Supervision, known_terms: dict[str, int],
         return tuple(t for w in words for t in terms_of(w) if int(t[0]) in range(len(KINDS))[kinds])
 
     def count(batches):
-        known = Lookup(of_chunk, 200_000)
+        known = Lookup(of_chunk, 150_000)
         for batch in batches:
             texts, labels = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             seen = Counter()
@@ -107,8 +126,7 @@ def _mined(labelled: DataFrame, rule: Supervision, known_terms: dict[str, int],
     best = (
         counts.groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
         .withColumn("bound", bound).where((F.col("toxic") > 0) & (F.col("bound") >= rule.precision[0]))
-        .orderBy(F.desc("toxic"), "term").limit(rule.terms)
-        .collect()
+        .orderBy("term").collect()  # only terms of several toxic texts of the bounded sample get that far
     )
     return {r.term: int(r.term[0]) * rule.lists + bisect.bisect(rule.precision, r.bound) - 1 for r in best}
 
@@ -116,7 +134,7 @@ def _mined(labelled: DataFrame, rule: Supervision, known_terms: dict[str, int],
 def features(docs: DataFrame, id_col: str, text_col: str, lexicon: dict[str, int], rule: Supervision) -> DataFrame:
     """Per row: id, text_key, the votes as text and the classifier's inputs."""
     n_lists = len(KINDS) * rule.lists
-    broadcast = docs.sparkSession.sparkContext.broadcast(lexicon)  # at most rule.terms entries
+    broadcast = docs.sparkSession.sparkContext.broadcast(lexicon)  # terms of a bounded sample
     workers_find_package(docs.sparkSession)
 
     def lists_of(terms: dict[str, int]):
@@ -125,7 +143,7 @@ def features(docs: DataFrame, id_col: str, text_col: str, lexicon: dict[str, int
             found = (next((terms[t] for t in terms_of(w) if t in terms), None) for w in _WORD.findall(chunk))
             return tuple(k for k in found if k is not None)
 
-        return Lookup(of_chunk, 500_000)
+        return Lookup(of_chunk, 200_000)
 
     def describe(batches):
         known = lists_of(broadcast.value)
@@ -136,8 +154,8 @@ def features(docs: DataFrame, id_col: str, text_col: str, lexicon: dict[str, int
                 chunks = text.lower().split()
                 hits = Counter(itertools.chain.from_iterable(filter(None, map(known.__getitem__, chunks))))
                 n = max(1, len(chunks))
-                capitals = sum(c.isupper() for c in itertools.islice(filter(str.isalpha, text), 0, None, 7))
-                shouting = capitals * 7 / max(7, len(text)) > 0.5
+                n_letters, n_capitals = letters(text)
+                shouting = 2 * n_capitals > n_letters
                 exclaiming = text.count("!") > 0.2 * n
                 repeating = len(chunks) > 20 and len(set(chunks)) < 0.3 * n
                 patterns = [shouting, exclaiming, repeating, not hits]
@@ -177,6 +195,49 @@ def coded(votes: list[str]) -> np.ndarray:
     return np.array([["-0+".index(v) for v in row] for row in votes], dtype=int).reshape(len(votes), -1)
 
 
+def statistics(votes: np.ndarray, counts: np.ndarray, belief: np.ndarray) -> np.ndarray:
+    """All that a step of the label model needs to know of vote vectors, as sums, so that parts add up:
+    votes by voter of toxic and clean texts, products of two voters' votes, and sums of the belief."""
+    one_hot = np.stack([votes == v for v in range(3)], axis=2).astype(float)
+    value = votes - 1.0
+    return np.concatenate([
+        np.einsum("r,rjv->jv", counts * belief, one_hot).ravel(),
+        np.einsum("r,rjv->jv", counts * (1 - belief), one_hot).ravel(),
+        ((value * counts[:, None]).T @ value).ravel(),
+        [counts.sum(), (counts * belief).sum(), (counts * belief * belief).sum()],
+    ])
+
+
+def estimated(sums: np.ndarray, n: int, prior: float, rule: Supervision, shared: bool) -> LabelModel:
+    """The model that follows from the statistics; `shared` lets correlated voters share a voice."""
+    toxic, clean = sums[: 3 * n].reshape(n, 3), sums[3 * n : 6 * n].reshape(n, 3)
+    products, (total, b, bb) = sums[6 * n : -3].reshape(n, n), sums[-3:]
+    tables = [t + 0.1 for t in (toxic, clean)]
+    tables = [t / t.sum(axis=1, keepdims=True) for t in tables]
+    log_odds = np.log(tables[0]) - np.log(tables[1])
+    # Agreement that the label does not explain: the products of the votes less their means, given the label.
+    sign = np.array([-1.0, 0.0, 1.0])
+    of_toxic, of_clean = tables[0] @ sign, tables[1] @ sign
+    apart, with_belief, all_votes = of_toxic - of_clean, toxic @ sign, (toxic + clean) @ sign
+
+    def both(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        return np.outer(x, y) + np.outer(y, x)
+
+    spread = (
+        products - both(all_votes, of_clean) + total * np.outer(of_clean, of_clean)
+        - both(with_belief, apart) + b * both(of_clean, apart) + bb * np.outer(apart, apart)
+    ) / max(total, 1.0)
+    scale = np.sqrt(np.maximum(np.diag(spread), 1e-9))
+    correlation = spread / np.outer(scale, scale)
+    voice = np.ones(n)
+    if shared:
+        tied = np.where(correlation >= rule.correlated, correlation, 0)
+        np.fill_diagonal(tied, 1)
+        voice = 1 / tied.sum(axis=1)
+    accuracy = prior * tables[0][:, 2] + (1 - prior) * tables[1][:, 0]
+    return LabelModel(prior, log_odds, voice, accuracy, correlation)
+
+
 def label_model(
     votes: np.ndarray, counts: np.ndarray, prior: float, rule: Supervision, truth: np.ndarray | None = None, steps: int = 60
 ) -> LabelModel:
@@ -187,33 +248,13 @@ def label_model(
     """
     truth = np.full(len(votes), np.nan) if truth is None else truth
     known = ~np.isnan(truth)
-    n = votes.shape[1]
-    one_hot = np.stack([votes == v for v in range(3)], axis=2).astype(float)
     lists = len(KINDS) * rule.lists
     found = (votes[:, :lists] == 2).sum(axis=1)
     belief = np.where(found >= 2, 0.95, np.where(found == 1, 0.6, 0.02))
     belief[known] = truth[known]
-    voice = np.ones(n)
     model = None
     for step in range(steps):
-        tables = []
-        for weight in (counts * belief, counts * (1 - belief)):
-            table = np.einsum("r,rjv->jv", weight, one_hot) + 0.1
-            tables.append(table / table.sum(axis=1, keepdims=True))
-        log_odds = np.log(tables[0]) - np.log(tables[1])
-        # Agreement that the label does not explain: correlation of the residual votes.
-        value = votes - 1.0
-        means = [t @ np.array([-1.0, 0.0, 1.0]) for t in tables]
-        rest = value - belief[:, None] * means[0] - (1 - belief[:, None]) * means[1]
-        spread = np.einsum("r,ri,rj->ij", counts, rest, rest) / counts.sum()
-        scale = np.sqrt(np.maximum(np.diag(spread), 1e-9))
-        correlation = spread / np.outer(scale, scale)
-        if step >= 5:
-            tied = np.maximum(0, np.where(correlation >= rule.correlated, correlation, 0))
-            np.fill_diagonal(tied, 1)
-            voice = 1 / tied.sum(axis=1)
-        accuracy = prior * tables[0][:, 2] + (1 - prior) * tables[1][:, 0]
-        model = LabelModel(prior, log_odds, voice, accuracy, correlation)
+        model = estimated(statistics(votes, counts, belief), votes.shape[1], prior, rule, step >= 5)
         after = np.where(known, truth, model.posterior(votes))
         if step > 8 and np.max(np.abs(after - belief)) < 1e-6:
             break
@@ -221,6 +262,45 @@ def label_model(
     return model
 
 
+def label_model_of(patterns: DataFrame, prior: float, rule: Supervision, steps: int = 60) -> LabelModel:
+    """The label model of all rows of `patterns` (votes, toxic, count), however many there are.
+
+    It starts from the vectors of labelled rows and the most frequent others, which saves steps; each
+    further step sums the statistics over all vectors where they lie, until the model no longer changes.
+    """
+    frequent = patterns.where("toxic IS NULL").orderBy(F.desc("count"), "votes").limit(rule.start_vectors)
+    some = patterns.where("toxic IS NOT NULL").unionByName(frequent).orderBy("votes", "toxic").collect()
+    votes, counts = coded([r.votes for r in some]), np.array([r["count"] for r in some], dtype=float)
+    model = label_model(votes, counts, prior, rule, np.array([r.toxic for r in some], dtype=float), steps)
+    for _ in range(steps):
+        sums = summed(patterns, model)
+        following = estimated(sums, len(model.voice), prior, rule, shared=True)
+        change = np.abs(following.log_odds - model.log_odds).max()
+        model = following
+        if change < 1e-4:
+            break
+    return model
+
+
+def summed(patterns: DataFrame, model: LabelModel) -> np.ndarray:
+    """The statistics of all vote vectors under a model; the driver gets one number per statistic."""
+
+    def partial(batches):
+        for batch in batches:
+            votes = coded(batch.column(0).to_pylist())
+            truth = batch.column(1).to_numpy(zero_copy_only=False).astype(float)
+            counts = batch.column(2).to_numpy(zero_copy_only=False).astype(float)
+            if len(votes):
+                belief = np.where(np.isnan(truth), model.posterior(votes), truth)
+                sums = statistics(votes, counts, belief)
+                yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(sums))), pa.array(sums)], names=["place", "value"])
+
+    workers_find_package(patterns.sparkSession)
+    parts = patterns.select("votes", F.col("toxic").cast("double"), "count").mapInArrow(partial, "place long, value double")
+    rows = parts.groupBy("place").agg(F.sum("value").alias("value")).orderBy("place").collect()
+    return np.array([r.value for r in rows])
+
+
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 30) -> np.ndarray:
     """Weights of a linear classifier on soft labels, the last one its constant; Newton steps."""
     x = np.hstack([x, np.ones((len(x), 1))])
@@ -270,12 +350,8 @@ def scored(
     else:
         prior = labelled.agg(F.avg("toxic")).first()[0]
         learning = rows.where(~held_out("id")).join(F.broadcast(anchors), "id", "left")
-        # Lists are disjoint sets of terms: vote vectors repeat, and their number is bounded by the voters.
-        patterns = learning.groupBy("votes", "toxic").count().orderBy(F.desc("count"), "votes", "toxic")
-        patterns = patterns.limit(200_000).collect()
-        votes, counts = coded([r.votes for r in patterns]), np.array([r["count"] for r in patterns], dtype=float)
-        truth = np.array([r.toxic for r in patterns], dtype=float)
-        model = label_model(votes, counts, min(0.9, max(0.01, prior)), rule, truth)
+        patterns = keep(learning.groupBy("votes", "toxic").count(), "patterns")
+        model = label_model_of(patterns, min(0.9, max(0.01, prior)), rule)
         sample = _some(learning, rule.classifier_rows, "text_key").select("votes", "inputs", "toxic").collect()
         x, truth = np.array([r.inputs for r in sample]), np.array([r.toxic for r in sample], dtype=float)
         belief = np.where(np.isnan(truth), model.posterior(coded([r.votes for r in sample])), truth)

@@ -51,3 +51,46 @@ def test_edge_rows(spark):
     assert weak_labels.op7(docs.limit(0), labels).count() == 0
     none = weak_labels.op7(docs, labels.limit(0)).collect()
     assert len(none) == len(rows) and all(r.score == 0 for r in none)
+
+
+def test_model_of_many_vectors_is_that_of_all_at_once(spark):
+    """Rare vectors, labelled ones among them, count as much as they occur, wherever the model starts."""
+    rng = np.random.default_rng(6)
+    rule = weak_labels.Supervision(precision=(0.5, 0.8), start_vectors=15)
+    truth = rng.random(3000) < 0.3
+    votes = np.where(truth[:, None], np.where(rng.random((3000, 12)) < 0.5, 2, 1), np.where(rng.random((3000, 12)) < 0.06, 2, 1))
+    text = ["".join("-0+"[v] for v in row) for row in votes]
+    label = [int(t) if k % 40 == 0 else None for k, t in enumerate(truth)]
+    rows = spark.createDataFrame(list(zip(text, label)), "votes string, toxic int")
+    patterns = rows.groupBy("votes", "toxic").count()
+    assert patterns.count() > 500
+    model = weak_labels.label_model_of(patterns, 0.3, rule)
+    whole = patterns.collect()
+    known = np.array([r.toxic for r in whole], dtype=float)
+    plain = weak_labels.label_model(weak_labels.coded([r.votes for r in whole]), np.array([float(r["count"]) for r in whole]), 0.3, rule, known)
+    assert np.abs(model.log_odds - plain.log_odds).max() < 1e-2
+    assert ((model.posterior(votes) > 0.5) == truth).mean() > 0.95
+
+
+def test_statistics_agree_with_plain_sums():
+    rng = np.random.default_rng(7)
+    votes, counts, belief = rng.integers(0, 3, (40, 5)), rng.integers(1, 9, 40).astype(float), rng.random(40)
+    rule = weak_labels.Supervision(precision=(0.5,))
+    model = weak_labels.estimated(weak_labels.statistics(votes, counts, belief), 5, 0.2, rule, True)
+    tables = []
+    for weight in (counts * belief, counts * (1 - belief)):
+        table = np.array([[weight[votes[:, j] == v].sum() for v in range(3)] for j in range(5)]) + 0.1
+        tables.append(table / table.sum(axis=1, keepdims=True))
+    means = [t @ np.array([-1, 0, 1]) for t in tables]
+    rest = votes - 1.0 - belief[:, None] * means[0] - (1 - belief[:, None]) * means[1]
+    spread = (rest * counts[:, None]).T @ rest / counts.sum()
+    assert np.allclose(model.correlation, spread / np.sqrt(np.outer(np.diag(spread), np.diag(spread))))
+
+
+def test_all_letters_count(spark):
+    for text, expected in [("", (0, 0)), ("ABc é1!", (4, 2)), ("Hello there", (10, 1)), ("ÀÉ" * 50_000 + "x", (100_001, 100_000))]:
+        assert weak_labels.letters(text) == expected
+    docs = spark.createDataFrame([(1, "Hello there"), (2, "WHAT a DAY OF"), (3, "xxxxxxA" * 30)], "doc_id long, text string")
+    rows = weak_labels.features(docs, "doc_id", "text", {}, weak_labels.Supervision()).collect()
+    shouting = len(weak_labels.KINDS) * weak_labels.Supervision().lists
+    assert {r.id: r.votes[shouting] for r in rows} == {1: "0", 2: "+", 3: "0"}
