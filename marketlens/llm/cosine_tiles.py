@@ -1,15 +1,16 @@
 """Near-duplicate vectors by PCA-ordered tiled comparison (operator 8).
 
 Unit vectors are turned into the basis of their principal components, which leaves every cosine as it
-is. Vectors are laid into tiles along the first component; two tiles are compared only if the boxes
-around them come near enough. Within a pair of tiles the products of the leading components are added
+is. Vectors are laid into tiles by a grid over the first components; two tiles are compared only if the
+boxes around them come near enough. Within a pair of tiles the products of the leading components are added
 first; by Cauchy-Schwarz the rest of a product is at most the product of the norms of the remaining
 components, so pairs that cannot reach the threshold are given up, and the others go on.
 
 A task holds two tiles of bounded size. It does not return pairs: each vector's number of links, and
 those links that connect what the task has not yet seen connected. Equal vectors are one class from the
 start, with a weight. The basis is fitted on a bounded sample (any orthogonal basis gives right results,
-a good one is faster); everything is compared in double precision.
+a good one is faster); everything is compared in double precision, and a pair so near the threshold that
+the turned basis cannot decide is compared again as its vectors came.
 
 Defined results: vectors that are null, empty, zero, or hold null or non-finite components link with
 nothing; shorter vectors count as padded with zeros; repeated rows are equal vectors; a null id never
@@ -33,7 +34,9 @@ from .support import keep, workers_find_package
 THRESHOLD = 0.9
 TILE = 4096  # vectors of a tile
 BLOCK = 1024  # vectors compared at once
+AXES = 3  # components along which tiles are cut
 SAMPLE = 20_000  # vectors that fit the basis
+SAMPLE_BYTES = 64 << 20  # that they fill at most
 SLACK = 1e-9  # of the bounds, against rounding
 
 
@@ -71,6 +74,7 @@ class Compared:
         self.shift = 0 if same else len(a)
         self.label = np.arange(len(a) + (0 if same else len(b)))
         self.forest: list[tuple[int, int]] = []
+        self.unsure: list[tuple[int, int]] = []
         self.pauses = stages(a.shape[1])
 
     def suffix(self, x: np.ndarray, at: int) -> np.ndarray:
@@ -99,9 +103,13 @@ class Compared:
             else:
                 product = product + np.einsum("ij,ij->i", x[rows, done:pause], y[columns, done:pause])
             done = pause
-        good = product >= self.threshold
         if self.same and i == j:
-            good &= rows < columns
+            once = rows < columns
+            rows, columns, product = rows[once], columns[once], product[once]
+        # Rounding in the turned basis may not decide: such pairs are compared again as they came.
+        unsure = np.abs(product - self.threshold) <= SLACK
+        self.unsure += zip((rows[unsure] + i).tolist(), (columns[unsure] + j + self.shift).tolist())
+        good = (product >= self.threshold) & ~unsure
         return rows[good] + i, columns[good] + j
 
     def connect(self, u: np.ndarray, v: np.ndarray) -> None:
@@ -159,8 +167,9 @@ def _tiles(classes: DataFrame, total: int) -> DataFrame:
     """One row per tile: its number, box, and members as packed arrays. A tile has a bounded size."""
     spark = classes.sparkSession
     dims = classes.agg(F.max(F.octet_length("unit"))).first()[0] // 8
-    share = max(1, total // SAMPLE)
-    some = classes.where(F.pmod(F.xxhash64("c"), F.lit(share)) == 0).select("unit").limit(2 * SAMPLE).collect()
+    wanted = max(1, min(SAMPLE, SAMPLE_BYTES // (8 * dims)))
+    share = max(1, total // wanted)
+    some = classes.where(F.pmod(F.xxhash64("c"), F.lit(share)) == 0).select("unit").limit(2 * wanted).collect()
     padded = lambda data: np.pad(v := np.frombuffer(data), (0, dims - len(v)))
     turn = spark.sparkContext.broadcast(basis(np.stack([padded(r.unit) for r in some]) if some else np.zeros((0, dims))))
 
@@ -168,17 +177,25 @@ def _tiles(classes: DataFrame, total: int) -> DataFrame:
         for batch in batches:
             turned = np.stack([padded(x) for x in batch.column(2).to_pylist()]) @ turn.value
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(turned[:, 0]), pa.array([x.tobytes() for x in turned], pa.binary())],
-                names=["c", "weight", "first", "turned"],
+                [batch.column(0), batch.column(1), pa.array(turned[:, :AXES].tolist(), pa.list_(pa.float64())),
+                 pa.array([x.tobytes() for x in turned], pa.binary())],
+                names=["c", "weight", "leading", "turned"],
             )
 
     rotated = keep(classes.select("c", "weight", "unit").mapInArrow(
-        rotate, "c long, weight long, first double, turned binary"), "turned")
-    parts = max(1, -(-total // TILE))
-    cuts = rotated.approxQuantile("first", [k / parts for k in range(1, parts)], 0.2 / parts) if parts > 1 else []
-    part = F.size(F.filter(F.array(*map(F.lit, sorted(set(cuts)))), lambda x: x <= F.col("first"))) if cuts else F.lit(0)
-    rotated = rotated.withColumn("part", part)
-    # Many vectors at one place of the first component share a part: deal those out further.
+        rotate, "c long, weight long, leading array<double>, turned binary"), "turned")
+    # A grid over the leading components, so that the cuts along each are few and boxes exclude much.
+    axes = min(AXES, dims)
+    parts = max(1, round((-(-total // TILE)) ** (1 / axes)))
+    parted = rotated.select("*", *(F.get("leading", F.lit(k)).alias(f"x{k}") for k in range(axes)))
+    shares = [k / parts for k in range(1, parts)]
+    cuts = parted.approxQuantile([f"x{k}" for k in range(axes)], shares, 0.2 / parts) if parts > 1 else [[]] * axes
+    place = F.lit(0)
+    for k, found in enumerate(cuts):
+        for cut in sorted(set(found)):
+            place = place + F.when(F.col(f"x{k}") >= cut, parts**k).otherwise(0)
+    rotated = parted.withColumn("part", place).select("c", "weight", "turned", "part")
+    # Many vectors at one place of the grid share a part: deal those out further.
     sizes = rotated.groupBy("part").agg(F.ceil(F.count("*") / TILE).alias("splits"))
     dealt = rotated.join(F.broadcast(sizes), "part").withColumn("split", F.pmod(F.xxhash64("c"), "splits"))
 
@@ -212,6 +229,24 @@ def _near(tiles: DataFrame, threshold: float) -> DataFrame:
     return a.join(b, "cell").where((F.col("a") <= F.col("b")) & (apart <= reach * reach + SLACK)).select("a", "b").distinct()
 
 
+def _decided(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
+    """Of pairs (u, v) those linked by the product of their unit vectors as they came, with their weights."""
+
+    def compare(batches):
+        for batch in batches:
+            products = [
+                float(np.dot(x[: len(y)], y[: len(x)]))
+                for x, y in ((np.frombuffer(a), np.frombuffer(b)) for a, b in zip(*(batch.column(k).to_pylist() for k in (4, 5))))
+            ]
+            yield batch.filter(pa.array([p >= threshold for p in products], pa.bool_())).select([0, 1, 2, 3])
+
+    def side(s: str) -> DataFrame:
+        return classes.select(F.col("c").alias(s), F.col("weight").alias(f"weight_{s}"), F.col("unit").alias(f"unit_{s}"))
+
+    met = pairs.join(side("u"), "u").join(side("v"), "v").select("u", "v", "weight_u", "weight_v", "unit_u", "unit_v")
+    return met.mapInArrow(compare, "u long, v long, weight_u long, weight_v long")
+
+
 def near_duplicates(
     vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", threshold: float = THRESHOLD
 ) -> DataFrame:
@@ -240,21 +275,31 @@ def near_duplicates(
                     everyone = ids[0] if same else np.concatenate(ids)
                     counted = found.links[0] + found.links[1] if same else np.concatenate(found.links)
                     linked = np.flatnonzero(counted)
-                    u = everyone[[p for p, _ in found.forest]] if found.forest else np.array([], "<i8")
-                    v = everyone[[q for _, q in found.forest]] if found.forest else np.array([], "<i8")
+                    ends = np.array(found.forest + found.unsure, dtype=np.int64).reshape(-1, 2)
+                    u, v = everyone[ends[:, 0]], everyone[ends[:, 1]]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.concatenate([everyone[linked], u])),
                          pa.array([None] * len(linked) + v.tolist(), pa.int64()),
-                         pa.array(counted[linked].tolist() + [None] * len(u), pa.int64())], names=["u", "v", "links"],
+                         pa.array(counted[linked].tolist() + [None] * len(u), pa.int64()),
+                         pa.array(np.arange(len(linked) + len(u)) >= len(linked) + len(found.forest))],
+                        names=["u", "v", "links", "unsure"],
                     )
 
         def side(s: str) -> DataFrame:
             return tiles.select(F.col("tile").alias(s), *(F.col(k).alias(f"{k}_{s}") for k in ("ids", "weights", "data")))
 
         joined = pairs.join(side("a"), "a").join(side("b"), "b")
-        found = keep(joined.mapInArrow(compare, "u long, v long, links long"), "links")
-        links = found.where("v is null").groupBy(F.col("u").alias("c")).agg(F.sum("links").alias("links"))
-        label = components(found.where("v is not null").select("u", "v"))
+        found = keep(joined.mapInArrow(compare, "u long, v long, links long, unsure boolean"), "links")
+        counted = found.where("v is null").select(F.col("u").alias("c"), "links")
+        edges = found.where("v is not null AND NOT unsure").select("u", "v")
+        unsure = found.where("unsure").select("u", "v")
+        if not unsure.isEmpty():
+            again = keep(_decided(unsure, classes, threshold), "decided")
+            edges = edges.unionByName(again.select("u", "v"))
+            for end, other in (("u", "weight_v"), ("v", "weight_u")):
+                counted = counted.unionByName(again.select(F.col(end).alias("c"), F.col(other).alias("links")))
+        links = counted.groupBy("c").agg(F.sum("links").alias("links"))
+        label = components(edges)
         named = named.join(links, "c", "left").join(label.withColumnRenamed("id", "c"), "c", "left")
     else:
         named = named.withColumns({"links": F.lit(0).cast("long"), "component": F.lit(None).cast("long")})
