@@ -29,7 +29,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .support import hint_if_few, keep, let, text_key
+from .support import hint_if_small, keep, let, text_key
 
 # The four patterns, written so that a match can't start inside a run it would have
 # started earlier in (or right after the match before), and no repetition is tried twice.
@@ -176,7 +176,7 @@ def distinct_texts(base: DataFrame) -> tuple[DataFrame, int]:
     rows left out are few."""
     firsts = keep(base.groupBy("text_key").agg(F.min("row").alias("row")).select("row"), "firsts")
     repeats = keep(base.select("row").join(firsts, "row", "left_anti"), "repeats")
-    return base.join(hint_if_few(repeats, FEW_ROWS), "row", "left_anti"), firsts.count()
+    return base.join(hint_if_small(repeats), "row", "left_anti"), firsts.count()
 
 
 def _has_email() -> Column:
@@ -253,7 +253,7 @@ def second_layer(base: DataFrame, rule: Disclosure) -> DataFrame:
     )
 
     def spans(s: Column) -> Column:
-        hits = F.filter(s.words, lambda w: F.array_contains(s.revealing, w.term) & (w.start > 0))
+        hits = F.filter(s.words, lambda w: F.array_contains(s.revealing, w.term))
         # A word that reveals two entities takes the stronger treatment.
         return F.transform(hits, lambda w: F.struct(
             F.when(F.array_contains(s.removed, w.term), "term").otherwise("class").alias("kind"), w.start, w.end
