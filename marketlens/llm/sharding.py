@@ -178,9 +178,13 @@ def sharded(
     plan = cells.withColumn("end", ends).groupBy("group").agg(
         F.sort_array(F.collect_list(F.struct("end", "shard", "members"))).alias("cells")  # at most one per shard
     )
+    # Members meet their group's plan in parts of bounded size, so a hot group fills several tasks.
+    part = F.floor(F.col("number") / ROWS_PER_BUCKET)
+    last = F.floor((F.element_at("cells", -1).end - 1) / ROWS_PER_BUCKET)
+    plan = plan.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), last)))
     cell = F.filter("cells", lambda c: F.col("number") < c.end)[0]
     settled = (
-        numbered(linked, ["group"], "number").join(plan, "group").withColumn("cell", cell)
+        numbered(linked, ["group"], "number").withColumn("part", part).join(plan, ["group", "part"]).withColumn("cell", cell)
         .select("id", "size", "text_crc32", "bucket", "row", F.col("cell.shard").alias("shard"),
                 F.col("cell.members").alias("together"))
     )

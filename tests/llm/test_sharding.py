@@ -1,8 +1,12 @@
 """Law, slots and linked documents of the shards."""
 
+import functools
+import itertools
 import zlib
 from collections import Counter, defaultdict
 
+import pytest
+
 from marketlens.llm import sharding
 
 FOLDER = "/root/testdata/sf0.01"
@@ -48,6 +52,40 @@ def test_a_group_larger_than_a_shard(spark):
     assert sum(n * n for n in hot.values()) > 1.15 * 700 * 700 / 40  # more than dealing by hash gives
 
 
+def most_pairs(sizes, quotas):
+    """The most pairs of one group that can be in one shard, by trying all ways to fill the shards."""
+    @functools.lru_cache(maxsize=None)
+    def best(k, room):
+        if k == len(sizes):
+            return 0
+        found = 0
+        for split in itertools.product(*(range(min(r, sizes[k]) + 1) for r in room)):
+            if sum(split) == sizes[k]:
+                left = tuple(sorted(r - n for r, n in zip(room, split)))
+                found = max(found, sum(n * (n - 1) // 2 for n in split) + best(k + 1, left))
+        return found
+
+    return best(0, tuple(quotas))
+
+
+@pytest.mark.parametrize("sizes", [(4, 4, 2, 2), (3, 3, 3, 3), (6, 3, 2, 1), (5, 5, 2)])
+def test_small_graphs_against_the_best_placement(spark, sizes):
+    rows = [(100 * g + i, f"text {g}") for g, n in enumerate(sizes) for i in range(n)]
+    done = sharding.sharded(spark.createDataFrame(rows, "doc_id long, text string"), shards=3).collect()
+    groups = defaultdict(Counter)
+    for r in done:
+        groups[r.doc_id // 100][r.shard] += 1
+    together = sum(n * (n - 1) // 2 for g in groups.values() for n in g.values())
+    assert together >= 0.7 * most_pairs(sizes, (4, 4, 4))
+
+
+def test_parts_of_a_hot_group(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "ROWS_PER_BUCKET", 50)
+    rows = [(i, "hot" if i % 3 == 0 else f"t{i // 4}") for i in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    check(docs, sharding.op3(docs).collect())
+
+
 def test_few_and_no_rows(spark):
     docs = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b")], "doc_id long, text string")
     check(docs, sharding.op3(docs).collect())
