@@ -46,7 +46,7 @@ BLOCK = 1024  # members of a large node's followers, and of those near them, tha
 LIKELY = 38  # equal four-bit values of 64 that a pair of similarity 0.8 (52 expected) keeps
 ALIKE = 55  # from this many on, a member of a large node is left to its pivot
 AROUND = ALIKE - (MINWISE - LIKELY)  # least a likely partner of such a member equals the pivot: differences add up
-BLOCK_SHINGLES = 1 << 20  # of the members of a wide node that meet in one task, twice
+BLOCK_SHINGLES = 1 << 19  # of the members of a wide node that meet in one task, twice
 
 _FACTORS = np.random.default_rng(20).integers(1, 1 << 63, MINWISE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
