@@ -60,22 +60,24 @@ def _sum(values: Column) -> Column:
     return F.aggregate(values, F.lit(0).cast("long"), lambda a, b: a + b)
 
 
-def _running(lengths: Column) -> Column:
-    """Sum of all elements before each one, in blocks of the root of the array's size."""
+def _running(lengths: Column, fold=None, join=lambda a, b: a + b) -> Column:
+    """Sum of all elements before each one, in blocks of the root of the array's size. With another `fold`
+    of an array (0 for an empty one) and `join` of two results, that instead of the sum."""
+    fold = fold or _sum
 
     def with_block(s: Column) -> Column:
         blocks = F.sequence(F.lit(0), F.floor((F.size(s.n) - 1) / s.b).cast("int"))
-        sums = F.transform(blocks, lambda k: _sum(F.slice(s.n, k * s.b + 1, s.b)))
+        sums = F.transform(blocks, lambda k: fold(F.slice(s.n, k * s.b + 1, s.b)))
         return let(F.struct(s.n.alias("n"), s.b.alias("b"), sums.alias("sums")), with_sums)
 
     def with_sums(s: Column) -> Column:
-        ahead = F.transform(F.sequence(F.lit(0), F.size(s.sums) - 1), lambda k: _sum(F.slice(s.sums, 1, k)))
+        ahead = F.transform(F.sequence(F.lit(0), F.size(s.sums) - 1), lambda k: fold(F.slice(s.sums, 1, k)))
         return let(F.struct(s.n.alias("n"), s.b.alias("b"), ahead.alias("ahead")), with_ahead)
 
     def with_ahead(s: Column) -> Column:
         def before(_, i):
             block = F.floor(i / s.b).cast("int")
-            return F.get(s.ahead, block) + _sum(F.slice(s.n, block * s.b + 1, i - block * s.b))
+            return join(F.get(s.ahead, block), fold(F.slice(s.n, block * s.b + 1, i - block * s.b)))
 
         return F.transform(s.n, before)
 
@@ -296,18 +298,22 @@ def _masked(text: Column, spans: Column) -> Column:
         return F.when(end > start, F.array_join(taken, "")).otherwise("")
 
     def merged(sorted_spans: Column) -> Column:
-        empty = F.array().cast("array<struct<start:bigint,end:bigint,label:string>>")
-
-        def add(done, s):
-            last = F.get(done, F.size(done) - 1)
-            joins = (F.size(done) > 0) & (s.start < last.end)
-            grown = F.struct(last.start.alias("start"), F.greatest(last.end, s.end).alias("end"), last.label.alias("label"))
-            fresh = F.struct(s.start.alias("start"), s.end.alias("end"), s.label.alias("label"))
-            return F.when(joins, F.concat(F.slice(done, F.lit(1), F.size(done) - 1), F.array(grown))).otherwise(
-                F.concat(done, F.array(fresh))
-            )
-
-        return F.aggregate(sorted_spans, empty, add)
+        """Each span that begins behind all ends before it, up to the last end before the next such span."""
+
+        def chosen(s: Column) -> Column:
+            places = F.sequence(F.lit(0), F.size(s.spans) - 1)
+            begins = F.filter(places, lambda i: F.get(s.spans, i).start >= F.get(s.prior, i))
+            return let(F.struct(s.spans.alias("spans"), s.prior.alias("prior"), begins.alias("begins")), built)
+
+        def built(s: Column) -> Column:
+            ends = F.array_max(F.transform(s.spans, lambda x: x.end))
+            return F.transform(s.begins, lambda b, j: F.struct(
+                F.get(s.spans, b).start.alias("start"),
+                F.coalesce(F.get(s.prior, F.get(s.begins, j + 1)), ends).alias("end"), F.get(s.spans, b).label.alias("label"),
+            ))
+
+        prior = _running(F.transform(sorted_spans, lambda x: x.end), lambda xs: F.coalesce(F.array_max(xs), F.lit(0)), F.greatest)
+        return let(F.struct(sorted_spans.alias("spans"), prior.alias("prior")), chosen)
 
     def masked(s: Column) -> Column:
         n = F.length(s.text).cast("long")

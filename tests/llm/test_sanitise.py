@@ -5,6 +5,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from marketlens.llm import sanitise
 
@@ -145,3 +146,30 @@ def test_sanitised_texts(spark):
 def test_running_sums(spark, n):
     df = spark.createDataFrame([([*range(n)],)], "v array<long>")
     assert df.select(sanitise._running(df.v)).first()[0] == [sum(range(i)) for i in range(n)]
+
+
+def plainly_masked(text, spans):
+    """The spans one after the other; one that begins within those before only moves their end."""
+    out, at, end, label = "", 0, 0, None
+    for start, stop, name in [*sorted(spans), (len(text) + 1, 0, "")]:
+        if label is not None and start < end:
+            end = max(end, stop)
+            continue
+        if label is not None:
+            out, at = out + text[at : begin] + label, end  # noqa: F821
+        begin, end, label = start, stop, name  # noqa: F841
+    return out + text[at:]
+
+
+def test_overlapping_and_many_spans(spark):
+    rng, rows = random.Random(8), []
+    for n in [1, 2, 3, 5, 8, 20, 60] * 6 + [4000]:
+        text = "".join(rng.choice("abcdé中 ") for _ in range(30 if n < 100 else 30_000))
+        spans = set()
+        while len(spans) < n:
+            start = rng.randrange(len(text))
+            spans.add((start, min(len(text), start + rng.randrange(1, 7)), rng.choice(["[A]", "[B]", ""])))
+        rows.append((text, sorted(spans)))
+    df = spark.createDataFrame(rows, "text string, spans array<struct<start:bigint,end:bigint,label:string>>")
+    got = [r.t for r in df.select(sanitise._masked(F.col("text"), F.col("spans")).alias("t")).collect()]
+    assert got == [plainly_masked(t, s) for t, s in rows]
