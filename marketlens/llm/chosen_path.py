@@ -197,21 +197,25 @@ def _proposals(nodes: DataFrame, percent: int) -> DataFrame:
             "node": np.full(len(u) + len(alone), table.column("node")[0].as_py()),
             "u": np.concatenate([np.minimum(u, v), alone]),
             "v": pa.array(np.concatenate([np.maximum(u, v), alone]), mask=np.arange(len(u) + len(alone)) >= len(u)),
+            "n": np.concatenate([np.zeros(len(u), dtype=np.int64), n[left_out]]),
         })
 
     workers_find_package(nodes.sparkSession)
-    return nodes.groupBy("node").applyInArrow(propose, "node long, u long, v long")
+    return nodes.groupBy("node").applyInArrow(propose, "node long, u long, v long, n long")
 
 
 def _exhaustive(members: DataFrame, label: DataFrame | None, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (u, v) that connect members (node, c) of the same node further, by their full sets.
+    """Links (u, v) that connect members (node, c, n) of the same node further, by their full sets.
 
     Members of a node meet in blocks of about BLOCK_SHINGLES, all blocks with all, so a task holds the sets
     of two blocks, however long the texts are.
     """
     members = _with_components(members, label)
-    apart = members.groupBy("node").agg(F.min("component").alias("a"), F.max("component").alias("b"))
-    members = keep(members.join(apart.where("a <> b").select("node"), "node"), "members")
+    apart = members.groupBy("node").agg(
+        F.min("component").alias("a"), F.max("component").alias("b"),
+        F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias("blocks"),
+    ).where("a <> b")
+    members = keep(members.join(apart.select("node", "blocks"), "node"), "members")
 
     def connect(table: pa.Table) -> pa.Table:
         c, label = table.column("c").to_numpy(), table.column("component").to_numpy().copy()
@@ -240,15 +244,12 @@ def _exhaustive(members: DataFrame, label: DataFrame | None, sets: DataFrame, pe
         return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
 
     needed = keep(members.select("c").distinct(), "needed")
-    own = keep(sets.join(hint_if_small(needed), "c"), "sets")
-    sized = members.join(own.select("c", "n"), "c")
-    blocks = F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias("blocks")
-    dealt = sized.join(sized.groupBy("node").agg(blocks), "node")
-    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("c", F.lit("part")), F.col("blocks")).cast("int"))
+    own = sets.join(hint_if_small(needed), "c").select("c", "shingles")
+    dealt = members.withColumn("block", F.pmod(F.xxhash64("c", F.lit("part")), F.col("blocks")).cast("int"))
     met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     task = F.xxhash64("node", F.least("block", "other"), F.greatest("block", "other"))
-    joined = met.select(task.alias("node"), "c", "component", "block").join(own.select("c", "shingles"), "c")
-    return joined.groupBy("node").applyInArrow(connect, "u long, v long").distinct()
+    joined = met.select(task.alias("node"), "c", "component", "block").join(own, "c")
+    return joined.groupBy("node").applyInArrow(connect, "u long, v long")
 
 
 def _with_components(members: DataFrame, label: DataFrame | None) -> DataFrame:
@@ -321,14 +322,16 @@ def _across(blocks: DataFrame, percent: int) -> DataFrame:
             alone += [c[rows[many]], c[theirs[likely[many].any(axis=0)]]]
         none = [np.array([], dtype=np.int64)]
         u, v, alone = np.concatenate(u + none), np.concatenate(v + none), np.unique(np.concatenate(alone + none))
+        by_c = np.argsort(c)
         return pa.table({
             "node": np.full(len(u) + len(alone), table.column("node")[0].as_py()),
             "u": np.concatenate([np.minimum(u, v), alone]),
             "v": pa.array(np.concatenate([np.maximum(u, v), alone]), mask=np.arange(len(u) + len(alone)) >= len(u)),
+            "n": np.concatenate([np.zeros(len(u), dtype=np.int64), n[by_c[np.searchsorted(c[by_c], alone)]]]),
         })
 
     workers_find_package(blocks.sparkSession)
-    return blocks.groupBy("node").applyInArrow(propose, "node long, u long, v long")
+    return blocks.groupBy("node").applyInArrow(propose, "node long, u long, v long, n long")
 
 
 def _sized(nodes: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -423,7 +426,7 @@ def linked(classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame | Non
     if not more.isEmpty():
         links = links.unionByName(more)
         label = components(links)
-    members = proposed.where("v is null").select("node", F.col("u").alias("c"))
+    members = proposed.where("v is null").select("node", F.col("u").alias("c"), "n")
     last = keep(_exhaustive(members, label, sets, percent), "links")
     if not last.isEmpty():
         links = links.unionByName(last)
@@ -438,7 +441,7 @@ def linked(classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame | Non
     if not more.isEmpty():
         links = links.unionByName(more)
         label = components(links)
-    members = proposed.where("v is null").select("node", F.col("u").alias("c"))
+    members = proposed.where("v is null").select("node", F.col("u").alias("c"), "n")
     last = keep(_exhaustive(members, label, sets, percent), "links")
     return label if last.isEmpty() else components(links.unionByName(last))
 
@@ -451,7 +454,7 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, width: int, percent: i
     classes = keep(
         rows.where("n > 0").groupBy("key").agg(F.min("row").alias("c"), F.min("id").alias("least_id"), *some), "classes"
     )
-    sets = rows.select(F.col("row").alias("c"), "n", "shingles")
+    sets = rows.select(F.col("row").alias("c"), "shingles")
     label = linked(classes.drop("key", "least_id"), sets, percent)
     named = classes.select("key", "c", "least_id")
     if label is not None:
