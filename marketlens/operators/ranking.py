@@ -216,6 +216,14 @@ def dense_rank_by(
     return df.join(keys, key)
 
 
+def _filled(df: DataFrame, name: str) -> Column:
+    """A column without NULLs: numbers with 0 for them, all else as text."""
+    kind = df.schema[name].dataType
+    if isinstance(kind, T.NumericType):
+        return F.coalesce(F.col(name), F.lit(0).cast(kind))
+    return F.coalesce(F.col(name).cast("string"), F.lit(""))
+
+
 def number_in_group(
     df: DataFrame, keys: list[str], slices: Column, order: list[Column], name: str, descending: bool = False
 ) -> DataFrame:
@@ -223,22 +231,30 @@ def number_in_group(
 
     `slices` cuts a group into parts that follow each other in `order` (descending: the largest first;
     NULL last). Rows are numbered within their slice; a running sum over the slices' sizes, which are
-    combined on the map side, says how many rows of the group come before it.
+    combined on the map side, says how many rows of the group come before it. Keys and slices are of
+    atomic types.
+
+    Window and join are dealt by the same columns, which hold no NULL, so the rows are exchanged and
+    sorted once. Only slices that have rows before them take part in the join.
     """
     sliced = df.withColumn("_slice", slices)
-    sizes = sliced.groupBy(*keys, "_slice").agg(F.count(F.lit(1)).alias("_rows"))
+    parts = [*keys, "_slice"]
+    unknown = sum((F.when(F.col(c).isNull(), 1 << i).otherwise(0) for i, c in enumerate(parts)), F.lit(0))
+    # _part0 ... and _unknown tell slices apart as `parts` do, NULLs included.
+    place = [f"_part{i}" for i in range(len(parts))] + ["_unknown"]
+    told = [_filled(sliced, c).alias(p) for c, p in zip(parts, place)] + [unknown.alias("_unknown")]
+    sizes = sliced.groupBy(*parts).agg(F.count(F.lit(1)).alias("_rows"))
     by_slice = F.col("_slice").desc_nulls_last() if descending else F.col("_slice").asc_nulls_last()
     ahead = W.partitionBy(*keys).orderBy(by_slice).rowsBetween(W.unboundedPreceding, -1)
-    before = sizes.select(
-        *[F.col(k).alias(f"_g_{k}") for k in keys],
-        F.col("_slice").alias("_g_slice"),
-        F.coalesce(F.sum("_rows").over(ahead), F.lit(0)).alias("_before"),
+    before = (
+        sizes.withColumn("_before", F.sum("_rows").over(ahead))
+        .where(F.col("_before") > 0)
+        .select(*told, "_before")
     )
-    within = F.row_number().over(W.partitionBy(*keys, "_slice").orderBy(*order))
-    same = [F.col(k).eqNullSafe(F.col(f"_g_{k}")) for k in keys]
-    same.append(F.col("_slice").eqNullSafe(F.col("_g_slice")))
-    joined = sliced.withColumn("_within", within).join(before, same)
-    return joined.select(*df.columns, (F.col("_before") + F.col("_within")).cast("long").alias(name))
+    within = F.row_number().over(W.partitionBy(*place).orderBy(*order))
+    numbered = sliced.select(*df.columns, *told).withColumn("_within", within).join(before, place, "left")
+    number = F.coalesce("_before", F.lit(0)) + F.col("_within")
+    return numbered.select(*df.columns, number.cast("long").alias(name))
 
 
 def _changes(column: pa.Array) -> np.ndarray:

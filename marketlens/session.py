@@ -27,7 +27,9 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-BYTES_PER_SHUFFLE_PARTITION = 256 * 1024 * 1024
+# Compressed input per shuffle partition. Joins and windows sort rows that take about ten times as much
+# memory, so this much still sorts in the memory of one task without a spill.
+BYTES_PER_SHUFFLE_PARTITION = 16 * 1024 * 1024
 
 
 def _hadoop_path(spark: SparkSession, folder: str):

@@ -112,6 +112,17 @@ def test_shuffles_grow_with_the_input(spark, monkeypatch):
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
+def test_a_shuffle_partition_sorts_in_memory(spark, monkeypatch):
+    """A GB of tables is dealt to enough partitions that sorting one of them needs no spill."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    monkeypatch.setattr(session, "folder_bytes", lambda *_: 1_000_000_000)
+    try:
+        session.size_shuffles(spark, FOLDER)
+        assert int(spark.conf.get("spark.sql.shuffle.partitions")) >= 50
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_hot_keys_survive_lost_placement(spark):
     """Numbers come from written files, so evaluating them twice gives the same answer."""
     from marketlens.operators.ranking import number_rows

@@ -85,6 +85,30 @@ def test_number_in_group_descending_with_null_groups(spark):
     assert sorted((str(r.id), r.n) for r in mine.collect()) == [("1", 2), ("2", 1), ("3", 1), ("None", 3)]
 
 
+def test_number_in_group_tells_null_from_the_values_beside_it(spark):
+    rows = [(None, None, 1), (None, 0, 2), ("", 0, 3), ("", None, 4), (None, 0, 5), ("", 3, 6), (None, 3, 7)]
+    df = spark.createDataFrame(rows, "g string, v int, id int")
+    order = [F.col("v").asc_nulls_last(), F.col("id").asc()]
+    mine = ranking.number_in_group(df, ["g"], F.col("v"), order, "n")
+    same(mine, df.withColumn("n", F.row_number().over(W.partitionBy("g").orderBy(*order)).cast("long")))
+
+
+def test_number_in_group_exchanges_the_rows_once(spark, values):
+    """Window and join share one exchange and one sort of the rows."""
+    wide = values.withColumn("payload", F.col("id") * 3)
+    numbered = ranking.number_in_group(wide, ["g"], F.floor(F.col("v") / 7), [F.col("v").asc(), F.col("id").asc()], "n")
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        lines = numbered._jdf.queryExecution().executedPlan().toString().split("\n")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
+    join = next(i for i, line in enumerate(lines) if "SortMergeJoin" in line)
+    left = lines[join + 1 : next(i for i, x in enumerate(lines) if i > join and "Exchange" in x) + 1]
+    assert any("Window" in x for x in left) and sum("Sort [" in x for x in left) == 1, left
+    assert sum("Exchange hashpartitioning(_part0" in x for x in lines) == 2
+
+
 def test_weighted_counts_ahead(spark):
     df = spark.createDataFrame([(1, 3), (2, 1), (2, 4), (5, 2)], "v int, w int")
     got = ranking.counts_ahead(df, "v", weight="w", rows_per_range=1).collect()
