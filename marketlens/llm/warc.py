@@ -120,9 +120,11 @@ def records(pages: DataFrame, id_col: str, html_col: str, segment: int = SEGMENT
     digest = F.concat(F.lit("sha1:"), base32(F.col("hex")))
     head = "HTTP/1.1 200 OK" + EOL + "Content-Type: text/html; charset=utf-8" + EOL + "Transfer-Encoding: chunked" + EOL + EOL
     blocks = responses.select("id", "hex", F.concat(F.lit(head), _chunked(F.col("payload"))).alias("block"))
+    # A block has a head, so there is a part; the outer form keeps Spark from testing that by a filter, which
+    # it would move to the scan together with all that the parts are made of.
     segments = blocks.select(
         "id", "hex", F.octet_length("block").alias("total"), _pieces(F.col("block"), segment).alias("parts")
-    ).select("id", "hex", "total", F.size("parts").alias("n"), F.posexplode("parts").alias("i", "part"))
+    ).select("id", "hex", "total", F.size("parts").alias("n"), F.posexplode_outer("parts").alias("i", "part"))
     split, begins, last = F.col("n") > 1, F.col("i") == 0, F.col("i") == F.col("n") - 1
     name = F.when(begins, _urn(F.col("hex"))).otherwise(
         F.concat(F.lit("<urn:page-segment:"), F.col("hex"), F.lit(":"), (F.col("i") + 1).cast("string"), F.lit(">"))

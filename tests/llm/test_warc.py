@@ -111,3 +111,10 @@ def test_files_are_cut_by_bytes(spark, monkeypatch, tmp_path):
     warc.write(pages, str(tmp_path / "out"))
     assert len(list((tmp_path / "out").glob("*.gz"))) >= 4
     assert warc.read(spark, str(tmp_path / "out")).where("intact").count() == 600
+
+
+def test_records_are_not_built_for_a_filter(spark):
+    lines, _ = warc.records(spark.read.parquet(f"{FOLDER}/pages.parquet"), "page_id", "html")
+    plan = lines._jdf.queryExecution().optimizedPlan().toString()
+    filters = [line for line in plan.splitlines() if "Filter" in line]
+    assert not [line for line in filters if "transform" in line or "HTTP" in line]
