@@ -31,6 +31,9 @@ def configure(spark: SparkSession) -> SparkSession:
 # memory, so this much still sorts in the memory of one task without a spill.
 BYTES_PER_SHUFFLE_PARTITION = 16 * 1024 * 1024
 
+# Of everything written to the shared folder.
+CODEC = "zstd"
+
 
 def _hadoop_path(spark: SparkSession, folder: str):
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
@@ -126,5 +129,5 @@ def stash(df: DataFrame, label: str = "stash") -> DataFrame:
     were written with.
     """
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("compression", CODEC).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -16,7 +16,7 @@ from pyspark.sql.types import StructType
 
 from .config import Settings
 from .plans import marts, staging
-from .session import scratch_path
+from .session import CODEC, scratch_path
 
 RAW = (
     "customers", "geolocation", "order_items", "order_payments", "order_reviews", "orders",
@@ -125,7 +125,7 @@ class Warehouse:
         if label not in self._written:
             df = build()
             path = scratch_path(self.spark, label)
-            df.write.parquet(path)
+            df.write.option("compression", CODEC).parquet(path)
             self._written[label] = (path, df.schema)
         path, schema = self._written[label]
         return self.spark.read.schema(schema).parquet(path)

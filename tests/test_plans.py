@@ -3,10 +3,13 @@
 import re
 
 import pytest
+from comparing import spark_result
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from marketlens import catalogue, session
 from marketlens.plans import marts
+from marketlens.sources import standin
 
 FOLDER = "/root/testdata/sf0.01"
 
@@ -184,3 +187,28 @@ def test_distinct_people_shuffle_no_person(spark, name):
     assert "bitmap_or_agg" in text
     assert not re.search(r"hashpartitioning\([^)]*customer_(unique_id|key)", text)
     assert "customer_unique_id" not in text and "customer_key" not in text
+
+
+def test_item_numbers_move_only_the_columns_of_an_item(spark):
+    """What breaks ties between lines that give the same item is neither read nor moved, and the items are
+    the same as with it."""
+    lines = spark.read.parquet(f"{FOLDER}/lineitem.parquet")
+    text = text_of(spark, lambda: standin.order_items(lines))
+    assert "l_extendedprice" in text
+    assert not re.search("l_discount|l_tax|l_returnflag|l_linestatus", text)
+    # Lines repeated with another tax and flag tie in all columns of an item.
+    tied = lines.unionByName(lines.where("l_orderkey % 5 = 0").withColumn("l_tax", F.lit(0.5)).withColumn("l_returnflag", F.lit("Z")))
+    order = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_shipdate",
+             "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
+    number = F.row_number().over(W.partitionBy("l_orderkey").orderBy(*order)).cast("long")
+    whole = tied.select(
+        F.col("l_orderkey").alias("order_id"), number.alias("order_item_id"), F.col("l_partkey").alias("product_id"),
+        F.col("l_suppkey").alias("seller_id"), F.col("l_shipdate").alias("shipping_limit_date"),
+        F.col("l_extendedprice").alias("price"), (F.col("l_quantity") * 1.25).alias("freight_value"),
+    )
+    assert spark_result(standin.order_items(tied)) == spark_result(whole)
+
+
+def test_stored_tables_are_compressed_well(spark):
+    for table in (session.stash(spark.range(10)), catalogue.warehouse(spark, FOLDER).mart("fct_orders")):
+        assert all(".zstd." in path for path in table.inputFiles())
