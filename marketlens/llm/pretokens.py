@@ -115,6 +115,7 @@ class Vocabulary:
         for token, rank in self.rank.items():
             self.token[rank] = token
         self.size = [len(token) for token in self.token]
+        self.none = len(self.token)  # above all ranks
 
     @functools.cached_property
     def _automaton(self):
@@ -139,7 +140,7 @@ class Vocabulary:
         """The parts of a short piece once all merges of a rank lower than `below` are done."""
         get = self.rank.get
         parts = [data[i : i + 1] for i in range(len(data))]
-        ranks = [get(a + b, below) for a, b in zip(parts, parts[1:])]
+        ranks = [get(data[i : i + 2], below) for i in range(len(data) - 1)]
         while ranks:
             best = min(ranks)
             if best >= below:

@@ -1,6 +1,6 @@
 """Byte-level BPE as a monoid: encoding and decoding by tree reduction (operator 10).
 
-A piece is encoded by halves. Two encoded halves are joined by encoding a window around their border
+A piece is encoded by halves, cut near the middle where a token seldom lies across. Two encoded halves are joined by encoding a window around their border
 again, growing it until the token at each end of the window is the one that stood there before: a token
 sequence is an encoding exactly if every pair of neighbours is one, and beyond such an end all pairs
 are those of the halves. Pieces and chunks never share a token, so their encodings join by
@@ -30,7 +30,8 @@ Ids = tuple[int, ...]
 
 
 class TreeEncoder:
-    SHORT = 4  # bytes of a part that is remembered
+    SHORT = 6  # bytes of a part that is remembered
+    REACH = 2  # bytes from the middle of a piece to where it may be halved
 
     def __init__(self, ranks: Vocabulary):
         self.ranks = ranks
@@ -40,6 +41,8 @@ class TreeEncoder:
         self.chunks = chunk_lookup(self.encode_pieces)
 
     def _window(self, ids: Ids) -> Ids:
+        if len(ids) == 2 and self.ranks.stay(*ids):
+            return ids
         return self.ranks.merge(b"".join(map(self.ranks.token.__getitem__, ids)))
 
     def halves(self, data: bytes) -> Ids:
@@ -51,11 +54,24 @@ class TreeEncoder:
         return self.parts[data] if len(data) <= self.SHORT else self._joined_halves(data)
 
     def _joined_halves(self, data: bytes) -> Ids:
-        middle = len(data) // 2
-        return self.join(self.halves(data[:middle]), self.halves(data[middle:]))
+        cut = self._cut(data)
+        return self.join(self.halves(data[:cut]), self.halves(data[cut:]))
+
+    def _cut(self, data: bytes) -> int:
+        """Where to halve: of the places around the middle, the one whose two bytes would merge last, as a
+        token is least likely to lie across it."""
+        middle, last = len(data) // 2, -1
+        for at in range(max(1, middle - self.REACH), min(len(data), middle + self.REACH + 1)):
+            rank = self.ranks.rank.get(data[at - 1 : at + 1], self.ranks.none)
+            if rank > last:
+                cut, last = at, rank
+        return cut
 
     def join(self, left: Ids, right: Ids) -> Ids:
         """The monoid's product: ids of two byte strings put together, from the ids of each."""
+        window = self.windows[left[-1], right[0]]
+        if window[0] == left[-1] and window[-1] == right[0]:
+            return left + right if len(window) == 2 else left[:-1] + window + right[1:]
         a = b = 1
         while True:
             window = self.windows[left[len(left) - a :] + right[:b]]

@@ -142,3 +142,18 @@ def test_least_squares_places_most_remainders():
             used[m] = used.get(m, 0) + times
     assert all(used[m] <= histogram[m] for m in used)
     assert used[512] >= 390 and used[700] >= 80
+
+
+def test_halves_seldom_share_a_token(spark, ordinary):
+    tree = tree_bpe.TreeEncoder(pretokens.vocabulary(tree_bpe.VOCABULARY))
+    compute, sizes = tree.windows.make, []
+
+    def counted(ids):
+        sizes.append(len(ids))
+        return compute(ids)
+
+    tree.windows.make = counted
+    texts = [r.text or "" for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").orderBy("doc_id").collect()]
+    for text in texts:
+        assert np.frombuffer(tree.encode(text), "<u4").tolist() == ordinary.encode_ordinary(text)
+    assert sum(size > 2 for size in sizes) < len(tree.pieces) / 2
