@@ -1,10 +1,10 @@
 """Byte-level BPE as a monoid: encoding and decoding by tree reduction (operator 10).
 
-A piece is encoded by halves, cut near the middle where a token seldom lies across. Two encoded halves are joined by encoding a window around their border
-again, growing it until the token at each end of the window is the one that stood there before: a token
-sequence is an encoding exactly if every pair of neighbours is one, and beyond such an end all pairs
-are those of the halves. Pieces and chunks never share a token, so their encodings join by
-concatenation, which also decodes.
+A piece is encoded by halves, cut near the middle where a token seldom lies across. Two encoded halves
+are joined by encoding a window around their border again, growing it until the token at each end of the
+window is the one that stood there before: a token sequence is an encoding exactly if every pair of
+neighbours is one, and beyond such an end all pairs are those of the halves. Pieces and chunks never
+share a token, so their encodings join by concatenation, which also decodes.
 
 Defined results: null text counts as empty; an empty text has no ids; texts of any length are processed
 whole; repeated rows and null ids pass through; an empty table gives no rows. Only the columns named as
