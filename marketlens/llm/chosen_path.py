@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .components import components
+from .components import components, merged
 from .support import hint_if_small, keep, text_key, without, workers_find_package
 from .words import mixed, word_hashes
 
@@ -424,13 +424,11 @@ def linked(classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame | Non
     rest = keep(_apart(pairs.join(first, ["u", "v"], "left_anti"), label), "rest")
     more = keep(_confirmed(rest, sets, percent).where("linked").select("u", "v"), "links")
     if not more.isEmpty():
-        links = links.unionByName(more)
-        label = components(links)
+        label = merged(label, more)
     members = proposed.where("v is null").select("node", F.col("u").alias("c"), "n")
     last = keep(_exhaustive(members, label, sets, percent), "links")
     if not last.isEmpty():
-        links = links.unionByName(last)
-        label = components(links)
+        label = merged(label, last)
     if around is None:
         return label
     proposed = keep(_across(_blocks(_sides(around, label)), percent), "proposed")
@@ -439,11 +437,10 @@ def linked(classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame | Non
         return label
     more = keep(_confirmed(pairs, sets, percent).where("linked").select("u", "v"), "links")
     if not more.isEmpty():
-        links = links.unionByName(more)
-        label = components(links)
+        label = merged(label, more)
     members = proposed.where("v is null").select("node", F.col("u").alias("c"), "n")
     last = keep(_exhaustive(members, label, sets, percent), "links")
-    return label if last.isEmpty() else components(links.unionByName(last))
+    return label if last.isEmpty() else merged(label, last)
 
 
 def _grouped(docs: DataFrame, id_col: str, text_col: str, width: int, percent: int, keyed: bool) -> DataFrame:

@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 
 from marketlens.llm import chosen_path
+from marketlens.llm import components as components_module
 from marketlens.llm.components import components
 
 FOLDER = "/root/testdata/sf0.01"
@@ -163,3 +164,64 @@ def test_long_texts_in_a_wide_node_meet_in_blocks(spark, monkeypatch):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     rows = chosen_path.near_duplicates(df, width=2).collect()
     assert set(map(tuple, rows)) == brute_force(list(enumerate(texts)), 2)
+
+
+def rows_kept(monkeypatch):
+    """What the components store from now on, in rows."""
+    seen, stored = [], components_module.keep
+
+    def counted(*args):
+        kept = stored(*args)
+        seen.append(kept.count())
+        return kept
+
+    monkeypatch.setattr(components_module, "keep", counted)
+    return seen
+
+
+def test_rounds_of_components_leave_out_what_has_settled(spark, monkeypatch):
+    # The star settles at once; the chain, in mixed order, takes several rounds that do not send the star again.
+    chain = list(range(5000, 5060))
+    random.Random(6).shuffle(chain)
+    edges = [(0, k) for k in range(1, 2001)] + list(zip(chain, chain[1:])) + [(9000, 9000)]
+    seen = rows_kept(monkeypatch)
+    rows = components(spark.createDataFrame(edges, "u long, v long")).collect()
+    assert {r.id: r.component for r in rows} == {
+        **dict.fromkeys(range(2001), 0), **dict.fromkeys(chain, 5000), 9000: 9000
+    }
+    assert len(rows) == 2062
+    assert sum(seen) < 5 * len(edges)
+
+
+@pytest.mark.parametrize("few", [1_000_000, 0])
+def test_components_go_on_from_labels(spark, monkeypatch, few):
+    monkeypatch.setattr(components_module, "FEW_LABELS", few)
+    rng = random.Random(8)
+    edges = [(rng.randrange(200), rng.randrange(200)) for _ in range(150)] + [(999 - i, 998 - i) for i in range(30)]
+    frames = [spark.createDataFrame(part, "u long, v long") for part in (edges[:90], edges[90:])]
+    merged = components_module.merged(components_module.merged(None, frames[0]), frames[1])
+    got = {r.id: r.component for r in merged.collect()}
+    assert merged.count() == len(got)
+    expected = {r.id: r.component for r in components(frames[0].unionByName(frames[1])).collect()}
+    assert {k: got.get(k, k) for k in expected} == expected
+    parent = {k: k for e in edges for k in e}
+    for _ in parent:
+        for u, v in edges:
+            parent[u] = parent[v] = min(parent[u], parent[v])
+    assert expected == parent
+
+
+def test_later_links_of_a_large_group_do_not_send_all_links_again(spark, monkeypatch):
+    rng = random.Random(9)
+    base = [f"w{rng.randrange(900)}" for _ in range(120)]
+    texts = []
+    for _ in range(600):
+        words = list(base)
+        for _ in range(rng.randrange(0, 9)):
+            words[rng.randrange(len(words))] = f"x{rng.randrange(10**6)}"
+        texts.append(" ".join(words))
+    seen = rows_kept(monkeypatch)
+    docs = list(enumerate(texts))
+    rows = chosen_path.op5(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert set(map(tuple, rows)) == brute_force(docs, 2)
+    assert sum(seen) < 8 * len(texts)
